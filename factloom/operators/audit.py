@@ -58,11 +58,12 @@ def append(events: DataFrame, order: list[str], log: DataFrame | None = None) ->
     head = canonical({c: F.col(c) for c in own if c < "prev_hash"})
     tail = canonical({c: F.col(c) for c in own if c > "prev_hash"})
     e = e.withColumn("__a", F.concat(F.substr(head, F.lit(1), F.length(head) - 1), F.lit(',"prev_hash":"'))).withColumn("__b", F.concat(F.lit('",'), F.substr(tail, F.lit(2))))
+    e = e.withColumn("detail", F.to_json("detail"))  # a map can't be sorted
     rows = e.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("sequence", "__a", "__b", *[c for c in own if c not in ("sequence", "document_id")]))).alias("rows"), F.first("__tail", ignorenulls=True).alias("__tail"))
     start = F.array(F.coalesce("__tail", F.lit(GENESIS)))
     hashes = F.aggregate("rows", start, lambda a, r: F.concat(a, F.array(F.sha2(F.concat(r["__a"], F.element_at(a, -1), r["__b"]).cast("binary"), 256))))
     out = rows.withColumn("h", hashes).select("document_id", F.explode(F.arrays_zip("rows", F.slice("h", 1, F.size("rows")).alias("p"), F.slice("h", 2, F.size("rows")).alias("x"))).alias("z"))
-    return out.select("document_id", "z.rows.sequence", *[F.col(f"z.rows.{c}").alias(c) for c in own if c not in ("sequence", "document_id")], F.col("z.p").alias("prev_hash"), F.col("z.x").alias("entry_hash"))
+    return out.select("document_id", "z.rows.sequence", *[F.from_json("z.rows.detail", "map<string,string>").alias("detail") if c == "detail" else F.col(f"z.rows.{c}").alias(c) for c in own if c not in ("sequence", "document_id")], F.col("z.p").alias("prev_hash"), F.col("z.x").alias("entry_hash"))
 
 
 def verify(log: DataFrame) -> DataFrame:
