@@ -126,7 +126,7 @@ def fit(pages: DataFrame, url_col: str = "url", html_col: str | None = "html", s
     rows = []
     if top is not None:
         title = F.regexp_extract(html_col, r"(?is)<title[^>]*>([^<]*)", 1) if html_col else F.lit("")
-        near = pages.where(F.xxhash64(F.lit(10), F.col(url_col)) <= top).groupBy(url_col).agg(F.max(F.substring(title, 1, 1000)).alias("title"))
+        near = pages.where(F.col(url_col).isNotNull() & (F.xxhash64(F.lit(10), F.col(url_col)) <= top)).groupBy(url_col).agg(F.max(F.substring(title, 1, 1000)).alias("title"))
         rows = sorted((r[0], r[1] or "") for r in near.collect())
     counts = Counter({w: 5 for w in COMMON_WORDS}) + Counter({w: 50 for w in BAD_WORDS})
     for _, title in rows:
