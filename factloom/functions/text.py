@@ -12,6 +12,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 #: White space as Python's ``\s`` sees it (the JVM's ``\s`` with (?U) leaves out the four separators \x1c-\x1f).
@@ -45,7 +46,7 @@ def split_lines(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]", -1), collapse_whitespace), lambda x: x != "")
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def _decomposed(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)))
 
@@ -116,7 +117,7 @@ def is_probably_label(c: Column) -> Column:
     return (t != "") & (F.length(t) <= 60) & (t.rlike(r"[:：]\s*$") | (short & (letters >= F.greatest(F.lit(2), F.floor(F.length(t) / 2)))))
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
@@ -128,7 +129,7 @@ def similarity(a: Column, b: Column) -> Column:
 
 
 def _windowed(min_ratio: float):
-    @pandas_udf("boolean")
+    @pandas_udf(T.BooleanType())
     def near(needle: pd.Series, hay: pd.Series) -> pd.Series:
         out = []
         for n, h in zip(needle, hay):
