@@ -67,9 +67,12 @@ def fold(c: Column) -> Column:
     return F.regexp_replace(F.lower(strip_accents(c)), r"[^0-9a-z]+", "")
 
 
-def slugify(c: Column) -> Column:
-    """Label to a stable snake_case name; a label without Latin letters or digits gets a name from its hash."""
-    plain = F.regexp_replace(strip_accents(c), r"[^\x00-\x7F]", "")
+def slugify(c: Column, inside: bool = False) -> Column:
+    """Label to a stable snake_case name; a label without Latin letters or digits gets a name from its hash.
+
+    inside: the column is a lambda's, where no Python function may run; only usual Latin letters lose their marks.
+    """
+    plain = F.regexp_replace(F.translate(c, _MARKED, _PLAIN) if inside else strip_accents(c), r"[^\x00-\x7F]", "")
     name = F.lower(F.regexp_replace(F.regexp_replace(plain, r"[^0-9a-zA-Z]+", "_"), r"^_+|_+$", ""))
     return F.when(name == "", F.concat(F.lit("field_"), F.substring(F.sha2(c.cast("binary"), 256), 1, 10))).when(name.rlike("^[0-9]"), F.concat(F.lit("f_"), name)).otherwise(name)
 

@@ -42,7 +42,7 @@ def group_and_label(header: Column) -> Column:
 
 
 def path_of(group_path: Column, label: Column) -> Column:
-    return F.concat_ws(".", F.transform(group_path, slugify), F.array(slugify(label)))
+    return F.concat_ws(".", F.transform(group_path, lambda g: slugify(g, inside=True)), F.array(slugify(label)))
 
 
 def first_samples(values: DataFrame, keys: list[str], order: list[str], count: Column) -> DataFrame:

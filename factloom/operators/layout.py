@@ -141,7 +141,7 @@ def relevance(text: Column, kinds: Column) -> Column:
     base = F.least(F.lit(1.0), of(STRONG_KINDS) * 0.4 + of(SUPPORTING_KINDS) * 0.12)
     folded = fold(text)
     plain = [t.replace(" ", "") for t in FRONT_MATTER]
-    hits = F.size(F.filter(F.split(F.lit(" ".join(plain)), " "), lambda t: F.contains(folded, t)))
+    hits = sum((F.contains(folded, F.lit(t)).cast("int") for t in plain), F.lit(0))
     mail = F.when(text.rlike(r"(?i)^\s*(from|to|cc|bcc|sent|subject|date)\s*:"), 2).otherwise(0)
     return F.greatest(F.lit(0.0), base - (hits + mail) * 0.12)
 
