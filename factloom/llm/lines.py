@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from factloom.llm.common import cut
 
 WINDOW, DIVISOR, ALONE, MIN_WORDS = 2, 3, 30, 15
+#: A hash with over 1 / SPREAD of all repeated chunks (there are fewer than SPREAD such) is dealt over several tasks.
+SPREAD = 1024
 
 
 def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, divisor: int = DIVISOR, alone: int = ALONE, min_words: int = MIN_WORDS) -> DataFrame:
@@ -38,11 +40,15 @@ def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(key, removed array<struct<s, n, words>>) of rows that lose chunks."""
     own = chunks(docs, id_col, text_col, **options)
-    often = own.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    met = cut(own.join(often, "hash", "left_semi"))
+    often = cut(own.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"))
+    share = max(1, (often.agg(F.sum("n")).first()[0] or 0) // SPREAD)
+    hot = often.where(F.col("n") > share).select("hash", F.floor(F.col("n") / share + 1).cast("int").alias("parts"))
+    own = own.join(F.broadcast(hot), "hash", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("key", "place"), F.col("parts")), F.lit(0)).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+    met = cut(own.join(often.join(F.broadcast(hot), "hash", "left").select("hash", every), ["hash", "part"], "left_semi"))
     order = F.struct(F.col("id").isNull().alias("z"), F.col("id").alias("i"), F.col("key").alias("k"), F.col("place").alias("p"))
-    first = met.groupBy("hash", "text").agg(F.min(order).alias("first"))
-    later = met.join(first, ["hash", "text"]).where(order != F.col("first"))
+    first = met.groupBy("hash", "text").agg(F.min(order).alias("first"), F.max("parts").alias("parts")).select("hash", "text", "first", every)
+    later = met.join(first, ["hash", "text", "part"]).where(order != F.col("first"))
     return later.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("s", "n", "words"))).alias("removed"))
 
 
