@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from factloom.functions.text import collapse_whitespace, strip
 from factloom.operators import grid as grids
 from factloom.operators import layout as pages
+from factloom.operators.lineage import cut
 
 FLOOR = 0.2
 _CELLS, _PAIRS = "array<struct<header:string,value:string>>", "array<struct<section:string,key:string,value:string>>"
@@ -34,9 +35,10 @@ def table_chunks(grid: DataFrame) -> DataFrame:
 def form_chunks(lines: DataFrame) -> DataFrame:
     """Sections that hold an identifier of their own and repeat each other's labels are one chunk each; else the page is one."""
     key = ["document_id", "page"]
-    pairs = pages.key_values(lines)
+    pairs = cut(pages.key_values(lines))
     kinds = pages.evidence_kinds(pairs, [*key, "section"], "value")
     strong = kinds.where(F.size(F.array_intersect("evidence_kinds", F.split(F.lit(" ".join(pages.STRONG_KINDS)), " "))) > 0).select(*key, "section", F.lit(True).alias("strong"))
+    strong = cut(strong)
     labels = pairs.join(strong, [*key, "section"]).select(*key, "section", F.lower(collapse_whitespace(F.col("key"))).alias("label")).distinct()
     n_sections = labels.select(*key, "section").distinct().groupBy(*key).agg(F.count("*").alias("n_sections"))
     per_label = labels.groupBy(*key, "label").agg(F.count("*").alias("n")).join(n_sections, key)
@@ -106,18 +108,19 @@ def locate(lines: DataFrame, grid: DataFrame | None = None, floor: float = FLOOR
     info = None
     if grid is not None:
         info = grid.groupBy(*key).agg(F.bool_or(~F.col("is_header")).alias("has_body"), F.max(F.size("cells")).alias("column_count"))
-    kinds = pages.page_layouts(lines, info)
+    kinds = cut(pages.page_layouts(lines, info))
     of = lambda df, *names: df.join(kinds.where(F.col("layout").isin(*names)).select(*key), key, "left_semi")
-    cut = form_chunks(of(lines, "FORM_KEY_VALUE")).unionByName(narrative_chunks(of(lines, "NARRATIVE", "SWIFT_MESSAGE", "SECTION_BLOCK")))
+    made = form_chunks(of(lines, "FORM_KEY_VALUE")).unionByName(narrative_chunks(of(lines, "NARRATIVE", "SWIFT_MESSAGE", "SECTION_BLOCK")))
     if grid is not None:
-        cut = cut.unionByName(table_chunks(of(grid, "TABLE_ROW")))
+        made = made.unionByName(table_chunks(of(grid, "TABLE_ROW")))
     ident = ["document_id", "page", "ord", "layout"]
-    found = pages.evidence_kinds(cut, ident)
-    cut = cut.join(found, ident, "left").withColumn("evidence_kinds", F.coalesce("evidence_kinds", F.array().cast("array<string>")))
-    cut = cut.withColumn("relevance", F.round(pages.relevance(F.col("text"), F.col("evidence_kinds")), 4)).withColumn("is_amendment", pages.is_amendment(F.col("text")))
-    low = cut.where(F.col("relevance") < floor).select("document_id", "page", F.format_string("page %d: relevance %.2f below %.2f", "page", "relevance", F.lit(float(floor))).alias("reason"))
+    made = cut(made)
+    found = pages.evidence_kinds(made, ident)
+    made = made.join(found, ident, "left").withColumn("evidence_kinds", F.coalesce("evidence_kinds", F.array().cast("array<string>")))
+    made = cut(made.withColumn("relevance", F.round(pages.relevance(F.col("text"), F.col("evidence_kinds")), 4)).withColumn("is_amendment", pages.is_amendment(F.col("text"))))
+    low = made.where(F.col("relevance") < floor).select("document_id", "page", F.format_string("page %d: relevance %.2f below %.2f", "page", "relevance", F.lit(float(floor))).alias("reason"))
     none = kinds.where("layout = 'UNRECOGNISED'").select("document_id", "page", F.format_string("page %d: no recognised layout", "page").alias("reason"))
-    kept = cut.where(F.col("relevance") >= floor).withColumn("seq", F.row_number().over(Window.partitionBy("document_id").orderBy("page", "ord")))
+    kept = made.where(F.col("relevance") >= floor).withColumn("seq", F.row_number().over(Window.partitionBy("document_id").orderBy("page", "ord")))
     out = stitch(kept).withColumn("record_index", (F.row_number().over(Window.partitionBy("document_id").orderBy("seq")) - 1).cast("int")).drop("seq")
     return out, low.unionByName(none)
 
