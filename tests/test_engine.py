@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from factloom.functions import checks, privacy, text
 from factloom.operators import audit, chunk, compare, kinds
-from factloom.plans.queries import ORACLE, QUERIES
+from factloom.plans import more, queries
 from factloom.sources import files, sinks
 
+QUERIES, ORACLE = queries.QUERIES | more.QUERIES, queries.ORACLE | more.ORACLE
 SF = "/root/testdata/sf0.001"
 
 
@@ -92,10 +93,10 @@ def test_gate_and_nesting(spark, tmp_path):
     assert sinks.nest([("a.b", 0, leaf), ("a.c", 0, leaf), ("d", 0, leaf), ("d", 1, leaf)]) == {"a": {"b": leaf, "c": leaf}, "d": [leaf, leaf]}
 
 
-@pytest.mark.parametrize("name", ["check_codes", "ink_bands", "compare_multiset", "mask_format_preserving"])
+@pytest.mark.parametrize("name", ["check_codes", "ink_bands", "compare_multiset", "mask_format_preserving", *more.QUERIES])
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("nation", "customer", "part", "lineitem"):
+    for t in ("nation", "customer", "supplier", "part", "orders", "lineitem"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     ours, theirs = QUERIES[name](spark, SF).toPandas(), con.sql(ORACLE[name]).df()
     assert sorted(ours.columns) == sorted(theirs.columns)
