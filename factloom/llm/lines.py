@@ -61,5 +61,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drop), lambda i: F.get(lines, i)), "\n")
     text = F.when(F.col("__fl_removed").isNull(), F.col(text_col)).otherwise(kept)
     total = F.aggregate("__fl_removed", F.lit(0).cast("long"), lambda a, r: a + r.words)
-    columns = [text.alias(c) if c == text_col else F.when(F.col("__fl_removed").isNull(), F.col(c)).otherwise(F.length(text).cast(docs.schema[c].dataType)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    # A column of its own first: inside a lambda, a name that the same select gives anew would be read as the new column.
+    out = out.withColumn("__fl_text", text)
+    columns = [F.col("__fl_text").alias(c) if c == text_col else F.when(F.col("__fl_removed").isNull(), F.col(c)).otherwise(F.length("__fl_text").cast(docs.schema[c].dataType)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
     return out.select(*columns, F.coalesce(F.array_size("__fl_removed"), F.lit(0)).cast("long").alias("__fl_chunks"), F.coalesce(total, F.lit(0).cast("long")).alias("__fl_words"))
