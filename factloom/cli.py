@@ -23,6 +23,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--bics", help="CSV bic,institution,country")
     p.add_argument("--accounts", help="YAML of market: patterns")
     p.add_argument("--masked-export", action="store_true")
+    p.add_argument("--no-llm", action="store_true", help="deterministic parts only; this is so without a model port, too")
+    p.add_argument("--no-ocr", action="store_true", help="leave out words whose source is OCR")
     p.add_argument("--log-level", default="ERROR", choices=("DEBUG", "INFO", "WARN", "ERROR"))
     return p
 
@@ -43,6 +45,8 @@ def main(argv: list[str] | None = None) -> int:
         accepted = files.gate(read, port if hasattr(port, "inspect") else None)
         accepted.select("path", "document_id", "outcome", "sha256", "size", "page_count").write.mode("overwrite").json(f"{args.output_dir}/gate")
         words = files.words(read.join(accepted.where("outcome = 'ACCEPTED'").select("path", "document_id"), "path"), port)
+    if args.no_ocr and "source" in words.columns:
+        words = words.where(F.coalesce(F.upper("source"), F.lit("")) != "OCR")
     result = extract.extract(words.withColumn("confidence", F.coalesce("confidence", F.lit(1.0))), bics=files.bic_directory(spark, args.bics) if args.bics else None, accounts=files.account_patterns(spark, args.accounts) if args.accounts else None)
     if result.chunks.isEmpty():
         print("no instructions found", file=sys.stderr)

@@ -86,9 +86,24 @@ def json_leaves(spark, sf_dir):
     return files.leaves(c.select(F.col("c_custkey").cast("string").alias("document"), doc.alias("json"))).withColumn("record_index", F.coalesce("record_index", F.lit(-1)))
 
 
-QUERIES = {f.__name__: f for f in (status_counts, record_completeness, guard_drift, untraced_values, stitch_page_breaks, composition_summary, compare_by_kind, expected_depository, swift_tags, json_leaves)}
+def prompt_excerpts(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return sinks.excerpts(c.select(F.col("c_nationkey").cast("string").alias("document_id"), F.col("c_custkey").alias("record_index"), F.array((F.col("c_custkey") % 7).cast("int"), F.lit(2), F.lit(2)).alias("pages"), F.repeat(F.col("c_name"), (F.col("c_custkey") % 90).cast("int")).alias("text")))
+
+
+def score_explained(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    part = lambda n: (F.col("c_custkey") % n) / F.lit(n)
+    return c.select("c_custkey", validate.explained(part(4), part(8), part(2), F.lit(0.5), part(5)).alias("explained"))
+
+
+QUERIES = {f.__name__: f for f in (status_counts, record_completeness, guard_drift, untraced_values, stitch_page_breaks, composition_summary, compare_by_kind, expected_depository, swift_tags, json_leaves, prompt_excerpts, score_explained)}
 
 ORACLE = {
+    "prompt_excerpts": """WITH c AS (SELECT c_nationkey::VARCHAR AS document_id, row_number() OVER w AS n, c_custkey % 7 AS p, repeat(c_name, (c_custkey % 90)::INT) AS t FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_custkey)),
+        l AS (SELECT *, 2600 - coalesce(sum(length(t)) OVER (PARTITION BY document_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room FROM c WHERE n <= 3)
+        SELECT document_id, string_agg('[chunk ' || n || ', page ' || CASE WHEN p = 2 THEN '2' ELSE least(p, 2) || ', ' || greatest(p, 2) END || ']' || chr(10) || left(t, room::INT), chr(10) || chr(10) ORDER BY n) AS text FROM l WHERE room > 0 GROUP BY document_id""",
+    "score_explained": "SELECT c_custkey, printf('ocr=%.2f model=%.2f format=%.2f reference=%.2f -> %.3f', (c_custkey % 4) / 4.0::DOUBLE, (c_custkey % 8) / 8.0::DOUBLE, (c_custkey % 2) / 2.0::DOUBLE, 0.5::DOUBLE, (c_custkey % 5) / 5.0::DOUBLE) AS explained FROM customer",
     "status_counts": "SELECT c_nationkey::VARCHAR AS document_id, count(*) FILTER (c_custkey % 3 = 0) AS fields_validated, count(*) FILTER (c_custkey % 3 = 1) AS fields_failed, count(*) FILTER (c_custkey % 3 = 2) AS fields_not_applicable, count(*) FILTER (c_custkey % 3 = 1) AS fields_queued_for_review FROM customer GROUP BY c_nationkey",
     "record_completeness": """WITH f AS (SELECT c_custkey AS k, c_custkey % 4 <> 3 AS cur, c_custkey % 3 <> 0 AS ctry FROM customer)
         SELECT k AS record_index, CASE WHEN k % 10 = 0 THEN 'PASSED' WHEN NOT cur AND NOT ctry THEN 'FAILED' WHEN NOT (cur AND ctry) THEN 'AMBIGUOUS' ELSE 'PASSED' END AS outcome, (cur::INT + ctry::INT)::BIGINT AS populated_fields, concat_ws(',', CASE WHEN NOT ctry THEN 'COUNTRY' END, CASE WHEN NOT cur THEN 'CURRENCY' END) AS missing FROM f""",

@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -83,3 +83,17 @@ def catalogue(descriptors: DataFrame) -> DataFrame:
     """(document_id, text): the fields as a model's prompt lists them."""
     line = F.concat(F.lit("- "), F.col("path"), F.lit(" ("), F.col("label"), F.lit("): "), F.col("kind"), F.when(F.col("cardinality") == "MULTI", ", several values").otherwise(""), F.coalesce(F.concat(F.lit(", exactly "), F.col("exact_length").cast("string"), F.lit(" characters")), F.lit("")))
     return descriptors.groupBy("document_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", line.alias("line")))), lambda x: x.line), "\n").alias("text"))
+
+
+def excerpts(chunks: DataFrame, most: int = 3, budget: int = 2600) -> DataFrame:
+    """(document_id, text): the first chunks of a document, cut to a budget of characters in all, as a model's prompt shows them."""
+    w = Window.partitionBy("document_id").orderBy("record_index")
+    first = chunks.select("document_id", "record_index", "pages", "text").withColumn("n", F.row_number().over(w)).where(F.col("n") <= most)
+    first = first.withColumn("left", F.lit(budget) - F.coalesce(F.sum(F.length("text")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where("left > 0")
+    part = F.concat(F.lit("[chunk "), F.col("n").cast("string"), F.lit(", page "), page_label(F.col("pages")), F.lit("]\n"), F.substr("text", F.lit(1), F.col("left").cast("int")))
+    return first.groupBy("document_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", part.alias("part")))), lambda x: x.part), "\n\n").alias("text"))
+
+
+def page_label(pages: Column) -> Column:
+    """Distinct pages in order, comma-joined."""
+    return F.array_join(F.transform(F.array_sort(F.array_distinct(pages)), lambda p: p.cast("string")), ", ")
