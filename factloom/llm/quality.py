@@ -1,18 +1,17 @@
 """Quality rules with cross-document line frequency.
 
 Lines are normalised (A-Z lowered, white space collapsed) and hashed; per host (a column that groups documents) the
-distinct documents of each line are counted. For a line, a document counts by its longest other line, so copies and near
-copies of one document count once and do not make each other look like boilerplate. Lines in more documents than the
-host's limit, the larger of ``min_docs`` and ``share`` of its documents, are removed; a document that keeps less than
-``keep_share`` of its words is depleted and rejected.
+distinct documents of each line are counted. Copies and near copies, that is a component of whole texts whose SimHash
+differs in at most ``simhash.RADIUS`` bits, count as one document for every line, so they do not make each other look
+like boilerplate; no line decides whether two documents are the same. Lines in more documents than the host's limit, the
+larger of ``min_docs`` and ``share`` of its documents, are removed; a document that keeps less than ``keep_share`` of
+its words is depleted and rejected.
 
 Null text: no words. Null hosts are one host. Repeated rows get the same verdict each. Empty table: empty result.
 """
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -20,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from factloom.llm import simhash
 from factloom.llm.common import cut, lower_ascii, mixed, texts
 
 SYMBOLS = b"#*$%&|<>"
@@ -58,11 +58,11 @@ def repeated_words(words: list[bytes], size: int = REPEAT) -> int:
 def _measure(names: list[str]):
     def run(batches):
         for batch in batches:
-            rows: dict[str, list] = {n: [] for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "line_words", "document", "second")}
+            rows: dict[str, list] = {n: [] for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "line_words", "fp")}
             for text in texts(batch.column(0)):
                 seen: set[bytes] = set()
                 words: list[bytes] = []
-                hashes, sizes, dup, known = [], [], 0, {}
+                hashes, sizes, dup = [], [], 0
                 for line in text.split(b"\n"):
                     own = line.split()
                     if not own:
@@ -73,7 +73,6 @@ def _measure(names: list[str]):
                     words += own
                     plain = b" ".join(own).lower()
                     hashes.append(xxhash.xxh64_intdigest(plain, 42))
-                    known[(len(own), plain)] = hashes[-1]
                     sizes.append(len(own))
                 rows["n_words"].append(len(words))
                 rows["word_chars"].append(len(b"".join(words).decode("utf-8", "replace")))
@@ -82,9 +81,8 @@ def _measure(names: list[str]):
                 rows["n_repeat_words"].append(repeated_words(words))
                 rows["lines"].append(np.array(hashes, np.uint64).view(np.int64))
                 rows["line_words"].append(np.array(sizes, np.int64))
-                best = [known[x] - (1 << 64) * (known[x] >> 63) for x in heapq.nlargest(2, known)]
-                rows["document"].append(best[0] if best else 0)
-                rows["second"].append(best[1] if len(best) > 1 else 0)
+                fp = simhash.fingerprint(text)
+                rows["fp"].append(fp - (1 << 64) * (fp >> 63))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(1, batch.num_columns)), *(pa.array(v, pa.list_(pa.int64()) if k in ("lines", "line_words") else pa.int64()) for k, v in rows.items())], names=[*names, *rows])
 
     return run
@@ -99,12 +97,17 @@ def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host
     """Per row: the counts, ``removed_words``, ``over`` (hashes of removed lines), base_failed, kept, and ``key`` of the row."""
     key = F.xxhash64(F.col(id_col), F.col(text_col), F.col(host_col))
     read = docs.select(F.col(text_col).cast("binary").alias("t"), F.col(id_col), F.col(host_col).cast("string").alias("host"), key.alias("key"))
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *T._parse_datatype_string("host string, key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<long>, line_words array<long>, document long, second long").fields])
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *T._parse_datatype_string("host string, key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<long>, line_words array<long>, fp long").fields])
     base = cut(read.mapInArrow(_measure([id_col, "host", "key"]), schema))
     host = F.xxhash64("host").alias("host")
-    seen = base.select(host, "document", "second", F.explode(F.array_distinct("lines")).alias("line")).select("host", "line", F.when(F.col("line") == F.col("document"), F.col("second")).otherwise(F.col("document")).alias("other")).distinct()
-    counts = seen.groupBy("host", "line").agg(F.count("*").alias("n"))
-    total = base.where("n_words > 0").select(host, "document", "second").distinct().groupBy("host").agg(F.count("*").alias("docs"))
+    prints = cut(base.where("n_words > 0").select(host, "fp").distinct())
+    root = cut(simhash.components(simhash.links(prints.select("fp").distinct())).withColumnRenamed("node", "fp"))
+    grouped = lambda df: df.join(root, "fp", "left").withColumn("fp", F.coalesce("root", "fp")).drop("root")
+    seen = base.select(host, "fp", F.explode(F.array_distinct("lines")).alias("line")).distinct()
+    # Fingerprints bound documents from above, so only lines with enough of them need their documents.
+    many = seen.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > min_docs).select("host", "line")
+    counts = grouped(seen.join(many, ["host", "line"])).distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
+    total = grouped(prints).distinct().groupBy("host").agg(F.count("*").alias("docs"))
     over = counts.where(F.col("n") > min_docs).join(total, "host").where(F.col("n") > F.col("docs") * F.lit(float(share))).select("host", "line")
     lines = base.select(host, "key", F.explode(F.array_distinct("lines")).alias("line"))
     gone = lines.join(over, ["host", "line"]).groupBy("key").agg(F.collect_set("line").alias("over"))
