@@ -32,8 +32,9 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _ANY = re.compile(r"[0-9@]|\([Aa][Tt]\)|\[[Aa][Tt]\]")
 _OBFUSCATED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[(\[][Aa][Tt][)\]] ?[A-Za-z0-9-]{1,63}(?: ?(?:[(\[][Dd][Oo][Tt][)\]]|\.) ?[A-Za-z0-9-]{1,63})+")
-_LOOSE_PHONE = re.compile(r"(?<![0-9A-Za-z])(?:\(?[0-9]{2,5}\)?[ ./-]{1,2}){1,4}[0-9]{2,6}(?![0-9A-Za-z])")
-_LOOSE_CARD = re.compile(r"(?<![0-9A-Za-z])[0-9]{4}(?:[ ./-]{1,2}[0-9]{4,6}){2,4}(?![0-9A-Za-z])")
+#: Loose phones and cards by their number of groups; a match starts at every group, so spans overlap.
+_LOOSE_PHONE = [re.compile(r"(?<![0-9A-Za-z])(?=((?:\(?[0-9]{2,5}\)?[ ./-]{1,2}){%d}[0-9]{2,6})(?![0-9A-Za-z]))" % n) for n in range(1, 5)]
+_LOOSE_CARD = [re.compile(r"(?<![0-9A-Za-z])(?=([0-9]{4}(?:[ ./-]{1,2}[0-9]{4,6}){%d})(?![0-9A-Za-z]))" % n) for n in range(2, 5)]
 _LOOSE_IP = re.compile(r"(?<![0-9A-Za-z.])[0-9]{1,3}(?: ?(?:\[\.\]|\(\.\)|\.) ?[0-9]{1,3}){3}(?![0-9A-Za-z])")
 _WORDS = {"email": ("mail", "e-mail", "contact", "write", "reach", "courriel", "correo"), "ip": ("ip", "host", "server", "address", "from", "login"), "card": ("card", "visa", "mastercard", "credit", "payment", "karte", "carte", "tarjeta"), "phone": ("tel", "phone", "call", "mobile", "fax", "cell", "dial", "telefon", "numero")}
 
@@ -83,8 +84,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def candidates(text: str) -> list[tuple[str, int, int]]:
     """Spans that may be personal data, overlapping ones included."""
     out = []
-    for kind, pattern in (("phone", _LOOSE_PHONE), ("card", _LOOSE_CARD), ("ip", _LOOSE_IP)):
-        out += [(kind, m.start(), m.end()) for m in pattern.finditer(text)]
+    for kind, patterns in (("phone", _LOOSE_PHONE), ("card", _LOOSE_CARD)):
+        out += [(kind, *m.span(1)) for pattern in patterns for m in pattern.finditer(text)]
+    out += [("ip", m.start(), m.end()) for m in _LOOSE_IP.finditer(text)]
     low = None
     if "(" in text or "[" in text:
         low = text.lower()
@@ -104,7 +106,8 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
         float(KINDS.index(kind)), len(s), len(d), len(parts), float(max(map(len, parts), default=0)), float(min(map(len, parts), default=0)), float(len({len(p) for p in parts})), float(14 <= len(d) <= 19 and luhn(d)),
         float(len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)), float("(" in s), float("." in s), float("-" in s), float(" " in s), float("/" in s), float("[" in s),
         *(float(any(w in before.split() or w + ":" in before or w + "." in before for w in _WORDS[k])) for k in KINDS), float(any(w in near for w in ("version", "order", "invoice", "isbn", "page", "date", "total"))),
-        float(before[-1:].isalnum()), float(after[:1].isalnum()), float(before.rstrip()[-1:] in "$€£#=\""), float(s[:1] == "("), float(bool(re.fullmatch(r"(19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](19|20)[0-9]{2}", s))),
+        float(before[-1:].isalnum()), float(after[:1].isalnum()), float(bool(re.search(r"[0-9)][./-]$|\($", before))), float(bool(re.match(r"[./-][0-9(]|\)", after))), float(len(set(re.findall(r"[ ./-]+", s)))),
+        float(bool(re.search(r"[0-9]\)? $", before))), float(bool(re.match(r" \(?[0-9]", after))), float(before.rstrip()[-1:] in "$€£#=\""), float(s[:1] == "("), float(bool(re.fullmatch(r"(19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](19|20)[0-9]{2}", s))),
     ]
 
 
@@ -130,7 +133,7 @@ def _examples(rng: random.Random, n: int) -> list[tuple[str, str, int, int, int]
         "email": lambda: f"{word()} (at) {word()} . {word()}",
         "ip": lambda: " . ".join(num(3) for _ in range(4)),
         "card": lambda: grouped(num(16), rng.choice((".", "  ", "/"))),
-        "phone": lambda: rng.choice((f"{rng.randint(1900, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}", f"{num(2)}.{num(2)}.{num(4)}", f"{num(4)} {num(4)} {num(4)}", f"{num(2)} {num(2)}", f"{num(3)} {num(3)}", f"{num(5)} / {num(5)}")),
+        "phone": lambda: rng.choice((f"{rng.randint(1900, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}", f"{num(2)}.{num(2)}.{num(4)}", f"{num(4)} {num(4)} {num(4)}", f"{num(2)} {num(2)}", f"{num(3)} {num(3)}", f"{num(5)} / {num(5)}", " ".join(num(2) for _ in range(rng.randint(3, 4))), grouped(card(), rng.choice((".", "  ", "/", " "))))),
     }
     out = []
     for kind in KINDS:
@@ -142,8 +145,19 @@ def _examples(rng: random.Random, n: int) -> list[tuple[str, str, int, int, int]
                 lead += rng.choice(_WORDS[kind]) + rng.choice((" ", ": "))
             elif not label and rng.random() < 0.4:
                 lead += rng.choice(("version", "order", "invoice", "page", "total")) + " "
-            text = lead + s + rng.choice((" ", ", ", ". ")) + word()
-            out.append((text, kind, len(lead), len(lead) + len(s), label))
+            start, whole = len(lead), s
+            if kind in ("card", "phone") and rng.random() < 0.4:  # one of several numbers; bad: a span cut across them
+                other = rng.choice((good[kind](), " ".join(num(2) for _ in range(rng.randint(1, 5)))))
+                s = s if label else good[kind]()
+                first = rng.random() < 0.5
+                whole, start = (f"{s} {other}", start) if first else (f"{other} {s}", start + len(other) + 1)
+            text = lead + whole + rng.choice((" ", ", ", ". ")) + word()
+            end = start + len(s)
+            if not label and whole != s:
+                cut = [c for c in candidates(text) if c[0] == kind and c[1] < end and start < c[2] and c[1:] != (start, end)]
+                if cut:
+                    _, start, end = rng.choice(cut)
+            out.append((text, kind, start, end, label))
     return out
 
 
