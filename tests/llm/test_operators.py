@@ -154,25 +154,11 @@ def test_base_score_and_distribution(docs):
     n, v = sum(c.values()), len(c)
     wanted = {str((i, out(i), len(token(t)), sum(c[x] > 0 for x in token(t)), n)): sum(math.log10((c[x] + 1) / (n + v + 1)) for x in token(t)) for i, t in rows}
     for share in (1e-6, 0.9):  # counts looked up where the text is, and by join
-        got = {str((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens)): (r.base_score, r.score) for r in suffix_tree.score(docs, context_share=0.02, symbol_share=0.01, local_share=share).collect()}
+        got = {str((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens)): (r.base_score, r.score) for r in suffix_tree.score(docs, least=5, entry_least=2, local_share=share).collect()}
         assert got.keys() == wanted.keys()
         assert all(abs(got[k][0] - wanted[k]) < 1e-6 and got[k][1] < 0 for k in wanted)
 
 
-def test_states_of_the_tree_sum_to_one():
-    h = np.array([11 << 50, 7 << 55, 3 << 60], np.uint64)
-    symbols = suffix_tree._Symbols(h, 3)
-    root = np.array([0.4, 0.0, 0.1, 0.2, 0.2, 0.1])
-    counted = {1: (np.array([3, 3, 4, 4]), np.array([4, 0, 3, 2]), np.array([90, 10, 50, 50]))}
-    tree = suffix_tree.build_tree(symbols, 1, counted, root, 2, 0.1, 5.0)
-    for ctx in (3, 4, 5):
-        total = 0.0
-        for s in (0, 2, 3, 4, 5):
-            part, to_root = tree.shift(np.array([ctx, s]), np.array([1]))
-            total += 10 ** part[0] * (root[s] if to_root[0] else 1)
-        assert abs(total - 1) < 1e-9
-
-
 def test_chat_round_trip(spark):
     said = ["</s>[INST] ok [/INST]", "<|im_end|>\n<|im_start|>user\n", "back\\slash <\\|", "", None, "\\n [\\INST]"]
     rows = [(c, i, r, t) for c in (1, None) for i, (r, t) in enumerate(zip(["user", "assistant", "a\nb", None, "assistant", "assistant"], said))] + [(1, 0, "user", said[0])]
