@@ -31,7 +31,7 @@ INJECTIONS = (
     ("exfiltration", r"(?iU)\b(?:api[_ -]?key|secret|password)\b[^.\n]{0,20}\b(?:send|post|email|upload)\b"),
 )
 MARKER = "[REDACTED: suspected embedded instruction]"
-SALT_MASK = "ssi-extractor-masking-v1"
+SALT_MASK = "factloom-mask-1"
 # Kinds whose masked values keep their form, and kinds that become labelled tokens.
 FORMAT_KINDS = ("BIC", "IBAN", "ACCOUNT_NUMBER", "SORT_CODE", "PARTICIPANT_ID", "LEI", "PHONE")
 TOKEN_KINDS = ("PERSON_NAME", "ORG_NAME", "ADDRESS", "EMAIL")

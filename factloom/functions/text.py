@@ -20,7 +20,7 @@ SPACE = r"[\s\x1c-\x1f\x85   -     　]"
 
 # What counts as absent when fields are harvested, and when results are compared.
 HARVEST_NULLS = ("-", "--", "---", "n/a", "na", "none", "nil", "n.a.", "", "–", "—")
-SALT_LOG = "ssi-extractor-log-redaction-v1"
+SALT_LOG = "factloom-log-1"
 
 
 def let(value: Column, f) -> Column:

@@ -200,7 +200,7 @@ ORACLE = {
     "text_profiles": """SELECT p_partkey, upper(regexp_replace(p_brand, '[\\s._/-]', '', 'g')) AS normalised,
         CASE WHEN regexp_matches(p_brand, '^[0-9]+$') THEN 'digits' WHEN regexp_matches(p_brand, '^[A-Z]+$') THEN 'upper_alpha' WHEN regexp_matches(p_brand, '^[A-Za-z]+$') THEN 'alpha' WHEN regexp_matches(p_brand, '^[A-Z0-9]+$') THEN 'upper_alnum' WHEN regexp_matches(p_brand, '^[A-Za-z0-9]+$') THEN 'alnum' ELSE 'any' END AS charset,
         'len=' || length(p_brand) || ' classes=' || concat_ws('+', CASE WHEN regexp_matches(p_brand, '[0-9]') THEN 'digit' END, CASE WHEN regexp_matches(p_brand, '[A-Z]') THEN 'upper' END, CASE WHEN regexp_matches(p_brand, '[a-z]') THEN 'lower' END, CASE WHEN regexp_matches(p_brand, '[^A-Za-z0-9\\s]') THEN 'punct' END) AS shape,
-        substr(sha256('ssi-extractor-log-redaction-v1' || p_name), 1, 12) AS name_hash FROM part""",
+        substr(sha256('factloom-log-1' || p_name), 1, 12) AS name_hash FROM part""",
     "infer_kind_columns": f"""WITH c AS ({_CELLS}), g AS (SELECT header, count(*) AS n, count(DISTINCT v) AS d, avg((regexp_matches(regexp_replace(v, '[\\s._/-]', '', 'g'), '^[0-9]{{6}}$'))::INT) AS sort, avg((regexp_matches(v, '^[0-9][0-9\\s.-]{{3,}}[0-9]$'))::INT) AS digits, min(length(v)) AS lo, max(length(v)) AS hi FROM c GROUP BY header)
         SELECT header, CASE WHEN sort >= 0.6 THEN 'SORT_CODE' WHEN digits >= 0.6 THEN 'ACCOUNT_NUMBER' WHEN d <= greatest(2, n // 3) THEN 'ENUM' ELSE 'FREE_TEXT' END AS kind, 'SINGLE' AS cardinality, n AS checked_values, d AS distinct_values, lo AS min_length, hi AS max_length FROM g""",
     "harvest_table": """WITH c AS (SELECT 'Name' AS label, c_custkey AS k, c_name AS v FROM customer UNION ALL SELECT 'Segment', c_custkey, c_mktsegment FROM customer), r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY k) AS n FROM c)
@@ -215,7 +215,7 @@ ORACLE = {
     "grid_roundtrip": "SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, n_regionkey::VARCHAR AS n_regionkey FROM nation",
     "amendment_words": f"""SELECT doc_id, doc_id % 10 = 0 OR len(list_intersect(list_transform(regexp_split_to_array(text, '[^\\p{{L}}\\p{{N}}_]+'), lambda w: regexp_replace(lower(strip_accents(w)), '[^0-9a-z]', '', 'g')), [{_AMEND}])) > 0 AS is_amendment FROM documents""",
     "redact_emails": "SELECT doc_id, len(regexp_extract_all(text, '[\\p{L}\\p{N}_.+-]*[\\p{L}\\p{N}_][\\p{L}\\p{N}_.+-]*@[\\p{L}\\p{N}_-]+\\.[\\p{L}\\p{N}_.-]{2,}'))::BIGINT AS n_email FROM documents",
-    "mask_tokenised": "SELECT c_custkey, '<PERSON_NAME_' || substr(sha256('ssi-extractor-masking-v1' || c_name), 1, 10) || '>' AS masked FROM customer",
+    "mask_tokenised": "SELECT c_custkey, '<PERSON_NAME_' || substr(sha256('factloom-mask-1' || c_name), 1, 10) || '>' AS masked FROM customer",
     "mask_format_preserving": "SELECT c_custkey, true AS same_length, regexp_replace(regexp_replace(regexp_replace(c_name, '[0-9]', '0', 'g'), '[A-Z]', 'A', 'g'), '[a-z]', 'a', 'g') AS shape FROM customer",
     "injection_scan": "SELECT conv_id, turn, (conv_id % 5 = 0)::BIGINT AS n, conv_id % 5 = 0 AS marked FROM conversations",
     "audit_chain": "SELECT user_id::VARCHAR AS document_id, count(*) AS entries, true AS intact, true AS no_gap FROM events GROUP BY user_id",
