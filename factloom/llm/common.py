@@ -37,6 +37,32 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def row_key(*names: str) -> Column:
+    """128 bits of these columns as a string; nulls are told apart. Rows with equal values share it, others in practice never."""
+    values = [x for n in names for x in (quoted(n).isNull(), quoted(n))]
+    return F.concat(F.hex(F.xxhash64(*values)), F.lit("-"), F.hex(F.xxhash64(F.lit(77), *reversed(values))))
+
+
+def packed(docs: DataFrame, key: Column) -> DataFrame:
+    """(doc struct of all columns, key): whatever the columns' names, they clash with none that an operator adds."""
+    return docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("doc"), key.alias("key"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, changed: Column | None = None, text_col: str = "text", text: Column | None = None, length_col: str = "n_chars") -> list[Column]:
+    """The columns of ``docs`` from ``doc``; where ``changed``, ``text`` is the new text and ``length_col`` its length, if there is one."""
+    own = {c: F.col("doc").getField(c) for c in docs.columns}
+    if changed is not None:
+        own[text_col] = F.when(changed, text).otherwise(own[text_col])
+        if length_col in own:
+            own[length_col] = F.when(changed, F.length(text).cast(docs.schema[length_col].dataType)).otherwise(own[length_col])
+    return [v.alias(c) for c, v in own.items()]
+
+
 def lower_ascii(c: Column) -> Column:
     """Lower A-Z only, as ``bytes.lower`` does."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -1,67 +1,103 @@
 """Line dedup by content-defined chunks of lines, DataFrame functions only.
 
-A line's hash and those of the ``window - 1`` lines before it are rolled into one value; where that value is 0 modulo
-``divisor``, a chunk ends behind the line. Whether a chunk ends depends on the lines next to it only, so lines put in
-elsewhere do not shift it. A line of at least ``alone`` words is a passage by itself: a chunk ends before and behind it.
-Chunks of at least ``min_words`` words and two lines (or one such passage) whose hash occurs more than once are compared
-byte by byte; the first of equal chunks, by id and then place, stays and the others are removed.
-
-Null text stays null. Texts without lines to remove are left as they are, byte for byte. A null id comes last. Rows that
-repeat an id and a text are equal chunks at the same place: of such rows all stay or all lose the chunk. Extra columns
-pass through; names that begin with ``__fl`` are the operator's own.
+The hashes of each line and of the line before it are rolled into one value. Where a rolled value is met nowhere else in
+the corpus, a chunk ends: a chunk is a longest run of lines whose rolled values are all met elsewhere. So boundaries rest
+on adjacent lines alone and resist shifts, and a repeated passage is found whole, from its first line to its last, however
+short it is (boundaries by a residue of the rolled value miss passages that hold fewer than two of them). A line of
+``alone`` words or more is a passage by itself. Equal values are only candidates: both lines (or the one) are compared
+byte by byte, and the first place, by id and then line, stays. The lines found again at later places go if their run has
+``min_words`` words or more. Every distinct line stays at its first place.
+
+Bytes are sent only of lines whose value is met twice: a set of at most ``PREFIXES`` residues of those values is broadcast
+for that; it saves work and drops nothing. A value with over 1 / ``SPREAD`` of all repeated places (there are fewer than
+``SPREAD`` such) is dealt over several tasks.
+
+Null text stays null; an empty text has one line without words. Texts without lines to remove are left as they are, byte
+for byte. A null id comes last. Rows that repeat an id and a text are equal at the same place: of such rows all stay or
+all lose the lines. Texts of any length are read whole: a row holds its text, and twice its text while lines are dealt
+out. Extra columns pass through, whatever their names. Empty table: empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import cut
+from factloom.llm.common import cut, packed, quoted, row_key, unpacked
 
-WINDOW, DIVISOR, ALONE, MIN_WORDS = 2, 3, 30, 15
-#: A hash with over 1 / SPREAD of all repeated chunks (there are fewer than SPREAD such) is dealt over several tasks.
+ALONE, MIN_WORDS = 30, 15
 SPREAD = 1024
+PREFIXES = 1 << 20
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _words(line: Column) -> Column:
+    return F.regexp_count(line, F.lit(_WORD))
+
+
+def _lines(text: Column) -> Column:
+    return F.split(text, "\n", -1)
+
+
+def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alone: int = ALONE, with_text: bool = False) -> DataFrame:
+    """(id, key of the row, line, lines, hash[, text]) of each pair of adjacent lines, and of each line that stands alone.
+
+    ``line`` is the last line's place. Pairs without a word are none.
+    """
+    rows = docs.where(quoted(text_col).isNotNull()).select(quoted(id_col).alias("id"), row_key(id_col, text_col).alias("key"), _lines(quoted(text_col)).alias("ls"))
+    rows = rows.withColumn("m", F.transform("ls", lambda x: F.struct(F.xxhash64(x).alias("h"), _words(x).alias("n"))))
 
+    def unit(i: Column, n: int, h: Column) -> Column:
+        text = F.get("ls", i) if n == 1 else F.concat(F.get("ls", i - 1), F.lit("\n"), F.get("ls", i))
+        return F.struct(i.alias("line"), F.lit(n).alias("lines"), h.alias("hash"), *([text.alias("text")] if with_text else []))
 
-def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, divisor: int = DIVISOR, alone: int = ALONE, min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, key of the row, place, first line, lines, words, text, hash) of chunks that may be removed."""
-    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.split(F.col(text_col), "\n", -1).alias("lines"))
-    hashes = rows.withColumn("m", F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("h"), F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+")).alias("n"))))
-    roll = lambda i: F.xxhash64(*[F.coalesce(F.get("m", i - F.lit(j))["h"], F.lit(0).cast("long")) for j in range(window)])
-    begins = lambda i: (i == 0) | (F.get("m", i)["n"] >= alone) | (F.get("m", i - F.lit(1))["n"] >= alone) | (F.pmod(roll(i - F.lit(1)), F.lit(divisor)) == 0)
-    starts = hashes.withColumn("s", F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: begins(i)))
-    cuts = starts.select("id", "key", "lines", "m", F.posexplode(F.arrays_zip(F.col("s").alias("s"), F.concat(F.slice("s", F.lit(2), F.greatest(F.size("s") - 1, F.lit(0))), F.array(F.size("lines"))).alias("e"))).alias("place", "c"))
-    own = cuts.select("id", "key", "place", F.col("c.s").alias("s"), (F.col("c.e") - F.col("c.s")).alias("n"), F.slice("lines", F.col("c.s") + 1, F.col("c.e") - F.col("c.s")).alias("lines"), F.aggregate(F.slice("m", F.col("c.s") + 1, F.col("c.e") - F.col("c.s")), F.lit(0), lambda a, x: a + x.n).alias("words"))
-    own = own.where((F.col("words") >= min_words) & ((F.col("n") > 1) | (F.col("words") >= alone)))
-    text = F.array_join("lines", "\n")
-    return own.select("id", "key", "place", "s", "n", "words", text.alias("text"), F.xxhash64(text).alias("hash"))
-
-
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """(key, removed array<struct<s, n, words>>) of rows that lose chunks."""
-    own = chunks(docs, id_col, text_col, **options)
-    often = cut(own.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"))
+    rolled = lambda i: F.xxhash64(F.lit(2), F.get("m", i - 1)["h"], F.get("m", i)["h"])
+    pairs = F.filter(F.sequence(F.lit(0), F.size("ls") - 1), lambda i: (i > 0) & (F.get("m", i)["n"] + F.get("m", i - 1)["n"] > 0))
+    ones = F.filter(F.sequence(F.lit(0), F.size("ls") - 1), lambda i: F.get("m", i)["n"] >= alone)
+    every = F.concat(F.transform(pairs, lambda i: unit(i, 2, rolled(i))), F.transform(ones, lambda i: unit(i, 1, F.xxhash64(F.lit(1), F.get("m", i)["h"]))))
+    return rows.select("id", "key", F.explode(every).alias("u")).select("id", "key", "u.*")
+
+
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alone: int = ALONE) -> DataFrame:
+    """(key, again array<struct<line, lines>>) of rows that hold what an earlier place holds."""
+    often = cut(units(docs, id_col, text_col, alone).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"))
     share = max(1, (often.agg(F.sum("n")).first()[0] or 0) // SPREAD)
-    hot = often.where(F.col("n") > share).select("hash", F.floor(F.col("n") / share + 1).cast("int").alias("parts"))
-    own = own.join(F.broadcast(hot), "hash", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("key", "place"), F.col("parts")), F.lit(0)).cast("int"))
+    hot = F.broadcast(often.where(F.col("n") > share).select("hash", F.floor(F.col("n") / share + 1).cast("int").alias("parts")))
+    residue = F.pmod("hash", F.lit(PREFIXES)).cast("int")
+    own = units(docs, id_col, text_col, alone, with_text=True).withColumn("residue", residue).join(F.broadcast(often.select(residue.alias("residue")).distinct()), "residue", "left_semi").drop("residue")
+    own = own.join(hot, "hash", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("key", "line"), F.col("parts")), F.lit(0)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
-    met = cut(own.join(often.join(F.broadcast(hot), "hash", "left").select("hash", every), ["hash", "part"], "left_semi"))
-    order = F.struct(F.col("id").isNull().alias("z"), F.col("id").alias("i"), F.col("key").alias("k"), F.col("place").alias("p"))
+    met = cut(own.join(often.join(hot, "hash", "left").select("hash", every), ["hash", "part"], "left_semi"))
+    order = F.struct(F.col("id").isNull().alias("z"), F.col("id").alias("i"), F.col("key").alias("k"), F.col("line").alias("p"))
     first = met.groupBy("hash", "text").agg(F.min(order).alias("first"), F.max("parts").alias("parts")).select("hash", "text", "first", every)
     later = met.join(first, ["hash", "text", "part"]).where(order != F.col("first"))
-    return later.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("s", "n", "words"))).alias("removed"))
-
-
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with repeated chunks removed from the texts, and columns __fl_chunks, __fl_words of what was removed."""
-    gone = repeats(docs, id_col, text_col, **options).select(F.col("key").alias("__fl_key"), F.col("removed").alias("__fl_removed"))
-    out = docs.join(gone, F.xxhash64(F.col(id_col), F.col(text_col)) == F.col("__fl_key"), "left")
-    drop = F.flatten(F.transform("__fl_removed", lambda r: F.sequence(r.s, r.s + r.n - 1)))
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drop), lambda i: F.get(lines, i)), "\n")
-    text = F.when(F.col("__fl_removed").isNull(), F.col(text_col)).otherwise(kept)
-    total = F.aggregate("__fl_removed", F.lit(0).cast("long"), lambda a, r: a + r.words)
-    # A column of its own first: inside a lambda, a name that the same select gives anew would be read as the new column.
-    out = out.withColumn("__fl_text", text)
-    columns = [F.col("__fl_text").alias(c) if c == text_col else F.when(F.col("__fl_removed").isNull(), F.col(c)).otherwise(F.length("__fl_text").cast(docs.schema[c].dataType)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return out.select(*columns, F.coalesce(F.array_size("__fl_removed"), F.lit(0)).cast("long").alias("__fl_chunks"), F.coalesce(total, F.lit(0).cast("long")).alias("__fl_words"))
+    return later.groupBy("key").agg(F.collect_set(F.struct("line", "lines")).alias("again"))
+
+
+def _runs(again: Column, lines: Column, min_words: int) -> Column:
+    """array<struct<lines array<int>, words>> of the runs that go."""
+    flagged = F.array_sort(F.array_distinct(F.flatten(F.transform(again, lambda u: F.sequence(u.line - u.lines + 1, u.line)))))
+    counted = F.transform(flagged, lambda i: F.struct(i.alias("i"), _words(F.get(lines, i)).cast("long").alias("n")))
+    run = lambda i, n: F.struct(i.alias("lines"), n.alias("words"))
+    none = F.struct(F.array().cast("array<struct<lines: array<int>, words: bigint>>").alias("done"), F.array().cast("array<int>").alias("now"), F.lit(0).cast("long").alias("words"))
+    closed = lambda s: F.when(s.words >= min_words, F.concat(s.done, F.array(run(s.now, s.words)))).otherwise(s.done)
+    follows = lambda s, x: F.coalesce(F.element_at(F.concat(F.array(F.lit(-2)), s.now), -1) + 1 == x.i, F.lit(False))
+    step = lambda s, x: F.when(follows(s, x), F.struct(s.done.alias("done"), F.concat(s.now, F.array(x.i)).alias("now"), (s.words + x.n).alias("words"))).otherwise(F.struct(closed(s).alias("done"), F.array(x.i).alias("now"), x.n.alias("words")))
+    return F.aggregate(counted, none, step, closed)
+
+
+def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alone: int = ALONE, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc struct of all columns, key, text, runs array<struct<lines, words>>): the new text, and what went; runs null: nothing."""
+    rows = packed(docs, row_key(id_col, text_col)).join(repeats(docs, id_col, text_col, alone), "key", "left")
+    lines = _lines(F.col("doc").getField(text_col))
+    rows = rows.select("doc", "key", F.when(F.col("again").isNotNull(), _runs(F.col("again"), lines, min_words)).alias("runs"))
+    rows = rows.withColumn("runs", F.when(F.size("runs") > 0, F.col("runs")))
+    gone = F.flatten(F.transform("runs", lambda r: r.lines))
+    left = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i)), "\n")
+    return rows.withColumn("text", F.when(F.col("runs").isNull(), F.col("doc").getField(text_col)).otherwise(left))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alone: int = ALONE, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with the lines of repeated chunks removed from the texts; ``n_chars``, if there is one, follows."""
+    rows = measured(docs, id_col, text_col, alone, min_words)
+    return rows.select(unpacked(rows, docs, F.col("runs").isNotNull(), text_col, F.col("text")))

@@ -1,13 +1,18 @@
 """Quality rules with cross-document line frequency.
 
 Lines are normalised (A-Z lowered, white space collapsed) and hashed; per host (a column that groups documents) the
-distinct documents of each line are counted. Copies and near copies, that is a component of whole texts whose SimHash
-differs in at most ``simhash.RADIUS`` bits, count as one document for every line, so they do not make each other look
-like boilerplate; no line decides whether two documents are the same. Lines in more documents than the host's limit, the
-larger of ``min_docs`` and ``share`` of its documents, are removed; a document that keeps less than ``keep_share`` of
+distinct documents of each line are counted. Documents of a host that hold the same set of lines are one document, told
+by a 128-bit signature of that set, so exact copies do not make each other look like boilerplate; documents that share
+only a part of their lines, near copies included, are different documents. Lines in more documents than the host's limit,
+the larger of ``min_docs`` and ``share`` of its documents, are removed; a document that keeps less than ``keep_share`` of
 its words is depleted and rejected.
 
-Null text: no words. Null hosts are one host. Repeated rows get the same verdict each. Empty table: empty result.
+A line above the limit is a hot key by nature. Those that hold over 1 / ``SPREAD`` of all (document, line) rows are fewer
+than ``SPREAD``, so they are found by broadcast; only the others are shuffled.
+
+Null text: no words. Null hosts are one host. Repeated rows get the same verdict each. Empty table: empty result. Texts of
+any length are read whole; what a text holds in memory is its words and a hash per line. Ties cannot arise: verdicts are
+counts. Other columns pass through ``clean`` whatever their names.
 """
 
 from __future__ import annotations
@@ -19,12 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factloom.llm import simhash
-from factloom.llm.common import cut, lower_ascii, mixed, texts
+from factloom.llm.common import cut, lower_ascii, mixed, packed, row_key, texts, unpacked
 
 SYMBOLS = b"#*$%&|<>"
 REPEAT = 8
 MIN_DOCS, SHARE, KEEP_SHARE = 20, 0.02, 0.3
+SPREAD = 1024
 _WEIGHTS = mixed(np.arange(1, REPEAT + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -56,9 +61,11 @@ def repeated_words(words: list[bytes], size: int = REPEAT) -> int:
 
 
 def _measure(names: list[str]):
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
     def run(batches):
         for batch in batches:
-            rows: dict[str, list] = {n: [] for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lines", "line_words", "fp")}
+            rows: dict[str, list] = {n: [] for n in (*counts, "lines", "line_words", "sign")}
             for text in texts(batch.column(0)):
                 seen: set[bytes] = set()
                 words: list[bytes] = []
@@ -79,11 +86,12 @@ def _measure(names: list[str]):
                 rows["n_symbols"].append(sum(text.count(c) for c in (SYMBOLS[i : i + 1] for i in range(len(SYMBOLS)))))
                 rows["n_dup_lines"].append(dup)
                 rows["n_repeat_words"].append(repeated_words(words))
-                rows["lines"].append(np.array(hashes, np.uint64).view(np.int64))
+                lines = np.array(hashes, np.uint64)
+                rows["lines"].append(lines.view(np.int64))
                 rows["line_words"].append(np.array(sizes, np.int64))
-                fp = simhash.fingerprint(text)
-                rows["fp"].append(fp - (1 << 64) * (fp >> 63))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(1, batch.num_columns)), *(pa.array(v, pa.list_(pa.int64()) if k in ("lines", "line_words") else pa.int64()) for k, v in rows.items())], names=[*names, *rows])
+                rows["sign"].append(xxhash.xxh128_digest(np.unique(lines).tobytes()))
+            kinds = {"lines": pa.list_(pa.int64()), "line_words": pa.list_(pa.int64()), "sign": pa.binary()}
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(1, batch.num_columns)), *(pa.array(v, kinds.get(k, pa.int64())) for k, v in rows.items())], names=[*names, *rows])
 
     return run
 
@@ -93,37 +101,48 @@ def normalised(line: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(lower_ascii(line), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), r"[\x20\x09-\x0D]+", " ")
 
 
-def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE) -> DataFrame:
-    """Per row: the counts, ``removed_words``, ``over`` (hashes of removed lines), base_failed, kept, and ``key`` of the row."""
-    key = F.xxhash64(F.col(id_col), F.col(text_col), F.col(host_col))
-    read = docs.select(F.col(text_col).cast("binary").alias("t"), F.col(id_col), F.col(host_col).cast("string").alias("host"), key.alias("key"))
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *T._parse_datatype_string("host string, key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<long>, line_words array<long>, fp long").fields])
-    base = cut(read.mapInArrow(_measure([id_col, "host", "key"]), schema))
-    host = F.xxhash64("host").alias("host")
-    prints = cut(base.where("n_words > 0").select(host, "fp").distinct())
-    root = cut(simhash.components(simhash.links(prints.select("fp").distinct())).withColumnRenamed("node", "fp"))
-    grouped = lambda df: df.join(root, "fp", "left").withColumn("fp", F.coalesce("root", "fp")).drop("root")
-    seen = base.select(host, "fp", F.explode(F.array_distinct("lines")).alias("line")).distinct()
-    # Fingerprints bound documents from above, so only lines with enough of them need their documents.
-    many = seen.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > min_docs).select("host", "line")
-    counts = grouped(seen.join(many, ["host", "line"])).distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
-    total = grouped(prints).distinct().groupBy("host").agg(F.count("*").alias("docs"))
-    over = counts.where(F.col("n") > min_docs).join(total, "host").where(F.col("n") > F.col("docs") * F.lit(float(share))).select("host", "line")
-    lines = base.select(host, "key", F.explode(F.array_distinct("lines")).alias("line"))
-    gone = lines.join(over, ["host", "line"]).groupBy("key").agg(F.collect_set("line").alias("over"))
-    out = base.join(gone, "key", "left")
+def _judged(read: DataFrame, names: list[str], schema: T.StructType, min_docs: int, share: float, keep_share: float) -> DataFrame:
+    """read: the text as bytes, then columns of these names, of which host is one."""
+    fields = T._parse_datatype_string("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<long>, line_words array<long>, sign binary").fields
+    base = cut(read.mapInArrow(_measure(names), T.StructType([*schema.fields, *fields])).withColumn("row", F.monotonically_increasing_id()))
+    host = F.xxhash64(F.col("host").isNull(), "host").alias("host")
+    lines = base.select(host, "row", "sign", F.explode(F.array_distinct("lines")).alias("line"))
+    # Rows bound documents from above, so only lines with enough of them need their documents.
+    rows = lines.groupBy("host", "line").agg(F.count("*").alias("n"))
+    many = cut(rows.where(F.col("n") > min_docs))
+    hot = F.broadcast(many.where(F.col("n") > max(1, (many.agg(F.sum("n")).first()[0] or 0) // SPREAD)).select("host", "line"))
+    warm = many.select("host", "line").join(hot, ["host", "line"], "left_anti")
+
+    def met(with_rows: DataFrame, hot_lines: DataFrame, other_lines: DataFrame) -> DataFrame:
+        found = with_rows.join(hot_lines, ["host", "line"])
+        return found.union(with_rows.join(hot, ["host", "line"], "left_anti").join(other_lines, ["host", "line"]).select(found.columns))
+
+    counts = met(lines.select("host", "line", "sign"), hot, warm).distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
+    total = base.where("n_words > 0").select(host, "sign").distinct().groupBy("host").agg(F.count("*").alias("docs"))
+    over = cut(counts.where(F.col("n") > min_docs).join(total, "host").where(F.col("n") > F.col("docs") * F.lit(float(share))).select("host", "line"))
+    gone = met(lines.select("host", "line", "row"), F.broadcast(over.join(hot, ["host", "line"], "left_semi")), over.join(hot, ["host", "line"], "left_anti")).groupBy("row").agg(F.collect_set("line").alias("over"))
+    out = base.join(gone, "row", "left")
     removed = F.aggregate(F.zip_with("lines", "line_words", lambda h, n: F.when(F.array_contains(F.col("over"), h), n).otherwise(0)), F.lit(0).cast("long"), lambda a, n: a + n)
     out = out.withColumn("removed_words", F.when(F.col("over").isNull(), F.lit(0).cast("long")).otherwise(removed))
-    failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
-    out = out.withColumn("base_failed", failed)
+    out = out.withColumn("base_failed", (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30))
     return out.withColumn("kept", ~F.col("base_failed") & ((F.col("n_words") - F.col("removed_words")) >= F.col("n_words") * F.lit(float(keep_share))))
 
 
-def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **options) -> DataFrame:
+def assess(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE) -> DataFrame:
+    """Per row: id_col, the counts, ``removed_words``, ``over`` (hashes of removed lines), base_failed and kept."""
+    read = docs.select(F.col(text_col).cast("binary").alias("t"), F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"))
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("host", T.StringType())])
+    out = _judged(read, ["id", "host"], schema, min_docs, share, keep_share)
+    return out.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words", "over", "base_failed", "kept")
+
+
+def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE, keep_share: float = KEEP_SHARE) -> DataFrame:
     """Kept rows with their columns; lines above the limit are gone from their texts."""
-    verdict = assess(docs, id_col, text_col, host_col, **options)
-    verdict = verdict.where("kept").groupBy(F.col("key").alias("__key")).agg(F.first("over").alias("__over"))
-    kept = docs.join(verdict, F.xxhash64(F.col(id_col), F.col(text_col), F.col(host_col)) == F.col("__key"))
-    left = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x: ~F.array_contains(F.col("__over"), F.xxhash64(normalised(x)))), "\n")
-    text = F.when(F.col("__over").isNull(), F.col(text_col)).otherwise(left)
-    return kept.select(*[text.alias(c) if c == text_col else F.when(F.col("__over").isNull(), F.col(c)).otherwise(F.length(text).cast(docs.schema[c].dataType)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    key = row_key(id_col, text_col, host_col)
+    read = docs.select(F.col(text_col).cast("binary").alias("t"), F.col(host_col).cast("string").alias("host"), key.alias("key"))
+    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("key", T.StringType())])
+    verdict = _judged(read, ["host", "key"], schema, min_docs, share, keep_share)
+    verdict = verdict.where("kept").groupBy("key").agg(F.first("over").alias("over"))
+    rows = packed(docs, key).join(verdict, "key")
+    left = F.array_join(F.filter(F.split(F.col("doc").getField(text_col), "\n", -1), lambda x: ~F.array_contains(F.col("over"), F.xxhash64(normalised(x)))), "\n")
+    return rows.select(unpacked(rows, docs, F.col("over").isNotNull(), text_col, left))

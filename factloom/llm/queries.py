@@ -29,8 +29,9 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = lines.dedup_lines(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.col("__fl_chunks").alias("n_chunks"), F.col("__fl_words").alias("n_words_removed"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+    out = lines.measured(table(spark, sf_dir, "documents"))
+    words = F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r.words)
+    return out.select(F.col("doc.doc_id").alias("doc_id"), F.coalesce(F.array_size("runs"), F.lit(0)).cast("long").alias("n_chunks"), F.coalesce(words, F.lit(0).cast("long")).alias("n_words_removed"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,9 +75,9 @@ w AS (SELECT r, regexp_extract_all(text, {_SPLIT}) AS ws FROM d),
 lines AS (SELECT r, host, i, ls[i] AS line FROM (SELECT r, host, string_split(text, chr(10)) AS ls FROM d), LATERAL (SELECT unnest(range(1, len(ls) + 1)) AS i)),
 norm AS (SELECT r, host, i, line, len(regexp_extract_all(line, {_SPLIT})) AS n, array_to_string(regexp_extract_all({_LOWER.replace("text", "line")}, {_SPLIT}), ' ') AS plain FROM lines WHERE regexp_matches(line, {_SPLIT})),
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup FROM norm GROUP BY r),
-sig AS (SELECT r, max(p) FILTER (k = 1) AS best, coalesce(max(p) FILTER (k = 2), '') AS second FROM (SELECT r, plain AS p, row_number() OVER (PARTITION BY r ORDER BY n DESC, hex(encode(plain)) DESC) AS k FROM (SELECT DISTINCT r, n, plain FROM norm)) GROUP BY r),
-freq AS (SELECT host, plain, count(DISTINCT CASE WHEN plain = best THEN second ELSE best END) AS n FROM norm JOIN sig USING (r) GROUP BY host, plain),
-total AS (SELECT host, count(DISTINCT {{'a': best, 'b': second}}) AS docs FROM d JOIN sig USING (r) GROUP BY host),
+sig AS (SELECT r, host, list_sort(list(DISTINCT plain)) AS own FROM norm GROUP BY r, host),
+freq AS (SELECT norm.host, plain, count(DISTINCT own) AS n FROM norm JOIN sig USING (r) GROUP BY norm.host, plain),
+total AS (SELECT host, count(DISTINCT own) AS docs FROM sig GROUP BY host),
 gone AS (SELECT norm.r, sum(norm.n) AS removed FROM norm JOIN freq USING (host, plain) JOIN total USING (host) WHERE freq.n > 20 AND freq.n > docs * 0.02 GROUP BY norm.r),
 win AS (SELECT r, i, array_to_string(ws[i:i+7], ' ') AS g FROM w, LATERAL (SELECT unnest(range(1, len(ws) - 6)) AS i)),
 twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM win) WHERE c > 1),

@@ -1,56 +1,44 @@
-"""Line chunks against a plain restatement in Python, with one chunk in most of the texts."""
+"""Chunks of lines against a plain restatement in Python, and passages of every shape."""
 
 import random
 import re
-import struct
+from collections import Counter
 
-import xxhash
+import pytest
 
 from factloom.llm import lines
 
 SHARED = "\n".join(f"this shared line number {i} is the same wherever it is met" for i in range(6))
 
 
-def _h(data, seed=42):
-    return xxhash.xxh64_intdigest(data, seed)
-
-
 def _count(line):
     return len(re.findall(r"[^\x20\x09-\x0D]+", line))
 
 
-def _chunks(text):
-    ls = text.split("\n")
-
-    def ends(i):
-        seed = 42
-        for j in range(lines.WINDOW):
-            seed = _h(struct.pack("<Q", _h(ls[i - j].encode()) if i >= j else 0), seed)
-        return (seed - (seed >> 63 << 64)) % lines.DIVISOR == 0
-
-    begins = [i for i in range(len(ls)) if i == 0 or _count(ls[i]) >= lines.ALONE or _count(ls[i - 1]) >= lines.ALONE or ends(i - 1)]
-    for a, b in zip(begins, [*begins[1:], len(ls)]):
-        n = sum(map(_count, ls[a:b]))
-        if n >= lines.MIN_WORDS and (b - a > 1 or n >= lines.ALONE):
-            yield a, b
-
-
 def brute(rows):
-    """Texts without the chunks that an earlier (id, place) holds; ids are distinct and not null."""
+    """Texts without the runs of lines that an earlier (id, line) holds; ids are distinct and not null."""
     seen, out = set(), {}
     for i, text in sorted(rows):
-        ls, gone = text.split("\n"), set()
-        for a, b in _chunks(text):
-            key = "\n".join(ls[a:b])
-            gone |= set(range(a, b)) if key in seen else set()
-            seen.add(key)
+        ls, again = text.split("\n"), set()
+        for b, line in enumerate(ls):
+            for unit in ([ls[b - 1 : b + 1]] if b and _count(line) + _count(ls[b - 1]) else []) + ([[line]] if _count(line) >= lines.ALONE else []):
+                if tuple(unit) in seen:
+                    again |= set(range(b - len(unit) + 1, b + 1))
+                seen.add(tuple(unit))
+        gone, run = set(), []
+        for b in [*sorted(again), None]:
+            if run and (b is None or b != run[-1] + 1):
+                if sum(_count(ls[x]) for x in run) >= lines.MIN_WORDS:
+                    gone |= set(run)
+                run = []
+            run.append(b)
         out[i] = "\n".join(x for j, x in enumerate(ls) if j not in gone) if gone else text
     return out
 
 
 def _texts():
     rng = random.Random(11)
-    own = [" ".join(rng.choice("alpha beta gamma delta epsilon zeta".split()) for _ in range(rng.choice((3, 8, 12, 40)))) for _ in range(60)]
+    own = [" ".join(rng.choice("alpha beta gamma delta epsilon zeta".split()) for _ in range(rng.choice((0, 1, 3, 8, 12, 40)))) for _ in range(60)]
     for i in range(150):
         picked = [rng.choice(own) for _ in range(rng.randint(0, 6))]
         start = rng.randrange(50)
@@ -64,10 +52,33 @@ def test_chunks_against_brute_force(spark):
     assert got == want and sum(got[i] != t for i, t in rows) > 50
 
 
-def test_parts_of_a_hot_chunk_change_nothing(spark, monkeypatch):
-    df = spark.createDataFrame(list(_texts()), "doc_id long, text string")
-    out = []
-    for spread in (1, 16, 1024):
-        monkeypatch.setattr(lines, "SPREAD", spread)
-        out.append(sorted(map(tuple, lines.dedup_lines(df).collect())))
-    assert out[0] == out[1] == out[2]
+@pytest.mark.parametrize("spread, prefixes", [(1, 1 << 20), (16, 64), (1024, 1)])
+def test_parts_of_a_hot_chunk_and_residues_change_nothing(spark, monkeypatch, spread, prefixes):
+    rows = list(_texts())
+    monkeypatch.setattr(lines, "SPREAD", spread)
+    monkeypatch.setattr(lines, "PREFIXES", prefixes)
+    assert {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == brute(rows)
+
+
+def test_passages_of_every_shape_go_whole(spark):
+    rng = random.Random(4)
+    say = lambda n: " ".join("".join(rng.choice("abcdefghijklm") for _ in range(7)) for _ in range(n))
+    rows, shapes = [], [(1, 55), (2, 28), (3, 18), (5, 11), (8, 7), (20, 3)]
+    for k, (n, w) in enumerate(shapes):
+        passage = "\n".join(say(w) for _ in range(n))
+        rows += [(10 * k + j, f"{say(9)}\n{passage}\n{say(9)}") for j in range(4)]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        own = text.split("\n")
+        assert got[i] == (text if i % 10 == 0 else f"{own[0]}\n{own[-1]}")
+
+
+def test_edges(spark):
+    long_ = "\n".join(f"line {i} of a very long text that nobody else has" for i in range(60_000))
+    rows = [(None, "x", 1, 7, "a"), (1, None, None, None, None), (2, "", 0, 8, "b"), (3, "\n\n", 2, 9, "c"), (4, long_, len(long_), 1, "d"), (5, long_, len(long_), 1, "e"), (6, "x", 1, 1, "f"), (6, "x", 1, 1, "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, key long, `runs.again` string")
+    out = lines.dedup_lines(df)
+    assert out.columns == df.columns
+    got = Counter((r[0], r[1], r[2], r[3], r[4]) for r in out.collect())
+    assert got == Counter((*r[:1], "" if r[0] == 5 else r[1], 0 if r[0] == 5 else r[2], *r[3:]) for r in rows)
+    assert lines.dedup_lines(df.where("false")).count() == 0
