@@ -4,12 +4,17 @@ A rule is a host and a path, joined (``net/fr/``); it fits its host and all subd
 path, and the longest fitting rule decides. For other urls the labels of the host and the parts of the path are split
 into words by a unigram Viterbi search, and multinomial naive Bayes scores the words.
 
-Both models are fitted on a bounded sample, the ``SAMPLE`` pages whose urls have the least hashes: word counts of their
-titles and urls for the unigrams; for naive Bayes each distinct host is an example, bad if a word of ``BAD_WORDS`` is
-among its words, with those words as examples of their own, so a sample without bad hosts still has both classes.
-
-Null urls and urls without ``://`` have an empty host and path, fit no rule, and get the verdict of no words: allow.
-Repeated rows are judged one by one; extra columns are not read.
+Unigrams are the words of all titles and url paths, counted by one aggregation over all rows. Naive Bayes counts the words
+of all rows, too: a row is bad if one of ``BAD_WORDS`` is among its words, so words that keep such company (``win`` beside
+``casino``) count as well. The rules' own verdicts are no labels: they tell top-level domains and languages apart, not bad
+sites from good ones. Of both tables the words in a share of ``SHARE`` or more of all words are used (at most 1 / SHARE
+of them); rarer ones are unknown words to the search and say nothing to the verdict. ``BAD_WORDS`` and ``COMMON_WORDS``
+hold ``FLOOR`` of all words each at least.
+
+Letters are those of any script; percent-encoded paths are decoded for their words. Null urls and urls without ``://``
+have an empty host and path, fit no rule, have no words and are allowed, as is any url without words. Repeated rows are
+counted and judged one by one; other columns are not read; an empty table gives an empty result. A url of any length is
+read whole: the search looks back 63 letters at each, the longest label of a host.
 """
 
 from __future__ import annotations
@@ -17,20 +22,24 @@ from __future__ import annotations
 import functools
 import math
 import re
-from collections import Counter
+from collections.abc import Mapping
+from urllib.parse import unquote
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from factloom.llm.common import cut
+
 #: (verdict, host and path)
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-SAMPLE = 4000
-BAD_WORDS = ("spam", "farm", "pills", "cheap", "casino", "poker", "porn", "xxx", "adult", "viagra", "malware", "phish", "warez", "crack", "betting", "gamble", "loan", "escort", "hack", "fake")
+BAD_WORDS = ("spam", "farm", "pills", "cheap", "casino", "poker", "porn", "xxx", "adult", "viagra", "malware", "phish", "warez", "crack", "betting", "bets", "gamble", "loan", "escort", "hack", "fake", "ads", "jackpot", "payday", "keygen", "torrent", "popup", "clickbait", "counterfeit", "replica")
 COMMON_WORDS = ("news", "blog", "mail", "shop", "home", "page", "world", "info", "data", "book", "music", "photo", "school", "health", "science", "travel", "food", "sport", "weather", "history", "library", "museum", "university", "city", "garden", "best", "free", "online", "web", "site", "net", "www", "en", "de", "fr", "es", "html", "example", "org", "com", "the", "and", "of", "for", "to", "in")
-_LETTERS = re.compile(r"[a-zà-öø-ÿ]+")
-_WIDEST = 24
+SHARE, FLOOR = 1e-6, 1e-4
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_WIDEST = 63
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -63,12 +72,16 @@ class Rules:
         return best
 
 
+def letters(text: str) -> list[str]:
+    return _LETTERS.findall(text.lower())
+
+
 class Segmenter:
     """Most probable split of a run of letters under a unigram model; unknown words cost more the longer they are."""
 
-    def __init__(self, counts: Counter):
+    def __init__(self, counts: Mapping[str, int]):
         self.total = sum(counts.values()) or 1
-        self.cost = {w: -math.log(c / self.total) for w, c in counts.items() if len(w) <= _WIDEST}
+        self.cost = {w: -math.log(c / self.total) for w, c in counts.items()}
 
     def __getstate__(self):
         return {"total": self.total, "cost": self.cost}
@@ -94,56 +107,69 @@ class Segmenter:
         return tuple(reversed(out))
 
     def words(self, host: str, path: str) -> list[str]:
-        out = []
-        for label in host.split(".")[:-1] if "." in host else [host]:
-            for run in _LETTERS.findall(label.lower()):
-                out += self.split(run)
-        for run in _LETTERS.findall(path.lower()):
-            out += self.split(run)
-        return out
+        return [w for run in letters(host) + letters(unquote(path)) for w in self.split(run)]
 
 
 class NaiveBayes:
-    def __init__(self, examples: list[tuple[list[str], bool]], smooth: float = 0.5):
-        counts, docs = {True: Counter(), False: Counter()}, Counter()
-        for words, bad in examples:
-            counts[bad].update(words)
-            docs[bad] += 1
-        size = len(counts[True] | counts[False]) + 1
-        total = {k: sum(c.values()) + smooth * size for k, c in counts.items()}
-        self.prior = math.log((docs[True] + 1) / (docs[False] + 1))
-        self.odds = {w: math.log((counts[True][w] + smooth) / total[True]) - math.log((counts[False][w] + smooth) / total[False]) for w in counts[True] | counts[False]}
+    """Multinomial: per class, words counted over its rows, smoothed by ``smooth``; the prior is the rows' share."""
+
+    def __init__(self, counts: Mapping[str, tuple[int, int]], rows: tuple[int, int], smooth: float = 0.5):
+        size = len(counts) + 1
+        total = [sum(c[k] for c in counts.values()) + smooth * size for k in (0, 1)]
+        self.prior = math.log((rows[1] + 1) / (rows[0] + 1))
+        self.odds = {w: math.log((c[1] + smooth) / total[1]) - math.log((c[0] + smooth) / total[0]) for w, c in counts.items()}
 
     def log_odds(self, words: list[str]) -> float:
         """Log odds of bad; words never seen say nothing."""
         return self.prior + sum(self.odds.get(w, 0.0) for w in words)
 
 
-def fit(pages: DataFrame, url_col: str = "url", html_col: str | None = "html", sample: int = SAMPLE) -> tuple[Segmenter, NaiveBayes]:
-    """Both models; no more than ``sample`` rows with different urls come to the driver, without their html."""
-    urls = pages.where(F.col(url_col).isNotNull()).select(F.xxhash64(F.lit(10), F.col(url_col)).alias("k")).distinct()
-    top = urls.orderBy("k").limit(sample).agg(F.max("k")).first()[0]
-    rows = []
-    if top is not None:
-        title = F.regexp_extract(html_col, r"(?is)<title[^>]*>([^<]*)", 1) if html_col else F.lit("")
-        near = pages.where(F.col(url_col).isNotNull() & (F.xxhash64(F.lit(10), F.col(url_col)) <= top)).groupBy(url_col).agg(F.max(F.substring(title, 1, 1000)).alias("title"))
-        rows = sorted((r[0], r[1] or "") for r in near.collect())
-    counts = Counter({w: 5 for w in COMMON_WORDS}) + Counter({w: 50 for w in BAD_WORDS})
-    for _, title in rows:
-        counts.update(w for w in _LETTERS.findall(title.lower()) if len(w) <= _WIDEST)
-    segmenter = Segmenter(counts)
-    bad = set(BAD_WORDS)
-    by_host: dict[str, list[str]] = {}
-    for url, _ in rows:
-        host, path = split_url(url)
-        by_host.setdefault(host, segmenter.words(host, path))
-    examples = [(w, not bad.isdisjoint(w)) for w in by_host.values()] + [([w], True) for w in BAD_WORDS] + [([w], False) for w in COMMON_WORDS]
-    return segmenter, NaiveBayes(examples)
-
-
-def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html", rules=RULES, sample: int = SAMPLE, limit: float = 0.0) -> DataFrame:
+def unigrams(pages: DataFrame, url_col: str = "url", html_col: str | None = "html", share: float = SHARE) -> dict[str, int]:
+    """Counts of the words of all titles and paths that hold a share, with the floor of the listed words."""
+
+    def run(batches):
+        for batch in batches:
+            words = [w for url in batch.column(0).to_pylist() for w in letters(unquote(split_url(url)[1]))]
+            words += [w for title in batch.column(1).to_pylist() for w in letters(title or "")]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string())], names=["w"])
+
+    title = F.regexp_extract(html_col, r"(?is)<title[^>]*>([^<]*)", 1) if html_col else F.lit("")
+    counted = cut(pages.select(F.col(url_col), title.alias("title")).mapInArrow(run, "w string").groupBy("w").agg(F.count("*").alias("n")))
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    out = {w: n for w, n in counted.where(F.col("n") >= share * total).collect()}
+    least = int(FLOOR * total) + 1
+    return out | {w: max(out.get(w, 0), least) for w in COMMON_WORDS + BAD_WORDS}
+
+
+def fit(pages: DataFrame, url_col: str = "url", html_col: str | None = "html", share: float = SHARE, bad_words: tuple[str, ...] = BAD_WORDS) -> tuple[Segmenter, NaiveBayes]:
+    """Both models, of all rows. No more than 2 / share words come to the driver."""
+    segmenter = Segmenter(unigrams(pages, url_col, html_col, share))
+    sent, bad = pages.sparkSession.sparkContext.broadcast(segmenter), set(bad_words)
+
+    def run(batches):
+        for batch in batches:
+            words, kinds, firsts = [], [], []
+            for url in batch.column(0).to_pylist():
+                own = sent.value.words(*split_url(url))
+                words += own
+                kinds += [not bad.isdisjoint(own)] * len(own)
+                firsts += [i == 0 for i in range(len(own))]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(kinds, pa.bool_()), pa.array(firsts, pa.bool_())], names=["w", "bad", "first"])
+
+    seen = pages.select(url_col).mapInArrow(run, "w string, bad boolean, first boolean")
+    one = lambda c: F.sum(c.cast("long"))
+    counted = cut(seen.groupBy("w").agg(one(~F.col("bad")).alias("good"), one(F.col("bad")).alias("bad"), one(F.col("first") & ~F.col("bad")).alias("good_rows"), one(F.col("first") & F.col("bad")).alias("bad_rows")))
+    total, good, ill = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (F.col("good") + F.col("bad"), "good_rows", "bad_rows")]).first()
+    counts = {w: (g, b) for w, g, b in counted.where(F.col("good") + F.col("bad") >= share * total).select("w", "good", "bad").collect()}
+    for w in bad_words:  # so that a table without bad rows knows them
+        g, b = counts.get(w, (0, 0))
+        counts[w] = (g, max(b, 1))
+    return segmenter, NaiveBayes(counts, (good, max(ill, 1)))
+
+
+def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str | None = "html", rules=RULES, limit: float = 0.0, share: float = SHARE, bad_words: tuple[str, ...] = BAD_WORDS) -> DataFrame:
     """(id_col, host, path, rule, verdict, log_odds, words) for each row; log_odds and words say what the method found."""
-    fitted = pages.sparkSession.sparkContext.broadcast(fit(pages, url_col, html_col, sample))
+    fitted = pages.sparkSession.sparkContext.broadcast(fit(pages, url_col, html_col, share, bad_words))
     schema = T.StructType([T.StructField(id_col, pages.schema[id_col].dataType), *(T.StructField(c, T.StringType()) for c in ("host", "path", "rule", "verdict")), T.StructField("log_odds", T.DoubleType()), T.StructField("words", T.StringType())])
 
     def run(batches):

@@ -1,4 +1,9 @@
-"""Numbers next to other numbers."""
+"""Candidates, overlaps, and spans added on held-out spellings that no example generator made."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -22,4 +27,105 @@ def test_the_right_span_wins(text, numbers):
 
 
 def test_candidates_per_place_are_bounded():
-    assert len(pii.candidates("123 " * 5000)) <= 7 * 5000
+    assert len(pii.candidates("123 " * 5000)) <= 8 * 5000
+
+
+def test_overlaps_behind_many_short_spans():
+    rng = random.Random(2)
+    for _ in range(300):
+        base = [(a, a + rng.randint(1, 40)) for a in (rng.randrange(200) for _ in range(rng.randint(0, 8)))]
+        taken, placed = pii.Taken(base), list(base)
+        for _ in range(40):
+            a = rng.randrange(220)
+            b = a + rng.randint(1, 25)
+            free = not any(x < b and a < y for x, y in placed)
+            assert taken.free(a, b) == free
+            if free:
+                taken.add(a, b)
+                placed.append((a, b))
+    taken = pii.Taken([(0, 100), (10, 12), (14, 15), (20, 22), (30, 31)])
+    assert not taken.free(50, 60) and taken.free(100, 101)
+
+
+def _held_out():
+    """(kind or None, text, what is to be found) in ordinary sentences."""
+    rng = random.Random(77)
+    names = "maria john.doe s_ito anna-lena bob77 k.okafor lee".split()
+    sites = "gmail orange-mail uni-koeln corp.acme postbox".split()
+    leads = ["you can reach her under", "The form gives", "Bitte melden Sie sich:", "he noted", "on the note stands", "see also", "contacto"]
+    tails = ["before noon.", "as always", "und danach nicht mehr", ", thanks", "if you like"]
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def luhn_card(n):
+        d = rng.choice("3456") + digits(n - 2)
+        return next(d + c for c in "0123456789" if pii.luhn(d + c))
+
+    def email():
+        at, dot = rng.choice([(" at ", " dot "), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" AT ", " DOT "), (" [at] ", ".")])
+        return f"{rng.choice(names)}{at}{rng.choice(sites).replace('.', dot)}{dot}{rng.choice(['com', 'org', 'de', 'net'])}"
+
+    def ip():
+        return rng.choice([lambda: "[.]".join(str(rng.randrange(256)) for _ in range(4)), lambda: "2001:db8:" + ":".join(f"{rng.randrange(65536):x}" for _ in range(6)), lambda: f"fe80::{rng.randrange(65536):x}:{rng.randrange(65536):x}"])()
+
+    def card():
+        d = luhn_card(16)
+        return rng.choice([".", "  ", " / ", "_"]).join(d[i : i + 4] for i in range(0, 16, 4))
+
+    def phone():
+        return rng.choice([lambda: f"({digits(3)}) {digits(3)}-{digits(4)}", lambda: f"{digits(3)}-{digits(3)}-{digits(4)}", lambda: f"{digits(3)}.{digits(3)}.{digits(4)}", lambda: f"0{digits(3)} {digits(6)}", lambda: f"00{digits(2)} {digits(3)} {digits(7)}"])()
+
+    def secret():
+        return rng.choice([lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40)), lambda: "AKIA" + "".join(rng.choice("ABCDEFGHJKLMNPQR234567") for _ in range(16)), lambda: "ghp_" + "".join(rng.choice("abcdefXYZ0123456789") for _ in range(36))])()
+
+    for kind, make in (("email", email), ("ip", ip), ("card", card), ("phone", phone), ("secret", secret)):
+        for _ in range(40):
+            s = make()
+            yield kind, f"{rng.choice(leads)} {s} {rng.choice(tails)}", s
+    for _ in range(120):
+        s = rng.choice([lambda: f"{rng.randint(1950, 2029)}-0{rng.randint(1, 9)}-{rng.randint(10, 28)}", lambda: f"{digits(2)}:{digits(2)}:{digits(2)}", lambda: f"{digits(3)}-{digits(2)}-{digits(4)}", lambda: digits(16) if not pii.luhn(digits(16)) else "12", lambda: f"chapter {digits(2)} page {digits(3)}", lambda: "the people at work dot the map", lambda: f"{digits(1)}.{digits(1)}.{digits(1)}", lambda: "well-known-state-of-the-art-things-here"])()
+        yield None, f"{rng.choice(leads)} {s} {rng.choice(tails)}", s
+
+
+def test_recall_and_precision_of_added_spans_per_kind():
+    trees = pii.model()
+    hit, wanted, given = Counter(), Counter(), Counter()
+    wrong = defaultdict(list)
+    for kind, text, s in _held_out():
+        _, spans = pii.find(text, *trees)
+        found = {(k, text[a:b]) for k, a, b in spans}
+        for k, _ in found:
+            given[k] += 1
+        if kind:
+            wanted[kind] += 1
+            hit[kind] += (kind, s) in found
+        for x in found - {(kind, s)}:
+            wrong[x[0]].append((x, text))
+    print({k: (hit[k] / wanted[k], hit[k] / max(1, given[k])) for k in pii.KINDS}, {k: v[:4] for k, v in wrong.items()})
+    for k in pii.KINDS:
+        assert hit[k] / wanted[k] >= 0.85 and hit[k] / given[k] >= 0.85, (k, hit[k] / wanted[k], hit[k] / given[k], wrong[k][:5])
+
+
+def test_query_form_against_the_rules(spark):
+    """Counts and digests of base spans through detect(), every other span beside them; nulls, empties, a long text."""
+    rng = random.Random(6)
+    texts = [None, "", "x", "a@b.cc, 1.2.3.4 +1 (212) 555-0143 4111111111111111", 'token = "' + "0af3" * 10 + '"', "9 " * 200_000 + "jo@ex.org"]
+    texts += ["".join(rng.choice("aZ0159..@@+- ()é%_\n") for _ in range(rng.randint(0, 80))) for _ in range(200)]
+    rows = [(i if i % 7 else None, t, i) for i, t in enumerate(texts)] + [(3, texts[3], 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_spans int")
+
+    def brute(t):
+        t = t or ""
+        out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+        out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m.group().split("."))]
+        out += [("card", *m.span()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if 14 <= len(pii._digits(m.group())) <= 19 and pii.luhn(pii._digits(m.group()))]
+        out += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 10 <= len(pii._digits(m.group())) <= 15]
+        return sorted(out, key=lambda s: (s[1], pii.KINDS.index(s[0])))
+
+    got = pii.detect(df).collect()
+    key = lambda i, t: (str(i), *(sum(s[0] == k for s in brute(t)) for k in pii.BASE), hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in brute(t)).encode()).hexdigest())
+    assert sorted((str(r.doc_id), r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in got) == sorted(key(i, t) for i, t, _ in rows)
+    for r in got:
+        own = r.spans.split(",") if r.spans else []
+        assert len(own) == r.n_spans >= r.n_email + r.n_ip + r.n_card + r.n_phone
+    assert any("secret:9:49" in r.spans for r in got)
+    assert pii.detect(df.where("false")).count() == 0
