@@ -30,7 +30,7 @@ INJECTIONS = (
     ("output_hijack", r"(?iU)\b(?:respond only with|output exactly|return the following json)\b"),
     ("exfiltration", r"(?iU)\b(?:api[_ -]?key|secret|password)\b[^.\n]{0,20}\b(?:send|post|email|upload)\b"),
 )
-MARKER = "[REDACTED: suspected embedded instruction]"
+MARKER = "[text to a model left out]"
 SALT_MASK = "factloom-mask-1"
 # Kinds whose masked values keep their form, and kinds that become labelled tokens.
 FORMAT_KINDS = ("BIC", "IBAN", "ACCOUNT_NUMBER", "SORT_CODE", "PARTICIPANT_ID", "LEI", "PHONE")

@@ -1,14 +1,19 @@
 """Hash-chained audit log: append, resume, verify.
 
 An entry's hash covers its canonical JSON, the hash of the entry before it included. Documents are chained side by side;
-within one, the chain is a fold over its new entries in order. Verification needs no fold: each entry's hash is recomputed
+within one, a running hash passes over its new entries in order. Verification needs no fold: each entry's hash is recomputed
 on its own, and links and gaps are one ``lag``.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from factloom.functions.text import hash_value, value_shape
 
@@ -47,7 +52,8 @@ def tails(log: DataFrame) -> DataFrame:
 def append(events: DataFrame, order: list[str], log: DataFrame | None = None) -> DataFrame:
     """New log entries for ``events`` of (document_id, event, ...), ordered by ``order`` within a document.
 
-    Each entry's own part is rendered to JSON before anything is gathered, so the fold carries strings of one document.
+    Each entry's own part is rendered to JSON first. A document's entries stand in order in one partition and a running
+    hash passes over them: linear in entries, in constant memory, whatever the document's size.
     """
     e = prepared(events).withColumn("__rank", F.row_number().over(Window.partitionBy("document_id").orderBy(*order)))
     last = tails(log).select("document_id", F.col("sequence").alias("__seq"), F.col("entry_hash").alias("__tail")) if log is not None else None
@@ -58,12 +64,25 @@ def append(events: DataFrame, order: list[str], log: DataFrame | None = None) ->
     head = canonical({c: F.col(c) for c in own if c < "prev_hash"})
     tail = canonical({c: F.col(c) for c in own if c > "prev_hash"})
     e = e.withColumn("__a", F.concat(F.substr(head, F.lit(1), F.length(head) - 1), F.lit(',"prev_hash":"'))).withColumn("__b", F.concat(F.lit('",'), F.substr(tail, F.lit(2))))
-    e = e.withColumn("detail", F.to_json("detail"))  # a map can't be sorted
-    rows = e.groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("sequence", "__a", "__b", *[c for c in own if c not in ("sequence", "document_id")]))).alias("rows"), F.first("__tail", ignorenulls=True).alias("__tail"))
-    start = F.array(F.coalesce("__tail", F.lit(GENESIS)))
-    hashes = F.aggregate("rows", start, lambda a, r: F.concat(a, F.array(F.sha2(F.concat(r["__a"], F.element_at(a, -1), r["__b"]).cast("binary"), 256))))
-    out = rows.withColumn("h", hashes).select("document_id", F.explode(F.arrays_zip("rows", F.slice("h", 1, F.size("rows")).alias("p"), F.slice("h", 2, F.size("rows")).alias("x"))).alias("z"))
-    return out.select("document_id", "z.rows.sequence", *[F.from_json("z.rows.detail", "map<string,string>").alias("detail") if c == "detail" else F.col(f"z.rows.{c}").alias(c) for c in own if c not in ("sequence", "document_id")], F.col("z.p").alias("prev_hash"), F.col("z.x").alias("entry_hash"))
+    e = e.select("document_id", "sequence", *[c for c in own if c not in ("sequence", "document_id")], "__tail", "__a", "__b")
+    kept = e.columns[:-3]
+    schema = T.StructType([*(e.schema[c] for c in kept), T.StructField("prev_hash", T.StringType()), T.StructField("entry_hash", T.StringType())])
+    return e.repartition("document_id").sortWithinPartitions("document_id", "sequence").mapInArrow(_chained, schema)
+
+
+def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries of whole documents in order, with the hash before each and its own: one running hash, nothing gathered."""
+    document, last = object(), GENESIS
+    for batch in batches:
+        before, own = [], []
+        ids, tails_, heads, ends = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("document_id", "__tail", "__a", "__b"))
+        for name, tail, a, b in zip(ids, tails_, heads, ends):
+            if name != document:
+                document, last = name, tail or GENESIS
+            before.append(last)
+            last = hashlib.sha256(f"{a}{last}{b}".encode()).hexdigest()
+            own.append(last)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(before, pa.string()), pa.array(own, pa.string())], names=[*batch.schema.names[:-3], "prev_hash", "entry_hash"])
 
 
 def verify(log: DataFrame) -> DataFrame:
@@ -71,7 +90,7 @@ def verify(log: DataFrame) -> DataFrame:
     digest = F.sha2(canonical({c: F.col(c) for c in FIELDS}).cast("binary"), 256)
     w = Window.partitionBy("document_id").orderBy("sequence")
     checked = log.select("document_id", "sequence", "prev_hash", (digest != F.col("entry_hash")).alias("modified"), F.coalesce(F.lag("entry_hash").over(w), F.lit(GENESIS)).alias("expected"), F.coalesce(F.lag("sequence").over(w) + 1, F.lit(0)).alias("due"))
-    fault = F.when(F.col("modified"), "content was modified").when(F.col("prev_hash") != F.col("expected"), "breaks the chain link")
+    fault = F.when(F.col("modified"), "hash_differs").when(F.col("prev_hash") != F.col("expected"), "link_differs")
     first = F.min(F.when(fault.isNotNull(), F.struct("sequence", fault.alias("why"))))
     return checked.groupBy("document_id").agg(F.count("*").alias("entries"), first.alias("f"), F.min(F.when(F.col("sequence") != F.col("due"), F.col("due"))).alias("gap")).select("document_id", "entries", F.col("f").isNull().alias("intact"), F.col("f.sequence").alias("failed_sequence"), F.col("f.why").alias("reason"), "gap")
 

@@ -33,10 +33,17 @@ def _extent(df: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
 
 
 def ink_bands(df: DataFrame, keys: list[str], a: str, b: str, corridor: int) -> DataFrame:
-    """Bands along one axis of intervals [a, b]."""
-    e = df.join(_extent(df, keys, a, b), keys)
-    slots = e.select(*keys, "low", "high", "last_slot", F.explode(F.sequence((F.col(a) - F.col("low")).cast("int"), F.least((F.col(b) - F.col("low")).cast("int"), F.col("last_slot") - 1))).alias("slot")).distinct()
-    return bands_of_slots(slots, keys, corridor)
+    """Bands along one axis of intervals [a, b]: gaps and islands on the intervals themselves, by one shuffle."""
+    own = Window.partitionBy(*keys)
+    e = df.select(*keys, a, b, F.min(a).over(own).alias("low"), F.max(b).over(own).alias("high")).where("high > low").withColumn("n", (F.col("high") - F.col("low")).cast("int") + 2)
+    e = e.select(*keys, "low", "high", "n", (F.col(a) - F.col("low")).cast("int").alias("s"), F.least((F.col(b) - F.col("low")).cast("int"), F.col("n") - 1).alias("e"))
+    w = own.orderBy("s", "e")
+    before = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce(F.col("s") - before - 1 >= corridor, F.lit(True)).cast("int")
+    banded = e.withColumn("new", new).withColumn("band", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1)
+    g = banded.groupBy(*keys, "band").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.first("low").alias("low"), F.first("high").alias("high"), F.first("n").alias("n"))
+    ends = (F.col("e") == F.max("e").over(own)) & (F.col("n") - 1 - F.col("e") < corridor)
+    return g.select(*keys, F.col("band").cast("int").alias("band"), (F.col("low") + F.col("s")).alias("start"), F.when(ends, F.col("high")).otherwise(F.col("low") + F.col("e") + 1).alias("stop"))
 
 
 def _place(value: Column, bands: Column) -> Column:
