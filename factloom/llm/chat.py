@@ -9,8 +9,10 @@ doubled and one is put behind the first character of every control string (``<|`
 ``[/INST]``), so no text can open or close a turn; a newline in a role is written as backslash, n. ``parse`` undoes it.
 
 Nulls: a null text or role is empty; a null conversation id is one conversation; events of no known kind count as
-``message``; null sequence numbers come first, ties go by kind, role and text. Repeated message rows are turns of their
-own. A conversation's text is one value of the result, so it is one row in memory; deltas are joined per message first.
+``message``; null sequence numbers come first; at one number a delta stands behind whatever resets its message, other ties
+go by role and text. Repeated message rows are turns of their own. A text of any length is one value; a conversation's
+text is one value of the result, so it is one row in memory; deltas are joined per message first. Other columns are not
+read. An empty log gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,7 +38,9 @@ def fold(events: DataFrame, conv: str = "conv_id", seq: str = "seq", kind: str =
     # Per message: the last reset, then the deltas behind it. Both are aggregates that combine before the shuffle.
     order = F.struct("seq", (F.col("delta")).alias("d"), F.col("role").alias("r"), F.col("text").alias("t"))
     m = e.groupBy("conv_id", "message").agg(F.min("seq").alias("turn_order"), F.max(F.when(~F.col("delta"), order)).alias("reset"), F.min_by("role", order).alias("first_role"), F.array_sort(F.collect_list(F.when(F.col("delta"), order))).alias("deltas"))
-    later = F.filter("deltas", lambda x: F.col("reset").isNull() | x.seq.isNull() & F.col("reset.seq").isNull() | (x.seq > F.col("reset.seq")) | x.seq.isNotNull() & F.col("reset.seq").isNull())
+    # At one sequence number deltas stand behind the reset; a null number stands before all others.
+    behind = lambda x: F.when(F.col("reset.seq").isNull(), F.lit(True)).when(x.seq.isNull(), F.lit(False)).otherwise(x.seq >= F.col("reset.seq"))
+    later = F.filter("deltas", lambda x: F.col("reset").isNull() | behind(x))
     body = F.concat(F.coalesce(F.col("reset.t"), F.lit("")), F.array_join(F.transform(later, lambda x: x.t), ""))
     return m.select("conv_id", "turn_order", "message", F.coalesce("reset.r", "first_role").alias("role"), body.alias("text"))
 

@@ -63,6 +63,13 @@ def unpacked(rows: DataFrame, docs: DataFrame, changed: Column | None = None, te
     return [v.alias(c) for c, v in own.items()]
 
 
+def spread_join(rows: DataFrame, table: DataFrame, on: str, hot: DataFrame) -> DataFrame:
+    """Inner join; ``hot`` holds those keys, of a bounded number, that may have many rows: they are found by broadcast."""
+    hot = F.broadcast(hot.select(on))
+    found = rows.join(F.broadcast(table.join(hot, on, "left_semi")), on)
+    return found.unionByName(rows.join(hot, on, "left_anti").join(table.join(hot, on, "left_anti"), on))
+
+
 def lower_ascii(c: Column) -> Column:
     """Lower A-Z only, as ``bytes.lower`` does."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

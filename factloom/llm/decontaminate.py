@@ -10,7 +10,8 @@ Before the shuffle, documents' k-grams pass a bitmap of fixed size (2**bits bits
 saves work, since it drops no hash that an item has.
 
 Null and empty texts have no words. An item whose id is null is named by the empty string. Items that repeat an id count
-once. Repeated documents are judged one by one; extra columns are not read.
+once. Repeated documents are judged one by one; extra columns are not read, and pass through ``drop_contaminated`` whatever
+their names. Empty tables of documents or items give no hits. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import Tokens, blocks, cut, mixed
+from factloom.llm.common import Tokens, blocks, cut, mixed, packed, row_key, unpacked
 
 #: Bytes of words: all but [\x00-\x2F\x3A-\x60\x7B-\x7F], after lowering.
 WORD_BYTES = np.ones(256, np.uint8)
@@ -141,8 +142,8 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     def run(batches):
         yield from _mapper(["id", "key"], k, window, short, bitmap.value)(batches)
 
-    read = docs.select(F.col(text_col).cast("binary").alias("t"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"))
-    base = cut(read.mapInArrow(run, f"id {kind}, key long, n_words long, grams array<{_GRAM_SQL}>"))
+    read = docs.select(F.col(text_col).cast("binary").alias("t"), F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"))
+    base = cut(read.mapInArrow(run, f"id {kind}, key string, n_words long, grams array<{_GRAM_SQL}>"))
     own = base.where(F.size("grams") > 0).select("id", "key", F.explode("grams").alias("g")).select("id", "key", "g.*").distinct()
     x, y = own.alias("x"), tests.alias("y")
     met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.n") == F.col("y.n")) & (F.col("x.whole") == F.col("y.whole")) & (F.col("x.gram") == F.col("y.gram")))
@@ -162,5 +163,6 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: float = 0.0, **options) -> DataFrame:
     """The rows of ``docs`` of which no more than the share ``most`` of the words is hit."""
-    bad = hits(docs, items, id_col, text_col, **options).where(F.col("n_hit") > F.col("n_words") * F.lit(float(most))).select(F.col("key").alias("__key")).distinct()
-    return docs.join(bad, F.xxhash64(F.col(id_col), F.col(text_col)) == F.col("__key"), "left_anti")
+    bad = hits(docs, items, id_col, text_col, **options).where(F.col("n_hit") > F.col("n_words") * F.lit(float(most))).select("key").distinct()
+    rows = packed(docs, row_key(id_col, text_col)).join(bad, "key", "left_anti")
+    return rows.select(unpacked(rows, docs))

@@ -6,8 +6,10 @@ weight until none is above. Documents of a source stand in the order of a hash o
 document's, so no task gets a whole source. A source takes its budget (its target, rounded) exactly: as many whole
 epochs as fit, then documents in order until the budget is met; the last one gives the words that are missing.
 
-Null text: size 0. Null source: the last source. A null id hashes as an empty one. Rows that repeat an id are ordered by
-size; equal rows get the same parts in either order. No words at all: every target is 0.
+Null text: size 0. Null source: the last source. A null id hashes as its text. Rows that repeat an id are ordered by size;
+equal rows get the same parts in either order. No words at all: every target is 0. Texts of any length are counted whole
+and not kept. Other columns are not read. An empty table gives an empty result. The table of sources is ordered in one
+task: it holds a row per source and 4,096 ranges of each at most.
 """
 
 from __future__ import annotations
@@ -44,7 +46,9 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = "") -> DataFrame:
     """(id_col, source, size, source_size, target, taken) for each row."""
-    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
+    # A null id is told apart by its text, so that rows without ids are not one range of one task.
+    named = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("\0"), F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)))
+    key = F.md5(F.concat(F.lit(seed), named).cast("binary"))
     base = cut(docs.select(F.col(id_col), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key")))
     base = base.withColumn("range", F.substring("key", 1, 3))
     sums = base.groupBy("source", "range").agg(F.sum("size").alias("range_size"))

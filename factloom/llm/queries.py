@@ -89,7 +89,7 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
 """
 
 _OP6 = rf"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_SPLIT}))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_SPLIT}))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, chr(0) || sha256(coalesce(text, '')))) AS k FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS w, 3 * source_size AS cap FROM s),
 o AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0))::BIGINT AS l, (sum(w) OVER () - coalesce(sum(w) OVER b, 0))::BIGINT AS wl FROM w

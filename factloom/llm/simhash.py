@@ -1,19 +1,30 @@
 """SimHash near-duplicates by anchor-point covering.
 
-A fingerprint's two halves of 32 bits are looked at one by one: if two fingerprints differ in at most 4 bits, one of
-the halves differs in at most 2. In a half, the anchors are the words of the perfect Hamming code [31, 26] with one
-free bit, a covering code of radius 1. Two halves that differ in at most 2 bits have a midpoint within 1 of both and
-an anchor within 1 of that midpoint, so both lie within 2 (the radius plus each side's share of the threshold) of one
-anchor. Each fingerprint goes to every anchor that near (17 at most per half), and only fingerprints of one anchor are
-compared. That is exact: no link is lost.
+A fingerprint of ``64 * lanes`` bits is looked at in parts of 32 bits. In a part, the anchors are the words of the perfect
+Hamming code [31, 26] with one free bit, a covering code of radius 1. Each fingerprint goes to every anchor within 2 of a
+part (the radius plus each side's share of a threshold of 2; 17 on average), and only fingerprints of one anchor are
+compared, all bits of them. Two parts that differ in at most 2 bits have a midpoint within 1 of both and an anchor within
+1 of that midpoint, so they meet.
+
+One lane has two parts and a threshold of 4 at most: if two fingerprints differ in at most 4 bits, one of the parts
+differs in at most 2. That is exact: no link is lost. Two lanes serve a similarity instead of a few bits: texts whose
+shingle sets have Jaccard similarity J differ in a share acos(2J / (1 + J)) / pi of all bits, about 19 of 128 at J = 0.8,
+with a deviation of 4; up to 23 are linked there, so that five of six such pairs are, and some between 0.7 and 0.8, too.
+They have eight parts, the four words of 32 bits and the four sets of every fourth bit. Links at that distance are found
+if one part differs in at most 2 bits (or in 3 or 4 with an anchor between), which is likely but not certain: the README
+has the recall as measured. Components close most gaps, since copies of one text link to each other in many ways.
 
 Whole texts; A-Z lowered; words ``[^\\x20\\x09-\\x0D]+``; shingles of ``k`` words joined by a space (fewer words: the
-whole sequence); XXH64 with seed 42; a bit is 1 if over half of the shingles have it. No words (empty, null): zero.
-Repeated rows stay repeated; a component whose ids are all null has the id null. Other columns are not read.
+whole sequence); XXH64 with seed 42, further lanes by mixing it; a bit is 1 if over half of the shingles have it. No words
+(empty, null): zero, linked like any other. Repeated rows stay repeated; a component whose ids are all null has the id
+null. Of ties the least id stays, then the least row hash. Other columns are not read, and pass through ``keep_one``
+whatever their names. Empty table: empty result. A text of any length is one value of a task's memory.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -21,11 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factloom.llm.common import cut, texts
+from factloom.llm.common import cut, mixed, packed, row_key, spread_join, texts, unpacked
 
 RADIUS = 4
+#: For near-duplicates by similarity: words of a shingle, lanes, least similarity.
+SHINGLE, LANES, SIMILARITY = 5, 2, 0.8
 #: Members of an anchor that one task compares with each other; a larger anchor is cut into blocks of about so many.
 BLOCK = 2048
+#: A component with over 1 / SPREAD of all fingerprints (there are fewer than SPREAD such) is joined by broadcast.
+SPREAD = 1024
 
 _bits = np.arange(256, dtype=np.uint64)
 #: Byte value to eight lanes of a byte: adds up to 255 hashes at once without a carry.
@@ -38,12 +53,18 @@ for _b in range(4):
             _SYNDROME[_b] ^= np.where((np.arange(256) >> _i) & 1, _b * 8 + _i + 1, 0).astype(np.uint8)
 
 
-def fingerprint(text: bytes, k: int = 4, seed: int = 42) -> int:
-    """SimHash of one text, unsigned."""
+def radius_of(similarity: float, lanes: int = LANES) -> int:
+    """Bits that fingerprints of texts with this Jaccard similarity differ in on average, and one standard deviation."""
+    bits, share = 64 * lanes, math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * share + math.sqrt(bits * share * (1 - share)))
+
+
+def fingerprint(text: bytes, k: int = 4, seed: int = 42, lanes: int = 1) -> list[int]:
+    """SimHash of one text, unsigned, a number of 64 bits per lane."""
     words = text.lower().split()
     n = len(words)
     if n == 0:
-        return 0
+        return [0] * lanes
     joined = b" ".join(words)
     if n <= k:
         hashes = np.array([xxhash.xxh64_intdigest(joined, seed)], np.uint64)
@@ -53,37 +74,60 @@ def fingerprint(text: bytes, k: int = 4, seed: int = 42) -> int:
         starts = (ends - lengths)[: n - k + 1].tolist()
         digest = xxhash.xxh64_intdigest
         hashes = np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, ends[k - 1 :].tolist())), np.uint64, n - k + 1)
-    lanes = _LANES[hashes.view(np.uint8).reshape(-1, 8)]
-    counts = np.zeros(64, np.int64)
-    for i in range(0, len(lanes), 255):
-        counts += lanes[i : i + 255].sum(axis=0, dtype=np.uint64).view(np.uint8)
-    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+    out = []
+    for lane in range(lanes):
+        own = hashes if lane == 0 else mixed(hashes ^ np.uint64(0x9E3779B97F4A7C15 >> lane))
+        spread = _LANES[own.view(np.uint8).reshape(-1, 8)]
+        counts = np.zeros(64, np.int64)
+        for i in range(0, len(spread), 255):
+            counts += spread[i : i + 255].sum(axis=0, dtype=np.uint64).view(np.uint8)
+        out.append(int(np.packbits(counts * 2 > len(own), bitorder="little").view(np.uint64)[0]))
+    return out
+
+
+def _names(lanes: int) -> list[str]:
+    return [f"f{i}" for i in range(lanes)]
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, seed: int = 42) -> DataFrame:
-    """(id_col, fp long) for each row."""
+def fingerprints(rows: DataFrame, k: int = 4, seed: int = 42, lanes: int = 1) -> DataFrame:
+    """The first column, a text as bytes, replaced by f0, f1, ... (long), behind the other columns."""
+    fields = [f for f in rows.schema.fields[1:]] + [T.StructField(n, T.LongType()) for n in _names(lanes)]
 
     def run(batches):
         for batch in batches:
-            fp = np.array([fingerprint(t, k, seed) for t in texts(batch.column(1))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=[id_col, "fp"])
+            fp = np.array([fingerprint(t, k, seed, lanes) for t in texts(batch.column(0))], np.uint64).reshape(-1, lanes).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *(pa.array(np.ascontiguousarray(fp[:, i])) for i in range(lanes))], names=[f.name for f in fields])
 
-    kind = docs.schema[id_col].dataType
-    return docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("t")).mapInArrow(run, T.StructType([T.StructField(id_col, kind), T.StructField("fp", T.LongType())]))
+    return rows.mapInArrow(run, T.StructType(fields))
+
+
+def _every_fourth(x: np.ndarray, first: int) -> np.ndarray:
+    """16 bits: the bits of x at first, first + 4, ..."""
+    y = (x >> np.uint64(first)) & np.uint64(0x1111111111111111)
+    for shift, mask in ((3, 0x0303030303030303), (6, 0x000F000F000F000F), (12, 0x000000FF000000FF), (24, 0xFFFF)):
+        y = (y | (y >> np.uint64(shift))) & np.uint64(mask)
+    return y
+
+
+def parts_of(fp: np.ndarray) -> list[np.ndarray]:
+    """Parts of 32 bits of fingerprints (rows x lanes)."""
+    out = [(fp[:, lane] >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF) for lane in range(fp.shape[1]) for half in range(2)]
+    if fp.shape[1] == 2:
+        out += [_every_fourth(fp[:, 0], i) | (_every_fourth(fp[:, 1], i) << np.uint64(16)) for i in range(4)]
+    return [p.astype(np.int64) for p in out]
 
 
 def anchors_of(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(anchor, place in fp) of unsigned fingerprints: every anchor within 2 of a half."""
+    """(anchor, row of fp): every anchor within 2 of a part of unsigned fingerprints (rows x lanes)."""
     keys, places = [], []
     everyone = np.arange(len(fp))
-    for half in range(2):
-        x = ((fp >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    for part, x in enumerate(parts_of(fp)):
         word, free = x & 0x7FFFFFFF, x >> 31
         s = _SYNDROME[0][word & 255] ^ _SYNDROME[1][(word >> 8) & 255] ^ _SYNDROME[2][(word >> 16) & 255] ^ _SYNDROME[3][(word >> 24) & 255]
         s = s.astype(np.int64)
         off = s > 0
         near = np.where(off, word ^ (1 << np.maximum(s - 1, 0)), word)
-        tag = half << 40
+        tag = part << 40
         keys += [tag | (free << 31) | near, tag | ((1 - free) << 31) | near]
         places += [everyone, everyone]
         for i in range(1, 32):
@@ -95,10 +139,18 @@ def anchors_of(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(places)
 
 
+def _differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits; the last axis holds the lanes."""
+    out = np.bitwise_count(a[..., 0] ^ b[..., 0])
+    for lane in range(1, a.shape[-1]):
+        out = out + np.bitwise_count(a[..., lane] ^ b[..., lane])
+    return out
+
+
 def _star(fp: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Each member of a group with the least member of its component there."""
     m = len(fp)
-    near = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= radius
+    near = _differ(fp[:, None], fp[None, :]) <= radius
     label = np.arange(m)
     while True:
         new = np.where(near, label[None, :], m).min(axis=1)
@@ -121,7 +173,7 @@ def _pairs(anchor: np.ndarray, fp: np.ndarray, radius: int) -> tuple[list[np.nda
         i = i[anchor[i] == anchor[i + d]]
         if not len(i):
             break
-        i = i[np.bitwise_count(fp[i] ^ fp[i + d]) <= radius]
+        i = i[_differ(fp[i], fp[i + d]) <= radius]
         left.append(fp[i])
         right.append(fp[i + d])
     for at, n in zip(cuts[sizes > 16], sizes[sizes > 16]):
@@ -133,18 +185,21 @@ def _pairs(anchor: np.ndarray, fp: np.ndarray, radius: int) -> tuple[list[np.nda
     return left, right
 
 
-_LINK = "kind int, anchor long, a long, b long"
+def _link_schema(lanes: int) -> str:
+    return "kind int, anchor long, " + ", ".join(f"{side}{n} long" for side in "ab" for n in _names(lanes))
 
 
 def _link_batch(kind: int, anchor: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(anchor), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["kind", "anchor", "a", "b"])
+    lanes = a.shape[1]
+    columns = [np.ascontiguousarray(x[:, i]).view(np.int64) for x in (a, b) for i in range(lanes)]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(anchor), *map(pa.array, columns)], names=["kind", "anchor", *(side + n for side in "ab" for n in _names(lanes))])
 
 
-def _compare(radius: int, block: int):
-    """Partition sorted by (anchor, fp): links of kind 0; members of an anchor above ``block`` come back as kind 1."""
+def _compare(radius: int, block: int, lanes: int):
+    """Partition sorted by anchor: links of kind 0; members of an anchor above ``block`` come back as kind 1."""
 
     def run(batches):
-        held_a, held_f, large = np.zeros(0, np.int64), np.zeros(0, np.uint64), None
+        held_a, held_f, large = np.zeros(0, np.int64), np.zeros((0, lanes), np.uint64), None
 
         def done(a, f):
             left, right = _pairs(a, f, radius)
@@ -154,7 +209,7 @@ def _compare(radius: int, block: int):
 
         for batch in batches:
             a = np.concatenate([held_a, batch.column(0).to_numpy(zero_copy_only=False)])
-            f = np.concatenate([held_f, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
+            f = np.concatenate([held_f, np.stack([batch.column(1 + i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(lanes)], axis=1)])
             if not len(a):
                 continue
             if large is not None:
@@ -188,29 +243,32 @@ def _compare(radius: int, block: int):
     return run
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """(a, b) of fingerprints at ``radius`` (4 at most) or fewer differing bits: not every pair, but all that connects them."""
-    if radius > 4:
-        raise ValueError("the anchors cover up to 4 differing bits")
+def links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK, lanes: int = 1) -> DataFrame:
+    """(af0, ..., bf0, ...) of fingerprints that meet at an anchor and differ in ``radius`` bits or fewer: not every pair,
+    but all that connects them. An anchor of m blocks compares m * m / 2 pairs of blocks, each a task's group of its own."""
+    if lanes == 1 and radius > 4 or lanes > 2:
+        raise ValueError("one lane covers up to 4 differing bits; there are two lanes at most")
+    names = _names(lanes)
+    sides = [side + n for side in "ab" for n in names]
 
     def spread(batches):
         for batch in batches:
-            fp = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for i in range(0, len(fp), 20_000):
-                part = fp[i : i + 20_000]
+            fp = np.stack([batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(lanes)], axis=1)
+            for i in range(0, len(fp), 5_000):
+                part = fp[i : i + 5_000]
                 key, place = anchors_of(part)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[place].view(np.int64))], names=["anchor", "fp"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), *(pa.array(part[place, j].view(np.int64)) for j in range(lanes))], names=["anchor", *names])
 
-    members = distinct.select("fp").mapInArrow(spread, "anchor long, fp long")
-    found = cut(members.repartition("anchor").sortWithinPartitions("anchor", "fp").mapInArrow(_compare(radius, block), _LINK).distinct())
+    members = distinct.select(*names).mapInArrow(spread, "anchor long, " + ", ".join(f"{n} long" for n in names))
+    found = cut(members.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_compare(radius, block, lanes), _link_schema(lanes)).distinct())
     # Large anchors: members are dealt to blocks, and each pair of blocks is one group.
-    large = found.where("kind = 1").select("anchor", F.col("a").alias("fp"))
+    large = found.where("kind = 1").select("anchor", *[F.col("a" + n).alias(n) for n in names])
     blocks = large.groupBy("anchor").agg(F.ceil(F.count("*") / block).cast("int").alias("m"))
-    dealt = large.join(blocks, "anchor").withColumn("i", F.pmod(F.xxhash64("fp"), F.col("m")))
+    dealt = large.join(blocks, "anchor").withColumn("i", F.pmod(F.xxhash64(*names), F.col("m")))
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("m").cast("long") - 1))
-    paired = dealt.select("anchor", "fp", "i", each.alias("j")).select(F.xxhash64("anchor", F.least("i", "j"), F.greatest("i", "j")).alias("anchor"), "fp")
-    rest = paired.repartition("anchor").sortWithinPartitions("anchor", "fp").mapInArrow(_compare(radius, 1 << 30), _LINK)
-    return found.where("kind = 0").select("a", "b").union(rest.select("a", "b")).where("a <> b").distinct()
+    paired = dealt.select("anchor", *names, "i", each.alias("j")).select(F.xxhash64("anchor", F.least("i", "j"), F.greatest("i", "j")).alias("anchor"), *names)
+    rest = paired.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_compare(radius, 1 << 30, lanes), _link_schema(lanes))
+    return found.where("kind = 0").select(*sides).union(rest.select(*sides)).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -233,23 +291,44 @@ def components(edges: DataFrame) -> DataFrame:
         seen = mark
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, radius: int = RADIUS, seed: int = 42, block: int = BLOCK) -> DataFrame:
-    """(id_col, fp long, fingerprint hex, component_id) for each row; component_id is the least id of the component."""
-    prints = cut(fingerprints(docs, id_col, text_col, k, seed))
-    distinct = cut(prints.groupBy("fp").agg(F.min(id_col).alias("least")))
-    joined = components(links(distinct, radius, block))
-    rooted = distinct.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return prints.join(of, "fp").select(id_col, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's id; of rows that repeat an id the least text stays; null ids have no group and stay."""
-    ids = near_duplicates(docs, id_col, text_col, **options).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__id")).distinct()
-    first = docs.groupBy(F.col(id_col).alias("__id2")).agg(F.count("*").alias("__n")).where("__n > 1 and __id2 is not null").select("__id2")
-    kept = docs.join(ids, F.col(id_col) == F.col("__id"), "left_semi").union(docs.where(F.col(id_col).isNull()))
-    many = kept.join(first, F.col(id_col) == F.col("__id2"), "left_semi")
-    once = kept.join(first, F.col(id_col) == F.col("__id2"), "left_anti")
-    w = many.groupBy(id_col).agg(F.min_by(F.struct(*many.columns), F.coalesce(text_col, F.lit(""))).alias("r")).select("r.*")
-    return once.union(w.select(*docs.columns))
+def _rooted(distinct: DataFrame, radius: int, block: int, lanes: int) -> DataFrame:
+    """``distinct`` (node long, f0, ...) with the root of each one's component."""
+    names = _names(lanes)
+    found = links(distinct, radius, block, lanes)
+    for side in "ab":
+        found = found.join(distinct.select(F.col("node").alias(side), *[F.col(n).alias(side + n) for n in names]), [side + n for n in names])
+    joined = components(found.select("a", "b"))
+    return cut(distinct.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node")))
+
+
+def _large(rooted: DataFrame) -> DataFrame:
+    sizes = rooted.groupBy("root").agg(F.count("*").alias("n"))
+    return sizes.where(F.col("n") > max(1, rooted.count() // SPREAD)).select("root")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 4, radius: int = RADIUS, seed: int = 42, block: int = BLOCK, lanes: int = 1) -> DataFrame:
+    """(id_col, fingerprint hex, component_id) for each row; component_id is the least id of the component."""
+    names = _names(lanes)
+    prints = cut(fingerprints(docs.select(F.col(text_col).cast("binary").alias("t"), F.col(id_col).alias("id")), k, seed, lanes))
+    distinct = cut(prints.groupBy(*names).agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()))
+    rooted = _rooted(distinct, radius, block, lanes)
+    of = spread_join(rooted.select(*names, "root"), rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root", _large(rooted))
+    hex_ = F.concat(*[F.lower(F.lpad(F.hex(n), 16, "0")) for n in reversed(names)])
+    return prints.join(of, names).select(F.col("id").alias(id_col), hex_.alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, similarity: float = SIMILARITY, seed: int = 42, block: int = BLOCK, lanes: int = LANES) -> DataFrame:
+    """One row of ``docs`` for each component: that of the least id (nulls last), then of the least row hash.
+
+    Texts are linked if their fingerprints differ in ``radius_of(similarity)`` bits or fewer. Rows are told apart by id and text, so rows that repeat an id with other texts stay or go by their own texts.
+    """
+    names, key = _names(lanes), row_key(id_col, text_col)
+    order = F.struct(F.col(id_col).isNull().alias("z"), F.col(id_col).alias("i"), key.alias("k")).alias("order")
+    prints = cut(fingerprints(docs.select(F.col(text_col).cast("binary").alias("t"), order), k, seed, lanes))
+    distinct = cut(prints.groupBy(*names).agg(F.min("order").alias("least")).withColumn("node", F.monotonically_increasing_id()))
+    first = cut(_rooted(distinct, radius_of(similarity, lanes), block, lanes).groupBy("root").agg(F.min("least").alias("o")).select(F.col("o.k").alias("key")))
+    again = prints.groupBy(F.col("order.k").alias("key")).agg(F.count("*").alias("n")).where("n > 1").select("key")
+    kept = packed(docs, key).join(first, "key", "left_semi")
+    once = kept.join(again, "key", "left_anti").select("doc")
+    rows = once.union(kept.join(again, "key", "left_semi").groupBy("key").agg(F.first("doc").alias("doc")).select("doc"))
+    return rows.select(unpacked(rows, docs))

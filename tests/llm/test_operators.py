@@ -73,8 +73,8 @@ def test_anchors_lose_no_link():
     b = a.copy()
     for k in range(4):
         b ^= np.uint64(1) << r.integers(0, 64, len(a), dtype=np.uint64)
-    ka, pa = simhash.anchors_of(a)
-    kb, pb = simhash.anchors_of(b)
+    ka, pa = simhash.anchors_of(a[:, None])
+    kb, pb = simhash.anchors_of(b[:, None])
     left, right = [set() for _ in a], [set() for _ in a]
     for s, k, p in ((left, ka, pa), (right, kb, pb)):
         for x, i in zip(k.tolist(), p.tolist()):
@@ -170,6 +170,13 @@ def test_chat_round_trip(spark):
         assert got[c].loss == "".join(t for _, r, t in own if r == "assistant")
 
 
+def test_a_delta_at_its_message_s_number_counts(spark):
+    e = [(1, 1, "message", "a", "user", "x"), (1, 1, "delta", "a", "user", "y"), (2, None, "message", "a", "user", "p"), (2, None, "delta", "a", "user", "q"), (2, 3, "delta", "a", "user", "r"), (3, 2, "edit", "a", "user", "new"), (3, 1, "message", "a", "user", "old"), (3, None, "delta", "a", "user", "lost"), (3, 2, "delta", "a", "user", "!")]
+    df = spark.createDataFrame(e, "conv_id long, seq long, kind string, message string, role string, text string")
+    assert {r.conv_id: r.text for r in chat.fold(df).collect()} == {1: "xy", 2: "pqr", 3: "new!"}
+    assert chat.render(chat.fold(df.where("false"))).count() == 0
+
+
 def test_chat_folds_deltas_edits_and_regenerations(spark):
     e = [(1, 1, "message", "a", "user", "hi"), (1, 2, "message", "b", "assistant", "he"), (1, 3, "delta", "b", "assistant", "llo"), (1, 4, "edit", "a", "user", "hi!"), (1, 5, "regenerate", "b", "assistant", ""), (1, 6, "delta", "b", "assistant", "new "), (1, 7, "delta", "b", "assistant", "one")]
     out = chat.fold(spark.createDataFrame(e, "conv_id long, seq long, kind string, message string, role string, text string")).orderBy("turn_order").collect()
