@@ -83,8 +83,9 @@ def redact_all(df: DataFrame, secrets: list[str] | None = None) -> DataFrame:
 def sanitize_injection(df: DataFrame, column: str) -> DataFrame:
     """``column`` with suspect spans marked, and ``injections``: array of (pattern, excerpt of 120 characters)."""
     out = df.withColumn("injections", F.array().cast("array<struct<pattern:string,excerpt:string>>"))
+    named = lambda name: lambda h: F.struct(F.lit(name).alias("pattern"), F.substr(h, F.lit(1), F.lit(120)).alias("excerpt"))
     for name, pattern in INJECTIONS:
-        hits = F.transform(F.regexp_extract_all(F.col(column), F.lit(pattern), F.lit(0)), lambda h, n=name: F.struct(F.lit(n).alias("pattern"), F.substr(h, F.lit(1), F.lit(120)).alias("excerpt")))
+        hits = F.transform(F.regexp_extract_all(F.col(column), F.lit(pattern), F.lit(0)), named(name))
         out = out.withColumn("injections", F.when(F.col(column).rlike(pattern), F.concat("injections", hits)).otherwise(F.col("injections"))).withColumn(column, F.regexp_replace(column, pattern, MARKER))
     return out
 

@@ -95,7 +95,7 @@ def verify(log: DataFrame) -> DataFrame:
     return checked.groupBy("document_id").agg(F.count("*").alias("entries"), first.alias("f"), F.min(F.when(F.col("sequence") != F.col("due"), F.col("due"))).alias("gap")).select("document_id", "entries", F.col("f").isNull().alias("intact"), F.col("f.sequence").alias("failed_sequence"), F.col("f.why").alias("reason"), "gap")
 
 
-def read(spark, path: str) -> DataFrame:
+def read(spark, path: str | list[str]) -> DataFrame:
     """A log as JSON lines, schema fixed."""
     schema = "document_id string, sequence long, timestamp string, event string, stage string, outcome string, field_path string, page array<int>, value_hash string, value_shape string, confidence double, model_id string, prompt_version string, schema_descriptor_hash string, detail map<string,string>, prev_hash string, entry_hash string"
     return spark.read.schema(schema).json(path)

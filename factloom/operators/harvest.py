@@ -160,10 +160,23 @@ def repeating_unit(descriptors: DataFrame) -> DataFrame:
     return k.select("document_id", pick(("COUNTRY", "CURRENCY")).alias("anchor_kinds"), pick(("BIC", "ACCOUNT_NUMBER", "IBAN")).alias("required_kinds"))
 
 
+#: Members of a field that its schema's hash covers, in the order of the JSON, and the form's version.
+HASHED, HASH_VERSION = ("cardinality", "charset", "enum_values", "exact_length", "kind", "label", "max_length", "min_length", "path"), 2
+
+
 def descriptor_hash(descriptors: DataFrame) -> DataFrame:
-    """SHA-256 of each document's fields, sorted by path, as compact JSON with sorted keys."""
-    field = F.struct("path", F.to_json(F.struct("cardinality", "kind", "label", "path"), {"ignoreNullFields": "false"}).alias("j"))
-    return descriptors.groupBy("document_id").agg(F.sha2(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(field)), lambda x: x.j), ","), F.lit("]")).cast("binary"), 256).alias("descriptor_hash"), F.count("*").alias("n_fields"))
+    """SHA-256 of each document's schema: its repeating unit, the form's version and its fields with their hints, sorted by path."""
+    field = F.struct("path", F.to_json(F.struct(*HASHED), {"ignoreNullFields": "false"}).alias("j"))
+    fields = descriptors.groupBy("document_id").agg(F.array_sort(F.collect_list(field)).alias("f"), F.count("*").alias("n_fields")).join(repeating_unit(descriptors), "document_id")
+    head = F.concat(F.lit('{"anchor_kinds":'), F.to_json("anchor_kinds"), F.lit(',"required_kinds":'), F.to_json("required_kinds"), F.lit(f',"version":{HASH_VERSION},"fields":['))
+    whole = F.concat(head, F.array_join(F.transform("f", lambda x: x.j), ","), F.lit("]}"))
+    return fields.select("document_id", F.sha2(whole.cast("binary"), 256).alias("descriptor_hash"), "n_fields")
+
+
+def unique_paths(descriptors: DataFrame) -> DataFrame:
+    """``descriptors``; a document that states a path more than once fails the task that meets it."""
+    n = F.count("*").over(Window.partitionBy("document_id", "path"))
+    return descriptors.withColumn("path", F.when(n > 1, F.raise_error(F.concat(F.lit("path stated twice: "), "path")).cast("string")).otherwise(F.col("path")))
 
 
 def duplicate_paths(descriptors: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ class Extraction:
     queue: DataFrame
     drift: DataFrame
     composition: DataFrame
+    injections: DataFrame
 
     def documents(self, masked: bool = False) -> DataFrame:
         """(document_id, json); masked: personal values are replaced by stable tokens."""
@@ -60,10 +61,13 @@ def extract(words: DataFrame, pages: DataFrame | None = None, bics: DataFrame |
     """
     words = words.where(F.coalesce(F.trim("text"), F.lit("")) != "")
     lines = cut(grid.lines_of(grid.cluster_rows(words)))
+    texts = cut(page_texts(lines))
     chunks, skipped = chunk.locate(lines, cut(grid.reconstruct(words)))
-    chunks = cut(chunks)
+    # What addresses a model is marked in what a model would read; cells and pairs keep their values.
+    chunks = cut(privacy.sanitize_injection(chunks, "text").drop("injections"))
     descriptors = cut(harvest.describe(cut(harvest.harvest(chunks))))
-    facts = cut(filler(chunks, descriptors))
+    facts = filler(chunks, descriptors).join(chunks.select(*KEY, F.col("pages").alias("chunk_pages")), KEY, "left")
+    facts = cut(guard.resolve_pages(facts, texts).drop("chunk_pages"))
     kinds = descriptors.select("document_id", "path", "kind")
     findings = cut(guard.guard(facts, chunks, kinds))
     validated = validate.validate_facts(facts, descriptors, findings)
@@ -71,15 +75,47 @@ def extract(words: DataFrame, pages: DataFrame | None = None, bics: DataFrame |
     required = harvest.repeating_unit(descriptors).select("document_id", "required_kinds")
     if pages is None:
         pages = words.select("document_id", "page").distinct().withColumn("page_class", F.lit("NATIVE"))
-    return Extraction(chunks, skipped, descriptors, findings, scored, validate.record_completeness(scored, required, chunks), validate.review_queue(scored, created_at), guard.drift(scored), layout.composition(pages))
+    return Extraction(chunks, skipped, descriptors, findings, scored, validate.record_completeness(scored, required, chunks), validate.review_queue(scored, created_at), guard.drift(scored), layout.composition(pages), injections(texts))
+
+
+def page_texts(lines: DataFrame) -> DataFrame:
+    """(document_id, page, text): the lines of each page in order."""
+    return lines.groupBy("document_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: x.text), "\n").alias("text"))
+
+
+def injections(texts: DataFrame) -> DataFrame:
+    """(document_id, page, pattern, excerpt) of what addresses a model on a page."""
+    found = privacy.sanitize_injection(texts, "text").where(F.size("injections") > 0)
+    return found.select("document_id", "page", F.explode("injections").alias("i")).select("document_id", "page", "i.pattern", "i.excerpt")
+
+
+def _run_of(result: Extraction) -> str:
+    """A name of what the run found, so that the same run is known again."""
+    facts = result.scored.select(F.xxhash64("document_id", "record_index", "path", "value", "status").cast("decimal(38,0)").alias("h"))
+    return "%x" % (abs(int(facts.agg(F.coalesce(F.sum("h"), F.lit(0))).first()[0])) % (1 << 64))
 
 
 def write(result: Extraction, folder: str, masked: bool = False) -> None:
-    """All outputs below ``folder``, each in one overwrite, so that a run that was cut off may be repeated."""
+    """All outputs below ``folder``. Documents, schemas and skipped regions are those of the last run. Review entries and
+    the audit log are appended, a folder per run, named by what the run found: a run that was cut off may be repeated and
+    then replaces its own entries, and the log goes on from where the other runs' entries end."""
+    spark = result.scored.sparkSession
     sinks.write_documents(result.documents(), f"{folder}/documents")
     sinks.write_documents(result.sidecars(), f"{folder}/schemas")
     if masked:
         sinks.write_documents(result.documents(masked=True), f"{folder}/masked")
-    result.queue.write.mode("overwrite").json(f"{folder}/review")
-    result.audit_log().write.mode("overwrite").json(f"{folder}/audit", ignoreNullFields=False)
+    run = _run_of(result)
+    result.queue.write.mode("overwrite").json(f"{folder}/review/run={run}")
+    before = earlier(spark, folder, run)
+    result.audit_log(log=before).write.mode("overwrite").json(f"{folder}/audit/run={run}", ignoreNullFields=False)
+    result.injections.write.mode("overwrite").json(f"{folder}/injections")
     result.skipped.write.mode("overwrite").json(f"{folder}/skipped")
+
+
+def earlier(spark, folder: str, run: str = "") -> DataFrame | None:
+    """The audit log of all runs below ``folder`` but one; None: there is none yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/audit")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    own = [str(s.getPath()) for s in files.listStatus(path)] if files.exists(path) else []
+    own = [p for p in own if "/run=" in p and not p.endswith(f"/run={run}")]
+    return audit.read(spark, own) if own else None
