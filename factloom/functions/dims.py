@@ -5,6 +5,8 @@ All of them have a constant size, so they may become literals in a plan or broad
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 # The kinds of fields and the groups that they belong to.
@@ -109,9 +111,29 @@ def country_rows() -> list[tuple[str, str, str]]:
     return out
 
 
+@functools.lru_cache(maxsize=1)
+def _locale_names() -> tuple[tuple[str, str], ...]:
+    """(lower-case English name or alpha-3 code, alpha-2) of every country, as the JVM's own tables have them."""
+    from pyspark import SparkContext
+
+    locale = SparkContext._active_spark_context._jvm.java.util.Locale
+    english, out = locale.ENGLISH, []
+    for code in sorted(set(locale.getISOCountries()) & set(COUNTRY_CODES)):
+        place = locale("", code)
+        out += [(str(n).lower(), code) for n in (place.getDisplayCountry(english), place.getISO3Country()) if n and ";" not in n and "=" not in n]
+    return tuple(out)
+
+
+def _written_names() -> dict[str, str]:
+    """Empty as long as no session runs."""
+    from pyspark import SparkContext
+
+    return dict(_locale_names()) if SparkContext._active_spark_context is not None else {}
+
+
 def country_index() -> dict[str, str]:
     """Lower-case name or alpha-3 code to alpha-2."""
-    out = {}
+    out = _written_names()
     for alpha2, alpha3, name in country_rows():
         out[name.lower()] = alpha2
         out[alpha3.lower()] = alpha2

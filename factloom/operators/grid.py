@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 KEY = ["document_id", "page"]
 ROW_CORRIDOR, COLUMN_CORRIDOR, MIN_WORDS, OVERLAP = 2, 5, 12, 0.45
+#: Images of a smaller area, in square points, are decoration.
+DECORATIVE = 4000.0
 
 
 def bands_of_slots(slots: DataFrame, keys: list[str], corridor: int, low: str = "low", high: str = "high", last: str = "last_slot", trailing: str | None = None) -> DataFrame:
@@ -179,6 +181,67 @@ def lines_of(words: DataFrame) -> DataFrame:
     return whole.join(parts, [*KEY, "line_no"])
 
 
+def ruled_tables(words: DataFrame, rulings: DataFrame) -> DataFrame:
+    """Grids (as ``reconstruct`` gives them) of pages whose tables have ruled lines.
+
+    rulings: (document_id, page, axis, at): the y of horizontal (H) and the x of vertical (V) lines. A cell lies between
+    two lines of each axis; a word belongs to the cell that holds its centre, words outside are left out. The first row
+    is the header, wrapped rows stay apart, a page with fewer than two rows has no grid.
+    """
+    lines = rulings.groupBy(*KEY).agg(*[F.array_sort(F.collect_set(F.when(F.col("axis") == a, F.col("at").cast("double")))).alias(a) for a in ("H", "V")]).where((F.size("H") >= 3) & (F.size("V") >= 2))
+    before = lambda axis, low, high: F.size(F.filter(axis, lambda at: at <= (F.col(low) + F.col(high)) / 2)) - 1
+    w = words.join(lines, KEY).withColumn("row", before("H", "y0", "y1")).withColumn("col", before("V", "x0", "x1"))
+    w = w.where((F.col("row") >= 0) & (F.col("row") < F.size("H") - 1) & (F.col("col") >= 0) & (F.col("col") < F.size("V") - 1))
+    cell = w.groupBy(*KEY, "row", "col", (F.size("V") - 1).alias("n")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x.text), " ").alias("text"))
+    row = cell.groupBy(*KEY, "row", "n").agg(F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("m"))
+    row = row.withColumn("row_no", (F.row_number().over(Window.partitionBy(*KEY).orderBy("row")) - 1).cast("int"))
+    full = row.withColumn("rows", F.count("*").over(Window.partitionBy(*KEY))).where("rows >= 2")
+    return full.select(*KEY, "row_no", (F.col("row_no") == 0).alias("is_header"), F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(""))).alias("cells"))
+
+
+def grids(words: DataFrame, rulings: DataFrame | None = None) -> DataFrame:
+    """Ruled grids first; pages without one are rebuilt from where their words stand."""
+    if rulings is None:
+        return reconstruct(words)
+    ruled = ruled_tables(words, rulings)
+    own = reconstruct(words.join(ruled.select(*KEY).distinct(), KEY, "left_anti"))
+    return ruled.unionByName(own.select(*ruled.columns))
+
+
+def page_words(native: DataFrame, read: DataFrame, images: DataFrame, least_area: float = DECORATIVE) -> DataFrame:
+    """Native words and those read in images (``region`` is the image's number); small images are decoration and left out.
+
+    images: (document_id, page, region, x0, y0, x1, y1).
+    """
+    large = images.where((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")) >= least_area).select(*KEY, "region").distinct()
+    seen = read.join(large, [*KEY, "region"], "left_semi")
+    return native.withColumn("layer", F.lit("NATIVE")).unionByName(seen.drop("region").withColumn("layer", F.lit("OCR")), allowMissingColumns=True)
+
+
+def lines_by_first_word(words: DataFrame) -> DataFrame:
+    """words with ``line_no``: a word joins the first line whose first word its height overlaps by 45 %; lines from the top.
+
+    Unlike in ``cluster_rows`` a line does not grow, so slanted text does not chain two lines together. The result depends
+    on the order, so it is a sequential pass, a page at a time.
+    """
+
+    def lines(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["y0", "x0", "pos"], kind="stable").reset_index(drop=True)
+        heads: list[tuple[float, float]] = []
+        at = []
+        for y0, y1 in zip(pdf["y0"], pdf["y1"]):
+            shared = ((min(y1, b) - max(y0, a), min(y1 - y0, b - a)) for a, b in heads)
+            line = next((i for i, (common, low) in enumerate(shared) if low > 0 and common / low >= OVERLAP), len(heads))
+            if line == len(heads):
+                heads.append((y0, y1))
+            at.append(line)
+        pdf["line_no"] = pd.Series(at, dtype="int32")
+        return pdf
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema.fields)
+    return words.groupBy(*KEY).applyInPandas(lines, f"{fields}, line_no int")
+
+
 def native_lines(words: DataFrame) -> DataFrame:
     """words (block, line) with line_no: lines in the order of the y of their first word, blank words left out."""
     w = words.where(F.trim("text") != "")

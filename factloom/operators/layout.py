@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from factloom.functions.text import collapse_whitespace, fold, strip
 
-MIN_CHARS, COMBO, IMAGE_SHARE, DECORATIVE = 24, 0.15, 0.05, 4000.0
+# Thresholds of page classes, and the shapes of pairs and of message tags.
+MIN_CHARS, COMBO, IMAGE_SHARE = 24, 0.15, 0.05
 KEY_VALUE = r"^\s*([^:：]{2,60})[:：]\s*(.+?)\s*$"
 SWIFT_TAG = r":[0-9]{2}[A-Z]?:"
 

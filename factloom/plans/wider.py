@@ -6,12 +6,12 @@ among them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.functions import checks, privacy
 from factloom.functions.text import SALT_LOG, collapse_whitespace, fold, is_probably_label, slugify
-from factloom.operators import audit, compare, guard, harvest, kinds, layout, validate
+from factloom.operators import audit, compare, grid, guard, harvest, kinds, layout, validate
 from factloom.sources import sinks
 
 
@@ -179,12 +179,34 @@ def schema_hashes(spark, sf_dir):
     return harvest.descriptor_hash(p.withColumns({"exact_length": F.lit(None).cast("int"), "min_length": F.lit(2), "charset": F.lit("any"), "enum_values": F.array().cast("array<string>")}))
 
 
+_NAMES = ["Iceland", "kenya", "MNG", "Fiji", "Utopia", None, "Peru", "france"]
+
+
+def ruled_grid(spark, sf_dir):
+    """Suppliers printed in ruled cells, a page for each nation, some cells empty; one word stands beside the table."""
+    t = table(spark, sf_dir, "supplier").withColumn("r", F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_suppkey")))
+    cells = F.array(F.lit(None).cast("string"), F.col("s_suppkey").cast("string"), F.when(F.col("s_suppkey") % 3 > 0, F.col("s_name")), F.concat(F.lit("n "), F.col("s_nationkey").cast("string")))
+    body = t.select(F.col("s_nationkey").cast("string").alias("document_id"), "r", cells.alias("cells")).select("document_id", "r", F.posexplode("cells").alias("c", "text"))
+    head = t.select(F.col("s_nationkey").cast("string").alias("document_id")).distinct().select("document_id", F.lit(0).cast("int").alias("r"), F.posexplode(F.array(F.lit("outside"), F.lit("Key"), F.lit("Name"), F.lit("Nation"))).alias("c", "text"))
+    one = head.unionByName(body).where("text is not null").withColumn("word", F.explode(F.split("text", " ")))
+    words = one.select("document_id", F.lit(1).alias("page"), (F.col("r") * 10 + F.when(F.col("word") == "n", 0).otherwise(1)).alias("pos"), F.col("word").alias("text"), (F.col("c") * 100.0 + 5).alias("x0"), (F.col("c") * 100.0 + 40).alias("x1"), (F.col("r") * 20.0 + 3).alias("y0"), (F.col("r") * 20.0 + 17).alias("y1"))
+    last = t.groupBy(F.col("s_nationkey").cast("string").alias("document_id")).agg(F.max("r").alias("n"))
+    at = F.explode(F.concat(F.transform(F.sequence(F.lit(0), F.col("n") + 1), lambda i: F.struct(F.lit("H").alias("axis"), (i * 20.0).alias("at"))), F.transform(F.array(*[F.lit(i) for i in (1, 2, 3, 4)]), lambda i: F.struct(F.lit("V").alias("axis"), (i * 100.0).alias("at"))))).alias("l")
+    grid_ = grid.grids(words, last.select("document_id", F.lit(1).alias("page"), at).select("document_id", "page", "l.*"))
+    return grid_.select("document_id", "row_no", "is_header", F.array_join("cells", "|").alias("cells"))
+
+
+def country_names(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").withColumn("v", pick(F.col("c_custkey"), _NAMES))
+    return c.select("c_custkey", checks.check_country(F.col("v"))["normalised"].alias("code"))
+
+
 def latest_reviews(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("entry_id"), F.col("o_orderkey").alias("created_at"), F.col("o_orderpriority").alias("value"))
     return validate.latest(o)
 
 
-QUERIES = {f.__name__: f for f in (text_forms, box_algebra, check_bic_cfi, hint_problems, account_checks, blend_scores, merged_schemas, schema_checks, guard_issue_counts, resolved_pages, masking_summary, masked_letters, row_narratives, injection_patterns, audit_rehash, audit_verdicts, date_formats, label_forms, schema_hashes, latest_reviews)}
+QUERIES = {f.__name__: f for f in (text_forms, box_algebra, check_bic_cfi, hint_problems, account_checks, blend_scores, merged_schemas, schema_checks, guard_issue_counts, resolved_pages, masking_summary, masked_letters, row_narratives, injection_patterns, audit_rehash, audit_verdicts, ruled_grid, country_names, date_formats, label_forms, schema_hashes, latest_reviews)}
 
 _FOLD = "regexp_replace(lower(strip_accents({})), '[^0-9a-z]+', '', 'g')"
 _SPACED = r"trim(regexp_replace({}, '\s+', ' ', 'g'))"
@@ -269,5 +291,8 @@ ORACLE = {
           coalesce(length(trim(upper(v))) BETWEEN 6 AND 24 AND regexp_matches(trim(upper(v)), '^[\p{{L}}\p{{N}}]+$'), false) AS identifier FROM t""",
     "schema_hashes": """WITH p AS (SELECT (p_size % 7)::VARCHAR AS document_id, p_brand AS path, '{"cardinality":"' || CASE WHEN count(*) > 1 THEN 'MULTI' ELSE 'SINGLE' END || '","charset":"any","enum_values":[],"exact_length":null,"kind":"FREE_TEXT","label":"' || max(p_type) || '","max_length":' || max(length(p_name)) || ',"min_length":2,"path":"' || p_brand || '"}' AS j FROM part GROUP BY 1, 2)
         SELECT document_id, sha256('{"anchor_kinds":[],"required_kinds":[],"version":2,"fields":[' || string_agg(j, ',' ORDER BY path) || ']}') AS descriptor_hash, count(*) AS n_fields FROM p GROUP BY 1""",
+    "ruled_grid": """WITH r AS (SELECT s_nationkey::VARCHAR AS document_id, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS row_no, s_suppkey || '|' || CASE WHEN s_suppkey % 3 > 0 THEN s_name ELSE '' END || '|n ' || s_nationkey AS cells FROM supplier)
+        SELECT document_id, row_no, false AS is_header, cells FROM r UNION ALL SELECT DISTINCT document_id, 0, true, 'Key|Name|Nation' FROM r""",
+    "country_names": f"SELECT c_custkey, {picked('c_custkey', ['IS', 'KE', 'MN', 'FJ', None, None, 'PE', 'FR'])} AS code FROM customer",
     "latest_reviews": "SELECT o_custkey::VARCHAR AS entry_id, max(o_orderkey) AS created_at, arg_max(o_orderpriority, o_orderkey) AS value FROM orders GROUP BY 1",
 }

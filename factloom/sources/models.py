@@ -20,6 +20,16 @@ def untrusted(text: str) -> str:
     return f"<source>\n{text}\n</source>"
 
 
+def language_model(settings: dict[str, Any], providers: dict[str, Callable[[dict[str, Any]], LanguageModelPort]]) -> LanguageModelPort | None:
+    """The model that ``settings["provider"]`` names, made by its provider; none or "none": the run stays deterministic."""
+    name = settings.get("provider") or "none"
+    if name == "none":
+        return None
+    if name not in providers:
+        raise ValueError(f"no provider {name!r}; there are {', '.join(sorted(providers)) or 'none'}")
+    return providers[name](settings)
+
+
 def ask(port: LanguageModelPort, system: str, user: str, schema: dict[str, Any], accept: Callable[[dict], Any] | None = None, tries: int = TRIES, max_tokens: int = MAX_TOKENS) -> tuple[Any, list[str], int]:
     """(answer or None, why answers were rejected, calls). ``accept`` turns a payload into the answer, or raises."""
     rejected: list[str] = []
