@@ -39,6 +39,8 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret")
 #: Examples of each kind, texts whose sentences they are put into, and the precision that thresholds are set for.
 TRAIN, SENTENCES, PRECISION = 1500, 400, 0.96
+#: No threshold is lower, whatever the precision.
+LEAST_SCORE = 0.2
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -50,7 +52,7 @@ _AT = re.compile(r"\s?[(\[{<]\s?(?i:at)\s?[)\]}>]\s?|\s(?i:at)\s|\s?@\s")
 _AFTER_AT = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?:\s?[(\[{<]\s?(?i:dot)\s?[)\]}>]\s?|\s(?i:dot)\s|\.)[A-Za-z0-9-]{1,63})+")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 #: Loose phones and cards by their number of groups; a match starts at every group, so spans overlap.
-_LOOSE_PHONE = [re.compile(r"(?<![0-9A-Za-z])(?=((?:\(?[0-9]{2,5}\)?[ ./-]{1,2}){%d}[0-9]{2,6})(?![0-9A-Za-z]))" % n) for n in range(1, 5)]
+_LOOSE_PHONE = [re.compile(r"(?<![0-9A-Za-z])(?=((?:\(?[0-9]{2,5}\)?[ ./-]{1,2}){%d}[0-9]{2,8})(?![0-9A-Za-z]))" % n) for n in range(1, 5)]
 _LOOSE_CARD = [re.compile(r"(?<![0-9A-Za-z])(?=([0-9]{4}(?:[ ./_-]{1,3}[0-9]{3,7}){%d})(?![0-9A-Za-z]))" % n) for n in range(2, 5)]
 _RUN = re.compile(r"(?<![0-9A-Za-z.,])[0-9]{7,19}(?![0-9A-Za-z]|[.,][0-9])")
 _LOOSE_IP = re.compile(r"(?<![0-9A-Za-z.])[0-9]{1,3}(?: ?(?:\[\.\]|\(\.\)|\{\.\}|\.) ?[0-9]{1,3}){3}(?![0-9A-Za-z])")
@@ -310,7 +312,7 @@ def model(made_in: tuple[str, ...] = (), seed: int = 11, train: int = TRAIN, pre
         order = np.argsort(-p[own])
         good = np.cumsum(y[own][order]) / np.arange(1, own.sum() + 1)
         fine = np.flatnonzero(good >= precision)
-        limits[kind] = float(max(0.5, p[own][order][fine[-1]])) if len(fine) else 1.1
+        limits[kind] = float(max(LEAST_SCORE, p[own][order][fine[-1]])) if len(fine) else 1.1
     return trees, limits
 
 

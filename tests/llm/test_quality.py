@@ -47,7 +47,8 @@ def test_hot_lines_by_broadcast_or_shuffle_change_nothing(spark, monkeypatch, sp
 
 
 def test_edges(spark):
-    rows = [(None, None, None, 1, "a"), (1, "", "h", 2, "b"), (1, " \n\t", "h", 2, "b"), (2, "word " * 300_000, "h", 3, None), (3, "\n".join(_say(random.Random(3), 3) for _ in range(9)), None, 4, "d")]
+    rng = random.Random(3)
+    rows = [(None, None, None, 1, "a"), (1, "", "h", 2, "b"), (1, " \n\t", "h", 2, "b"), (2, "word " * 300_000, "h", 3, None), (3, "\n".join(_say(rng, 3) for _ in range(9)), None, 4, "d")]
     df = spark.createDataFrame([*rows, rows[4]], SCHEMA.replace("source string", "source string, key long, `over` string"))
     out = quality.clean(df)
     assert out.columns == df.columns and [tuple(r) for r in out.collect()] == [rows[4]] * 2
