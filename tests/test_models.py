@@ -50,8 +50,8 @@ def test_retries_quote_the_last_error_and_budgets_hold(spark):
             if "down" in user:
                 raise ConnectionError("no route")
             self.seen = getattr(self, "seen", 0) + 1
-            if "twice" in user and "rejected: ValueError: 2" not in user:
-                raise ValueError(2 if "rejected: ValueError: 1" in user else 1)
+            if "twice" in user and "(ValueError: 2)" not in user:
+                raise ValueError(2 if "(ValueError: 1)" in user else 1)
             return {"said": user.split("\n")[1]}
 
     rows = [("a", 0, "plain"), ("a", 1, "twice"), ("a", 2, "over budget"), ("b", 0, "down")]
