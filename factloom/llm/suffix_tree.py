@@ -3,8 +3,8 @@
 Tokens are lowered words, then one end token per text. The counts of all training tokens give a unigram distribution,
 add-one smoothed; it is the root of the tree. A context is the last 1 to ``depth`` tokens (the start of a text is one,
 too). It is a candidate state if training texts hold it ``least`` times or more, and it keeps the next symbols that follow
-it ``entry_least`` times or more. Beyond 25 million training tokens both counts rise with the root of the tokens (``root``),
-so a larger corpus has more states, and rarer ones by share, while counting stays in proportion to the corpus.
+it ``entry_least`` times or more. Both counts hold for a corpus of any size, so other texts beside them take no state away
+for being many.
 
 A state smooths with what the state of its suffix gives (``strength`` pseudo counts), and so does the mass of the symbols
 that it does not keep: P(w | s) = (count(s, w) + (rest(s) + strength) * P(w | suffix)) / (count(s) + strength), where
@@ -41,8 +41,6 @@ from factloom.llm.common import NOT_SPACE, Lookup, Tokens, blocks, cut, mixed, s
 END, START = np.uint64(0x51ED270B9F652C41), np.uint64(0x2545F4914F6CDD1D)
 FOLDS, HELD_OUT = 7, 2
 DEPTH, LEAST, ENTRY_LEAST, GAIN, STRENGTH = 3, 100, 20, 1.0, 20.0
-#: The least counts are this times the root of the training tokens where that is more.
-ROOT = 0.02
 LOCAL_SHARE = 2.5e-7
 #: A context or suffix in 1 / SPREAD of the training tokens (there are at most SPREAD a level) is joined by broadcast.
 SPREAD = 1024
@@ -269,13 +267,12 @@ def _terms(columns: DataFrame, kind: int) -> DataFrame:
     return columns.mapInArrow(run, "h long, kind int, v double, c long")
 
 
-def fit(texts: DataFrame, depth: int = DEPTH, least: int = LEAST, entry_least: int = ENTRY_LEAST, gain: float = GAIN, strength: float = STRENGTH, local_share: float = LOCAL_SHARE, root: float = ROOT) -> Model:
+def fit(texts: DataFrame, depth: int = DEPTH, least: int = LEAST, entry_least: int = ENTRY_LEAST, gain: float = GAIN, strength: float = STRENGTH, local_share: float = LOCAL_SHARE) -> Model:
     """The tree of all texts (one binary column)."""
     spark = texts.sparkSession
     words = cut(texts.mapInArrow(_count_words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")))
     N, V = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    least = max(least, round(root * math.sqrt(N)))
-    entry_least = min(least, max(entry_least, round(root * math.sqrt(N) / 5)))
+    entry_least = min(least, entry_least)
     ends = int(words.where(F.col("h") == int(END.view(np.int64))).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0])
     starts = spark.range(1).select(F.lit(int(START.view(np.int64))).alias("ctx"), F.lit(ends).cast("long").alias("total"))
     contexts = words.where((F.col("c") >= least) & (F.col("h") != int(END.view(np.int64)))).select(F.col("h").alias("ctx"), F.col("c").alias("total")).union(starts.where(F.col("total") >= least))
@@ -365,12 +362,12 @@ def _score(depth: int, tables: dict[int, tuple[np.ndarray, np.ndarray]], far_map
     return run
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, least: int = LEAST, entry_least: int = ENTRY_LEAST, local_share: float = LOCAL_SHARE, gain: float = GAIN, strength: float = STRENGTH, root: float = ROOT) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, least: int = LEAST, entry_least: int = ENTRY_LEAST, local_share: float = LOCAL_SHARE, gain: float = GAIN, strength: float = STRENGTH) -> DataFrame:
     """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row."""
     spark = docs.sparkSession
     text = F.col(text_col).cast("binary").alias("t")
     out = held_out(F.col(id_col))
-    model = fit(docs.where(~out).select(text), depth, least, entry_least, gain, strength, local_share, root)
+    model = fit(docs.where(~out).select(text), depth, least, entry_least, gain, strength, local_share)
     N, V, ends, terms = model.tokens, model.size, model.ends, model.terms
     # Terms above a share of the tokens: no more than its reciprocal of words, of states of a depth and of their symbols.
     near = F.col("c") >= max(2.0, local_share * N)

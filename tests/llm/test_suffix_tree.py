@@ -93,3 +93,15 @@ def test_states_grow_and_beat_the_unigram_base(spark):
     base, score, n = suffix_tree.score(docs).where("held_out").agg(F.sum("base_score"), F.sum("score"), F.sum("n_tokens")).first()
     print(states, base / n, score / n)
     assert (score - base) / n > 0.15  # log10 a token
+
+
+def test_a_state_stays_however_large_the_corpus(spark):
+    """A context seen 110 times is a state beside 33 million other tokens, too."""
+    few = spark.range(110).select(F.lit("left right").cast("binary").alias("t"))
+    many = spark.range(64).select(F.repeat(F.lit("a "), 1 << 19).cast("binary").alias("t"))
+    wanted = {"left", "right"}
+    for texts in (few, few.union(many)):
+        model = suffix_tree.fit(texts, depth=1)
+        h = spark.createDataFrame([(w,) for w in sorted(wanted)], "t string").select(F.col("t").cast("binary"))
+        own = [b for b in h.mapInArrow(suffix_tree._count_words, "h long, c long").where("c = 1").join(model.levels[0], F.col("h") == F.col("ctx")).collect()]
+        assert len(own) == len(wanted), (model.tokens, model.states())
