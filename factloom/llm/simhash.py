@@ -11,8 +11,13 @@ differs in at most 2. That is exact: no link is lost. Two lanes serve a similari
 shingle sets have Jaccard similarity J differ in a share acos(2J / (1 + J)) / pi of all bits, about 19 of 128 at J = 0.8,
 with a deviation of 4; up to 23 are linked there, so that five of six such pairs are, and some between 0.7 and 0.8, too.
 They have eight parts, the four words of 32 bits and the four sets of every fourth bit. Links at that distance are found
-if one part differs in at most 2 bits (or in 3 or 4 with an anchor between), which is likely but not certain: the README
-has the recall as measured. Components close most gaps, since copies of one text link to each other in many ways.
+if one part differs in at most 2 bits (or in 3 or 4 with an anchor between), which is likely but not certain. So ``keep_one``
+adds every pair of texts whose shingle sets reach the similarity, by prefixes of the sets. Shingles have one order; of two
+sets of similarity t or more, the first |s| - ceil(t |s|) + 1 shingles of each share one. Sets that meet at such a shingle
+and are not connected yet are compared whole, unless their sizes or parity bits of their shingles rule it out (a bit that
+differs is a shingle that differs). The order puts shingles frequent in a sample last; any order gives the same
+links, so the sample saves work only. Before all pairs that meet, two sets of each component at a shingle are compared, so
+that a group of copies in several components is joined without its square of pairs.
 
 Whole texts; A-Z lowered; words ``[^\\x20\\x09-\\x0D]+``; shingles of ``k`` words joined by a space (fewer words: the
 whole sequence); XXH64 with seed 42, further lanes by mixing it; a bit is 1 if over half of the shingles have it. No words
@@ -32,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factloom.llm.common import cut, mixed, packed, row_key, spread_join, texts, unpacked
+from factloom.llm.common import Lookup, cut, mixed, packed, row_key, spread_join, texts, unpacked
+from factloom.llm.suffix_tree import bitmap, passes
 
 RADIUS = 4
 #: For near-duplicates by similarity: words of a shingle, lanes, least similarity.
@@ -41,6 +47,12 @@ SHINGLE, LANES, SIMILARITY = 5, 2, 0.8
 BLOCK = 2048
 #: A component with over 1 / SPREAD of all fingerprints (there are fewer than SPREAD such) is joined by broadcast.
 SPREAD = 1024
+#: Longs of parity bits of a set, those that go along with each shingle, bytes of them before sets are compared whole.
+PARITY, FEW, WIDE = 16, 2, 2048
+#: One in SAMPLE texts and at most FREQUENT shingles that occur OFTEN times there order the shingles.
+SAMPLE, FREQUENT, OFTEN = 16, 1 << 16, 4
+#: Shingles that a slice of texts holds at once; a text with more is one slice.
+_SLICE = 1 << 19
 
 _bits = np.arange(256, dtype=np.uint64)
 #: Byte value to eight lanes of a byte: adds up to 255 hashes at once without a carry.
@@ -59,21 +71,30 @@ def radius_of(similarity: float, lanes: int = LANES) -> int:
     return int(bits * share + math.sqrt(bits * share * (1 - share)))
 
 
-def fingerprint(text: bytes, k: int = 4, seed: int = 42, lanes: int = 1) -> list[int]:
-    """SimHash of one text, unsigned, a number of 64 bits per lane."""
+def shingles(text: bytes, k: int = 4, seed: int = 42) -> np.ndarray:
+    """Hashes of the shingles of one text, repeats included."""
     words = text.lower().split()
     n = len(words)
     if n == 0:
-        return [0] * lanes
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     if n <= k:
-        hashes = np.array([xxhash.xxh64_intdigest(joined, seed)], np.uint64)
-    else:
-        lengths = np.fromiter(map(len, words), np.int64, n)
-        ends = np.cumsum(lengths + 1) - 1
-        starts = (ends - lengths)[: n - k + 1].tolist()
-        digest = xxhash.xxh64_intdigest
-        hashes = np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, ends[k - 1 :].tolist())), np.uint64, n - k + 1)
+        return np.array([xxhash.xxh64_intdigest(joined, seed)], np.uint64)
+    lengths = np.fromiter(map(len, words), np.int64, n)
+    ends = np.cumsum(lengths + 1) - 1
+    starts = (ends - lengths)[: n - k + 1].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts, ends[k - 1 :].tolist())), np.uint64, n - k + 1)
+
+
+def fingerprint(text: bytes, k: int = 4, seed: int = 42, lanes: int = 1) -> list[int]:
+    """SimHash of one text, unsigned, a number of 64 bits per lane."""
+    return _folded(shingles(text, k, seed), lanes)
+
+
+def _folded(hashes: np.ndarray, lanes: int) -> list[int]:
+    if not len(hashes):
+        return [0] * lanes
     out = []
     for lane in range(lanes):
         own = hashes if lane == 0 else mixed(hashes ^ np.uint64(0x9E3779B97F4A7C15 >> lane))
@@ -317,16 +338,222 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(of, names).select(F.col("id").alias(id_col), hex_.alias("fingerprint"), "component_id")
 
 
+def _parity() -> list[str]:
+    return [f"g{i}" for i in range(PARITY)]
+
+
+def _sets(sets: list[np.ndarray], similarity: float, late: Lookup, ranks: np.ndarray) -> list[pa.Array]:
+    """Of sorted sets: 128 bits that name the set, its size, its parity bits, and the prefix that a similar set meets."""
+    n = np.array([len(u) for u in sets], np.int64)
+    u, row, start = np.concatenate(sets), np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
+    names = []
+    for salt in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03):
+        total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(u ^ np.uint64(salt)), dtype=np.uint64)])
+        names.append(total[start + n] - total[start])
+    width = 64 * PARITY
+    odd = np.bincount(row * width + (u % np.uint64(width)).astype(np.int64), minlength=len(n) * width) & 1
+    odd = np.packbits(odd.astype(np.uint8).reshape(-1, width), axis=1, bitorder="little").view(np.int64)
+    found = late.find(u)
+    if (found >= 0).any():
+        u = u[np.lexsort((np.where(found >= 0, ranks[found], -1), row))]
+    most = np.where(n > 0, n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1, 0)
+    first = u[np.arange(len(u)) - start[row] < most[row]]
+    prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(most)]).astype(np.int32)), pa.array(first.view(np.int64)))
+    return [*(pa.array(x.view(np.int64)) for x in names), pa.array(n), *(pa.array(np.ascontiguousarray(odd[:, i])) for i in range(PARITY)), prefix]
+
+
+def _late(rows: DataFrame, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles that are frequent in a sample of the texts, and their ranks by frequency."""
+
+    def run(batches):
+        for batch in batches:
+            for t in texts(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(shingles(t, k, seed)).view(np.int64))], names=["h"])
+
+    some = rows.where(F.pmod(F.xxhash64("t"), F.lit(SAMPLE)) == 0).select("t").mapInArrow(run, "h long")
+    often = some.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") >= OFTEN).orderBy(F.desc("c"), "h").limit(FREQUENT).toArrow()
+    h = often["h"].to_numpy().view(np.uint64)
+    order = np.argsort(h)
+    return h[order], (len(h) - 1 - np.arange(len(h)))[order]
+
+
+def _prints_and_sets(rows: DataFrame, k: int, seed: int, lanes: int, similarity: float) -> DataFrame:
+    """(t, order) as order, f0, ..., and what ``_sets`` gives."""
+    frequent = rows.sparkSession.sparkContext.broadcast(_late(rows, k, seed))
+    names = ["order", *_names(lanes), "s0", "s1", "n", *_parity()]
+    order_type = rows.schema["order"].dataType
+    schema = T.StructType([T.StructField("order", order_type), *(T.StructField(c, T.LongType()) for c in names[1:]), T.StructField("prefix", T.ArrayType(T.LongType()))])
+
+    def run(batches):
+        keys, ranks = frequent.value
+        late = Lookup(keys)
+        for batch in batches:
+            held, at, size = [], 0, 0
+
+            def done(end):
+                fp = np.array([_folded(h, lanes) for h in held], np.uint64).reshape(-1, lanes).view(np.int64)
+                prints = [pa.array(np.ascontiguousarray(fp[:, i])) for i in range(lanes)]
+                own = _sets([np.unique(h) for h in held], similarity, late, ranks)
+                return pa.RecordBatch.from_arrays([batch.column(1).slice(at, end - at), *prints, *own], names=[*names, "prefix"])
+
+            for i, t in enumerate(texts(batch.column(0))):
+                held.append(shingles(t, k, seed))
+                size += len(held[-1])
+                if size >= _SLICE or len(held) >= 2048:
+                    yield done(i + 1)
+                    held, at, size = [], i + 1, 0
+            if held:
+                yield done(at + len(held))
+
+    return rows.mapInArrow(run, schema)
+
+
+def _shared(batches):
+    """Partition sorted by (h, s): each pair of these once, if the shingle h is in the prefixes of more sets than one."""
+
+    def whole(h, s):
+        if len(h):
+            cuts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            sizes = np.diff(np.r_[cuts, len(h)])
+            keep = np.repeat(sizes > 1, sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(s[keep])], names=["h", "s0"])
+
+    held_h = held_s = np.zeros(0, np.int64)
+    for batch in batches:
+        h, s = (np.concatenate([x, batch.column(i).to_numpy(zero_copy_only=False)]) for i, x in ((0, held_h), (1, held_s)))
+        if not len(h):
+            continue
+        new = np.r_[True, (h[1:] != h[:-1]) | (s[1:] != s[:-1])]
+        h, s = h[new], s[new]
+        last = int(np.searchsorted(h, h[-1], "left"))
+        yield from whole(h[:last], s[:last])
+        held_h, held_s = h[last:], s[last:]
+    yield from whole(held_h, held_s)
+
+
+def _may_be_similar(similarity: float, parity: list[str]):
+    """By sizes and parity bits: the union less the intersection is at most this share of both sizes."""
+    share = (1 - similarity) / (1 + similarity)
+    differ = sum((F.bit_count(F.col("a" + g).bitwiseXOR(F.col("b" + g))) for g in parity), F.lit(0))
+    return (F.least("an", "bn") >= similarity * F.greatest("an", "bn") - 1e-9) & (differ <= share * (F.col("an") + F.col("bn")) + 1e-9)
+
+
+def _sides(df: DataFrame, on: list[str]) -> list[DataFrame]:
+    return [df.select(*on, *[F.col(c).alias(side + c) for c in df.columns if c not in on]) for side in "ab"]
+
+
+def _meetings(members: DataFrame, sets: DataFrame, similarity: float, block: int) -> DataFrame:
+    """(a, b): sets of different components that meet at a shingle and that sizes and parity bits do not tell apart.
+
+    members: (h, id, n, root, g0, ...). A shingle with m blocks of members compares pairs of blocks.
+    """
+    few = [g for g in _parity() if g in members.columns]
+    at = cut(members.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("h", "c"))
+    near = (F.col("aid") < F.col("bid")) & (F.col("aroot") != F.col("broot")) & _may_be_similar(similarity, few)
+    a, b = _sides(members.join(at.where(F.col("c") <= block).select("h"), "h"), ["h"])
+    pairs = a.join(b, "h").where(near).select("aid", "bid")
+    if not (large := at.where(F.col("c") > block)).isEmpty():  # one shingle in ``block`` members at most
+        m = F.broadcast(large.select("h", F.ceil(F.col("c") / block).cast("long").alias("m")))
+        dealt = members.join(m, "h").withColumn("i", F.pmod(F.xxhash64("id"), F.col("m")))
+        dealt = dealt.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1)))
+        a, b = _sides(dealt.withColumn("lo", F.least("i", "j")).withColumn("hi", F.greatest("i", "j")).drop("m", "j"), ["h", "lo", "hi"])
+        pairs = pairs.union(a.join(b, ["h", "lo", "hi"]).where(near & ((F.col("ai") != F.col("bi")) | (F.col("lo") == F.col("hi")))).select("aid", "bid"))
+    pairs = cut(pairs.distinct())
+    for side in "ab":
+        pairs = pairs.join(sets.select(F.col("id").alias(side + "id"), *[F.col(c).alias(side + c) for c in ("n", *_parity())]), side + "id")
+    return cut(pairs.where(_may_be_similar(similarity, _parity())).select(F.col("aid").alias("a"), F.col("bid").alias("b")))
+
+
+def _compared(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed: int, made, test) -> DataFrame:
+    """Those (a, b) whose sets pass ``test``, by the bytes ``made`` of each set. keys: (id, k), a row of each set; rows: (h, k, t)."""
+    wanted = cut(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(keys, "id"))
+    place = rows.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.xxhash64("k").alias("h"))))
+
+    def read(batches):
+        for batch in batches:
+            here = np.flatnonzero(passes(place.value, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))
+            some = batch.take(pa.array(here))
+            for name, t in zip(some.column(1).to_pylist(), texts(some.column(2))):
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([made(np.unique(shingles(t, k, seed)))])], names=["k", "u"])
+
+    def compare(batches):
+        for batch in batches:
+            ok = [test(p, q) for p, q in zip(*(c.to_pylist() for c in batch.columns[2:]))]
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok, pa.bool_())) for i in (0, 1)], names=["a", "b"])
+
+    own = cut(wanted.join(rows.mapInArrow(read, "k string, u binary"), "k").dropDuplicates(["id"]).select("id", "u"))
+    left, right = (own.select(F.col("id").alias(c), F.col("u").alias("u" + c)) for c in "ab")
+    return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "ua", "ub").mapInArrow(compare, "a long, b long"))
+
+
+def _similar(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed: int, similarity: float) -> DataFrame:
+    """Those (a, b) whose sets, taken from the texts again, have the similarity: by more parity bits first, then whole."""
+
+    def odd(u):
+        bits = np.bincount((u % np.uint64(8 * WIDE)).astype(np.int64), minlength=8 * WIDE) & 1
+        return len(u).to_bytes(8, "little") + np.packbits(bits.astype(np.uint8)).tobytes()
+
+    def near(p, q):
+        differ = int(np.bitwise_count(np.frombuffer(p, np.uint64, offset=8) ^ np.frombuffer(q, np.uint64, offset=8)).sum())
+        both = int.from_bytes(p[:8], "little") + int.from_bytes(q[:8], "little")
+        return differ <= both * (1 - similarity) / (1 + similarity) + 1e-9
+
+    def similar(p, q):
+        p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+        both = len(np.intersect1d(p, q, assume_unique=True))
+        return both / (len(p) + len(q) - both) >= similarity
+
+    return _compared(_compared(pairs, keys, rows, k, seed, odd, near), keys, rows, k, seed, np.ndarray.tobytes, similar)
+
+
+def _joined(rooted: DataFrame, prints: DataFrame, rows: DataFrame, k: int, seed: int, similarity: float, block: int, names: list[str]) -> DataFrame:
+    """(node, least, root) of ``rooted`` with components joined that hold texts of equal or similar shingle sets."""
+    of = prints.groupBy("s0", "s1", *names).agg(F.min("order.k").alias("k"), *[F.first(c).alias(c) for c in ("n", *_parity())])
+    of = cut(of.join(rooted.select(*names, "node"), names).drop(*names))
+    sets = cut(of.groupBy("s0", "s1").agg(F.min(F.struct("node", "k")).alias("o"), *[F.first(c).alias(c) for c in ("n", *_parity())]).select("s0", "s1", "o.node", "o.k", "n", *_parity()).withColumn("id", F.monotonically_increasing_id()))
+    rooted = _merged(rooted.select("node", "least", "root"), of.select("s0", "s1", F.col("node").alias("a")).join(sets.select("s0", "s1", F.col("node").alias("b")), ["s0", "s1"]).where("a <> b").select("a", "b"))
+    # A set goes by 64 bits here: should two share them, both meet all that either meets.
+    shared = prints.select(F.explode("prefix").alias("h"), "s0").repartition("h").sortWithinPartitions("h", "s0").mapInArrow(_shared, "h long, s0 long")
+    few = _parity()[:FEW]
+    members = cut(shared.join(sets.where("n > 0").select("s0", "id", "node", "n", *few), "s0").drop("s0"))
+    for every in (False, True):
+        own = members.join(rooted.select("node", "root"), "node").drop("node")
+        if not every:
+            own = own.groupBy("h", "root").agg(F.array_distinct(F.array(F.min("id"), F.max("id"))).alias("id")).select("h", F.explode("id").alias("id"), "root").join(sets.select("id", "n", *few), "id")
+        pairs = _meetings(cut(own), sets, similarity, block)
+        if pairs.isEmpty():
+            continue
+        found = _similar(pairs, sets.select("id", "k"), rows, k, seed, similarity)
+        for c in "ab":
+            found = found.join(sets.select(F.col("id").alias(c), F.col("node").alias("n" + c)), c)
+        rooted = _merged(rooted, found.select(F.col("na").alias("a"), F.col("nb").alias("b")))
+    return rooted
+
+
+def _merged(rooted: DataFrame, edges: DataFrame) -> DataFrame:
+    """``rooted`` with the components at both ends of an edge as one."""
+    for c in "ab":
+        edges = edges.join(rooted.select(F.col("node").alias(c), F.col("root").alias("r" + c)), c)
+    edges = cut(edges.where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
+    if edges.isEmpty():
+        return rooted
+    to = components(edges).select(F.col("node").alias("root"), F.col("root").alias("to"))
+    to = rooted.select("root").distinct().join(to, "root", "left").withColumn("to", F.coalesce("to", "root"))
+    return cut(spread_join(rooted, cut(to), "root", _large(rooted)).drop("root").withColumnRenamed("to", "root"))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, similarity: float = SIMILARITY, seed: int = 42, block: int = BLOCK, lanes: int = LANES) -> DataFrame:
     """One row of ``docs`` for each component: that of the least id (nulls last), then of the least row hash.
 
-    Texts are linked if their fingerprints differ in ``radius_of(similarity)`` bits or fewer. Rows are told apart by id and text, so rows that repeat an id with other texts stay or go by their own texts.
+    Texts are linked if their sets of shingles have this Jaccard similarity or more, all of them, and if their fingerprints meet at an anchor and differ in ``radius_of(similarity)`` bits or fewer. Rows are told apart by id and text, so rows that repeat an id with other texts stay or go by their own texts.
     """
     names, key = _names(lanes), row_key(id_col, text_col)
     order = F.struct(F.col(id_col).isNull().alias("z"), F.col(id_col).alias("i"), key.alias("k")).alias("order")
-    prints = cut(fingerprints(docs.select(F.col(text_col).cast("binary").alias("t"), order), k, seed, lanes))
+    prints = cut(_prints_and_sets(docs.select(F.col(text_col).cast("binary").alias("t"), order), k, seed, lanes, similarity))
     distinct = cut(prints.groupBy(*names).agg(F.min("order").alias("least")).withColumn("node", F.monotonically_increasing_id()))
-    first = cut(_rooted(distinct, radius_of(similarity, lanes), block, lanes).groupBy("root").agg(F.min("least").alias("o")).select(F.col("o.k").alias("key")))
+    rows = docs.select(key.alias("k"), F.col(text_col).cast("binary").alias("t")).select(F.xxhash64("k").alias("h"), "k", "t")
+    rooted = _joined(_rooted(distinct, radius_of(similarity, lanes), block, lanes), prints, rows, k, seed, similarity, block, names)
+    first = cut(rooted.groupBy("root").agg(F.min("least").alias("o")).select(F.col("o.k").alias("key")))
     again = prints.groupBy(F.col("order.k").alias("key")).agg(F.count("*").alias("n")).where("n > 1").select("key")
     kept = packed(docs, key).join(first, "key", "left_semi")
     once = kept.join(again, "key", "left_anti").select("doc")

@@ -125,3 +125,27 @@ def test_recall_at_the_similarity(spark):
     print(sorted(seen.items()))
     share = lambda b: seen[b, True] / max(1, seen[b, True] + seen[b, False])
     assert share(0.9) >= 0.9 and share(0.8) >= 0.6 and share(0) < 0.01
+
+
+@pytest.mark.parametrize("block, sample", [(3, 16), (2048, 1)])  # a shared shingle in blocks, in any order; frequent shingles last
+def test_no_pair_of_the_similarity_is_left_out(spark, monkeypatch, block, sample):
+    monkeypatch.setattr(simhash, "SAMPLE", sample, raising=False)
+    rng = random.Random(5)
+    say = lambda n: [str(rng.randint(0, 9999)) for _ in range(n)]
+    passage, texts = say(8), []
+    for _ in range(60):
+        base = say(12) + passage + say(12)
+        texts += [base, say(1) + base[1:-2] + say(2), [*base[:-2], *say(6)]]  # similarities of 0.81 and below 0.8
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(900, "two words"), (901, "TWO  words"), (902, "two"), (903, "a b a b a b a b a b"), (904, "a b a b a b a b")]
+    sets = [{" ".join(w[a : a + 5]) for a in range(max(1, len(w) - 4))} for w in (t.lower().split() for _, t in rows)]
+    near = {(a, b) for a, b in combinations(range(len(rows)), 2) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8}
+    prints = [print_of(t) for _, t in rows]
+    by_prints = linked(prints, simhash.radius_of(0.8))
+    assert len(near - by_prints) > 5
+    root = list(range(len(rows)))
+    find = lambda i: i if root[i] == i else find(root[i])
+    for i, j in near | by_prints:
+        root[max(find(i), find(j))] = min(find(i), find(j))
+    want = [rows[i][0] for i in range(len(rows)) if find(i) == i]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), block=block)
+    assert sorted(r.doc_id for r in got.collect()) == want
