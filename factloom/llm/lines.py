@@ -5,11 +5,11 @@ the corpus, a chunk ends: a chunk is a longest run of lines whose rolled values
 on adjacent lines alone and resist shifts, and a repeated passage is found whole, from its first line to its last, however
 short it is (boundaries by a residue of the rolled value miss passages that hold fewer than two of them). A line of
 ``alone`` words or more is a passage by itself. Equal values are only candidates: both lines (or the one) are compared
-byte by byte, and the first place, by id and then line, stays. The lines found again at later places go if their run has
-``min_words`` words or more. Every distinct line stays at its first place.
+by the SHA-256 of their bytes, and the first place, by id and then line, stays. The lines found again at later places go
+if their run has ``min_words`` words or more. Every distinct line stays at its first place.
 
-Bytes are sent only of lines whose value is met twice: a set of at most ``PREFIXES`` residues of those values is broadcast
-for that; it saves work and drops nothing. A value with over 1 / ``SPREAD`` of all repeated places (there are fewer than
+Lines are not sent, only the SHA-256 of those whose value is met twice: a set of at most ``PREFIXES`` residues of those
+values is broadcast for that; it saves work and drops nothing. A value with over 1 / ``SPREAD`` of all repeated places (there are fewer than
 ``SPREAD`` such) is dealt over several tasks.
 
 Null text stays null; an empty text has one line without words. Texts without lines to remove are left as they are, byte
@@ -65,12 +65,13 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alo
     hot = F.broadcast(often.where(F.col("n") > share).select("hash", F.floor(F.col("n") / share + 1).cast("int").alias("parts")))
     residue = F.pmod("hash", F.lit(PREFIXES)).cast("int")
     own = units(docs, id_col, text_col, alone, with_text=True).withColumn("residue", residue).join(F.broadcast(often.select(residue.alias("residue")).distinct()), "residue", "left_semi").drop("residue")
+    own = own.withColumn("digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256))).drop("text")
     own = own.join(hot, "hash", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("key", "line"), F.col("parts")), F.lit(0)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
     met = cut(own.join(often.join(hot, "hash", "left").select("hash", every), ["hash", "part"], "left_semi"))
     order = F.struct(F.col("id").isNull().alias("z"), F.col("id").alias("i"), F.col("key").alias("k"), F.col("line").alias("p"))
-    first = met.groupBy("hash", "text").agg(F.min(order).alias("first"), F.max("parts").alias("parts")).select("hash", "text", "first", every)
-    later = met.join(first, ["hash", "text", "part"]).where(order != F.col("first"))
+    first = met.groupBy("hash", "digest").agg(F.min(order).alias("first"), F.max("parts").alias("parts")).select("hash", "digest", "first", every)
+    later = met.join(first, ["hash", "digest", "part"]).where(order != F.col("first"))
     return later.groupBy("key").agg(F.collect_set(F.struct("line", "lines")).alias("again"))
 
 

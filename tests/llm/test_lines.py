@@ -82,3 +82,13 @@ def test_edges(spark):
     got = Counter((r[0], r[1], r[2], r[3], r[4]) for r in out.collect())
     assert got == Counter((*r[:1], "" if r[0] == 5 else r[1], 0 if r[0] == 5 else r[2], *r[3:]) for r in rows)
     assert lines.dedup_lines(df.where("false")).count() == 0
+
+
+def test_lines_do_not_travel(spark, monkeypatch):
+    """Two rows that share a line of a megabyte: what is cut and joined on the way is small."""
+    rng, sent, plain = random.Random(8), [], lines.cut
+    rows = [(i, f"own {i}\n" + " ".join(f"{rng.getrandbits(40):x}" for _ in range(100_000))) for i in (1, 2)]
+    rows[1] = (2, rows[1][1].split("\n")[0] + "\n" + rows[0][1].split("\n")[1])
+    monkeypatch.setattr(lines, "cut", lambda df: sent.append(plain(df)) or sent[-1])
+    assert {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {1: rows[0][1], 2: "own 2"}
+    assert len(sent) > 1 and sum(df.toArrow().nbytes for df in sent) < 100_000
