@@ -31,10 +31,21 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once; later reads survive lost executors and do not recompute it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder once; later reads survive lost executors and do not recompute it.
+
+    Shuffle files of this one run go as soon as it is written, not when the driver's garbage is collected."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a plan of its own, made under the setting
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
 
 
 def quoted(name: str) -> Column:
