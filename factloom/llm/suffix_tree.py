@@ -95,6 +95,22 @@ class Grams:
         return np.flatnonzero(self.place >= max(n, 1))
 
 
+def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, cuts): places by key, and where in that order a new key begins. Equal keys come in any order, which a
+    stable sort, as in ``np.unique`` with indices, pays for several times."""
+    order = np.argsort(key)
+    key = key[order]
+    return order, np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+
+
+def _by_row(rows: np.ndarray, h: np.ndarray, most: int) -> np.ndarray:
+    """Places by row, below ``most``, and then by hash."""
+    if most > 1 << 16:
+        return np.lexsort((h, rows))
+    order = np.argsort(h)
+    return order[np.argsort(rows[order].astype(np.uint16), kind="stable")]
+
+
 class _Counter:
     """Counts of rows of 64-bit columns; what is held is compacted as it doubles and handed on above a bound."""
 
@@ -102,15 +118,17 @@ class _Counter:
         self.columns, self.most, self.parts, self.size = columns, most, [], 0
 
     def add(self, key: np.ndarray, *columns: np.ndarray) -> None:
-        _, first, times = np.unique(key, return_index=True, return_counts=True)
-        self.parts.append((key[first], times.astype(np.int64), *(c[first] for c in columns)))
+        order, cuts = _grouped(key)
+        first = order[cuts]
+        self.parts.append((key[first], np.diff(np.r_[cuts, len(key)]), *(c[first] for c in columns)))
         self.size += len(first)
 
     def compact(self) -> None:
         if len(self.parts) > 1:
             key, times, *columns = (np.concatenate(x) for x in zip(*self.parts))
-            u, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-            self.parts = [(u, np.bincount(inverse, weights=times, minlength=len(u)).astype(np.int64), *(c[first] for c in columns))]
+            order, cuts = _grouped(key)
+            first = order[cuts]
+            self.parts = [(key[first], np.add.reduceat(times[order], cuts) if len(cuts) else times, *(c[first] for c in columns))]
         self.size = sum(len(p[0]) for p in self.parts)
 
     def full(self) -> bool:
@@ -347,7 +365,7 @@ def _score(depth: int, tables: dict[int, tuple[np.ndarray, np.ndarray]], far_map
                     extra = np.intersect1d(extra, back, assume_unique=True)
                     extra = extra[look(EXTRA, term(EXTRA, g.of[d + 1][extra]), g.row[extra], shift)]
                 fr, fh = np.concatenate(far_rows).astype(np.int64), np.concatenate(far_hashes)
-                sort = np.lexsort((fh, fr))
+                sort = _by_row(fr, fh, m)
                 fr, fh = fr[sort], fh[sort]
                 cuts = np.flatnonzero(np.r_[True, (fr[1:] != fr[:-1]) | (fh[1:] != fh[:-1])]) if len(fr) else np.zeros(0, np.int64)
                 times = np.diff(np.r_[cuts, len(fr)])
