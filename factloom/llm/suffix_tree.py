@@ -20,6 +20,8 @@ all others go through one join by hash, behind a bitmap of fixed size that only
 
 Counting goes by levels: an n-gram can be frequent only if both its (n-1)-grams are, so bitmaps of those (fixed size,
 false positives cost work, not truth) thin out what is shuffled; exact counts decide. All n-grams are told apart by 64-bit
+hashes. What is shuffled are not rows but sorted blocks of counts, dealt by hash: an n-gram made of frequent parts is one
+number of their places in a table, the difference to the number before it, in as few bytes as that takes; others are their
 hashes. Texts of any length are read whole; one text is one slice of a task's memory.
 
 Null and empty texts have the end token only. Repeated rows count and are scored one by one. A null id counts as an
@@ -46,6 +48,8 @@ LOCAL_SHARE = 2.5e-7
 SPREAD = 1024
 #: Places in a bitmap, as a power of two.
 BITS = 24
+#: Training tokens a deal of n-grams, which one group adds up; there are 16 to 2**16 deals.
+DEAL = 1 << 21
 #: Kinds of terms: a word's root log, a state's back-off, a kept symbol's gain.
 WORD, BACK, EXTRA = 1, 2, 3
 _SLICE = 1 << 20
@@ -181,36 +185,87 @@ def bitmap(hashes: DataFrame) -> np.ndarray:
     return out.view(np.uint8)
 
 
-def _coded(lookup: Lookup, h: np.ndarray) -> np.ndarray:
-    """Frequent words as small numbers, which take little room in a shuffle; other hashes as they are."""
-    at = lookup.find(h)
-    return np.where(at >= 0, at.astype(np.uint64), h)
+def _hashes(rows: DataFrame) -> np.ndarray:
+    """Column h of a bounded number of rows."""
+    return rows.select("h").toArrow()["h"].to_numpy().view(np.uint64)
 
 
-def _decoded(lookup: Lookup, code: np.ndarray) -> np.ndarray:
-    here = code < np.uint64(len(lookup.keys))
-    return np.where(here, lookup.keys[np.where(here, code, 0).astype(np.int64)], code) if len(lookup.keys) else code
+class Coding:
+    """n-grams made of frequent parts as one number: the parts' places in a table, side by side."""
 
+    def __init__(self, keys: np.ndarray):
+        self.lookup = Lookup(keys)
+        self.bits = max(1, (len(keys) - 1).bit_length())
 
-def _count_grams(levels: list[int], n: int, as_context, as_entry, coding):
-    """(level, hash of the context, hash of the suffix, count) of (level + 1)-grams; at the first level words are coded.
+    def fits(self, parts: int) -> bool:
+        return self.bits * parts <= 64
+
+    def encode(self, places: list[np.ndarray]) -> np.ndarray:
+        out = places[0].astype(np.uint64)
+        for x in places[1:]:
+            out = out << np.uint64(self.bits) | x.astype(np.uint64)
+        return out
+
+    def decode(self, code: np.ndarray, parts: int) -> list[np.ndarray]:
+        """Hashes of the parts."""
+        last = np.uint64((1 << self.bits) - 1)
+        return [self.lookup.keys[(code >> np.uint64(self.bits * j) & last).astype(np.int64)] for j in reversed(range(parts))]
+
+
+def pack(columns: list[np.ndarray]) -> tuple[int, bytes]:
+    """(size, bytes) of 64-bit columns of one length, the first one ascending: its differences, then the others, each by
+    places of bytes without the highest ones that are zero throughout."""
+    columns = [np.diff(columns[0], prepend=np.uint64(0)), *columns[1:]]
+    wide = [(int(x.max()).bit_length() + 7) // 8 if len(x) else 0 for x in columns]
+    planes = [np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :w].T).tobytes() for x, w in zip(columns, wide)]
+    raw = np.array([len(columns[0]), *wide], "<u8").tobytes() + b"".join(planes)
+    return len(raw), pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack(size: int, packed: bytes, columns: int) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(packed, size, codec="zstd", asbytes=True), np.uint8)
+    at = 8 * (columns + 1)
+    n, *wide = (int(x) for x in raw[:at].view("<u8"))
+    out = []
+    for w in wide:
+        x = np.zeros((n, 8), np.uint8)
+        x[:, :w] = raw[at : at + n * w].reshape(w, n).T
+        out.append(x.reshape(-1).view("<u8"))
+        at += n * w
+    return [np.cumsum(out[0], dtype=np.uint64), *out[1:]]
+
+
+def _count_grams(levels: list[int], n: int, as_context, as_entry, coding, deals: int):
+    """Blocks of counts of (level + 1)-grams, dealt to 2**deals by hash: rows (level, whether coded, deal, size, block).
 
     The bitmaps hold n-grams that may be contexts and that may be entries. A context of a higher level is made of such
-    n-grams, too: each n-gram in it must be frequent.
+    n-grams, too: each n-gram in it must be frequent. A coded block holds (code, count), others (hash of the context, hash
+    of the suffix, count).
     """
 
     def run(batches):
-        contexts, entries = as_context.value, as_entry.value
-        lookup = Lookup(coding.value) if n == 1 else None
-        counters = {d: _Counter(2) for d in levels}
-
-        def out(d):
-            got = counters[d].take()
-            if got is not None:
-                _, times, ctx, suf = got
-                if d == 1:
-                    ctx, suf = _coded(lookup, ctx), _coded(lookup, suf)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ctx), d, np.int32)), _long(ctx), _long(suf), pa.array(times)], names=["d", "ctx", "suf", "c"])
+        contexts, entries, code = as_context.value, as_entry.value, Coding(coding.value)
+        counters = {(d, coded): _Counter(0 if coded else 2) for d in levels for coded in (True, False)}
+
+        def out(d, coded):
+            got = counters[d, coded].take()
+            if got is None or not len(got[0]):
+                return
+            key, times, *columns = got
+            deal = (mixed(key) >> np.uint64(64 - deals)).astype(np.uint16)
+            columns = [*(columns or [key]), times.view(np.uint64)]
+            order = np.argsort(columns[0])
+            order = order[np.argsort(deal[order], kind="stable")]
+            deal, columns = deal[order], [c[order] for c in columns]
+            first = np.flatnonzero(np.r_[True, deal[1:] != deal[:-1]])
+            blocks_ = [pack([c[i:j] for c in columns]) for i, j in zip(first, [*first[1:], len(deal)])]
+            m = len(first)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, d, np.int32)), pa.array(np.full(m, coded)), pa.array(deal[first].astype(np.int32)), pa.array([x for x, _ in blocks_], pa.int64()), pa.array([x for _, x in blocks_], pa.binary())], names=["d", "coded", "deal", "size", "block"])
+
+        def add(d, coded, key, *columns):
+            counters[d, coded].add(key, *columns)
+            if counters[d, coded].full():
+                yield from out(d, coded)
 
         for batch in batches:
             for _, _, data, offsets in blocks(batch.column(0), _SLICE):
@@ -219,32 +274,43 @@ def _count_grams(levels: list[int], n: int, as_context, as_entry, coding):
                 if n == 1:
                     can |= g.place == 0
                 fits = passes(entries, g.of[n])
+                place = code.lookup.find(g.of[n])
                 for d in levels:
                     i = g.next(d)
                     i = i[fits[i]]
                     for back in range(1, d - n + 2):
                         i = i[can[i - back]]
-                    counters[d].add(g.of[d + 1][i], g.of[d][i - 1], g.of[d][i])
-                    if counters[d].full():
-                        yield from out(d)
-        for d in levels:
-            yield from out(d)
+                    parts = [place[i - back] for back in reversed(range(d - n + 2))]
+                    known = np.logical_and.reduce([x >= 0 for x in parts]) & code.fits(len(parts))
+                    yield from add(d, True, code.encode([x[known] for x in parts]))
+                    i = i[~known]
+                    yield from add(d, False, g.of[d + 1][i], g.of[d][i - 1], g.of[d][i])
+        for d, coded in counters:
+            yield from out(d, coded)
 
     return run
 
 
-def _with_hash(counted: DataFrame, coding=None) -> DataFrame:
-    """(ctx, suf, c) decoded, with h, the hash of the whole n-gram."""
+def _add_up(n: int, coding, least: int):
+    """(d, h, ctx, suf, c) of one deal's blocks: the hashes of the n-gram, its context and suffix, if counted ``least`` times."""
 
-    def run(batches):
-        lookup = Lookup(coding.value) if coding is not None else None
-        for b in batches:
-            ctx, suf = (b.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            if lookup is not None:
-                ctx, suf = _decoded(lookup, ctx), _decoded(lookup, suf)
-            yield pa.RecordBatch.from_arrays([_long(joined(ctx, suf)), _long(ctx), _long(suf), b.column(2)], names=["h", "ctx", "suf", "c"])
+    def run(table: pa.Table) -> pa.Table:
+        d, coded = table["d"][0].as_py(), table["coded"][0].as_py()
+        read = [unpack(size.as_py(), block.as_py(), 2 if coded else 3) for size, block in zip(table["size"], table["block"])]
+        *columns, times = (np.concatenate(x) for x in zip(*read))
+        key = columns[0] if coded else joined(*columns)
+        order, cuts = _grouped(key)
+        c = np.add.reduceat(times.view(np.int64)[order], cuts)
+        first, c = order[cuts][c >= least], c[c >= least]
+        if coded:
+            grams = Coding(coding.value).decode(key[first], d - n + 2) if len(first) else [key[first]] * 2
+            while len(grams) > 2:
+                grams = [joined(a, b) for a, b in zip(grams, grams[1:])]
+        else:
+            grams = [x[first] for x in columns]
+        return pa.table({"d": pa.array(np.full(len(c), d, np.int32)), "h": _long(joined(*grams)), "ctx": _long(grams[0]), "suf": _long(grams[1]), "c": pa.array(c)})
 
-    return counted.mapInArrow(run, "h long, ctx long, suf long, c long")
+    return run
 
 
 def _level(counted: DataFrame, contexts: DataFrame, above: DataFrame, tokens: int, strength: float, gain: float) -> DataFrame:
@@ -296,19 +362,23 @@ def fit(texts: DataFrame, depth: int = DEPTH, least: int = LEAST, entry_least: i
     contexts = words.where((F.col("c") >= least) & (F.col("h") != int(END.view(np.int64)))).select(F.col("h").alias("ctx"), F.col("c").alias("total")).union(starts.where(F.col("total") >= least))
     above = words.select(F.col("h").alias("suf"), ((F.col("c") + 1) / F.lit(float(N + V + 1))).alias("up"), F.col("c").alias("n"))
     as_context, as_entry = (spark.sparkContext.broadcast(bitmap(words.where(F.col("c") >= n).select("h"))) for n in (least, entry_least))
-    coding = spark.sparkContext.broadcast(words.where(F.col("c") >= max(entry_least, local_share * N)).select("h").toArrow()["h"].to_numpy().view(np.uint64))
+    often = max(entry_least, local_share * N)
+    starting = START if ends else np.zeros(0, np.uint64)
+    coding = spark.sparkContext.broadcast(np.append(_hashes(words.where(F.col("c") >= often)), starting))
+    deals = min(16, max(4, math.ceil(math.log2(max(1, N / DEAL)))))
     levels, counted = [], None
     for d in range(1, depth + 1):
         if d != 3:  # the third level needs no pass of its own: it is thinned out by pairs as the second is
-            now = [d, 3] if d == 2 and depth > 2 else [d]
-            found = texts.mapInArrow(_count_grams(now, min(d, 2), as_context, as_entry, coding), "d int, ctx long, suf long, c long")
-            counted = cut(found.groupBy("d", "ctx", "suf").agg(F.sum("c").alias("c")).where(F.col("c") >= entry_least))
-        entries = _level(_with_hash(counted.where(F.col("d") == d).select("ctx", "suf", "c"), coding if d == 1 else None), contexts, above, N, strength, gain)
+            now, n = [d, 3] if d == 2 and depth > 2 else [d], min(d, 2)
+            found = texts.mapInArrow(_count_grams(now, n, as_context, as_entry, coding, deals), "d int, coded boolean, deal int, size long, block binary")
+            counted = cut(found.groupBy("d", "coded", "deal").applyInArrow(_add_up(n, coding, entry_least), "d int, h long, ctx long, suf long, c long"))
+        entries = _level(counted.where(F.col("d") == d).select("h", "ctx", "suf", "c"), contexts, above, N, strength, gain)
         levels.append(entries)
         contexts = entries.where((F.col("c") >= least)).select(F.col("h").alias("ctx"), F.col("c").alias("total"))
         above = entries.select(F.col("h").alias("suf"), F.col("p").alias("up"), F.col("c").alias("n"))
         if d == 1 and depth > 1:
             as_context, as_entry = (spark.sparkContext.broadcast(bitmap(entries.where(F.col("c") >= n).select("h"))) for n in (least, entry_least))
+            coding = spark.sparkContext.broadcast(_hashes(entries.where(F.col("c") >= often)))
     # From the longest contexts down: a retained state's suffix is retained. A state is an entry of the level above it.
     kept, wanted = [], None
     for d in range(depth, 0, -1):
@@ -403,12 +473,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     joined_ = scored.join(terms.where(~near).select("h", "kind", "v"), "h", "left")
     word = F.col("kind") == WORD
     value = F.col("times") * F.col("v")
-    # A text's own row is the one that has n_tokens; the terms' rows bring their sums.
+    # A text's own row has n_tokens and its sums so far; the terms' rows bring the rest.
     all_ = joined_.groupBy("row").agg(
         F.max("id").alias("id"), F.max("out").alias("out"), F.max("n_tokens").alias("n_tokens"),
-        (F.max("seen") + F.sum(F.when(word, F.col("times")).otherwise(0))).alias("known"),
-        (F.max("base") + F.sum(F.when(word, value).otherwise(0.0))).alias("base"),
-        (F.max("shift") + F.sum(F.when(~word, value).otherwise(0.0))).alias("shift"),
+        F.sum(F.coalesce("seen", F.when(word, F.col("times")), F.lit(0))).alias("known"),
+        F.sum(F.coalesce("base", F.when(word, value), F.lit(0.0))).alias("base"),
+        F.sum(F.coalesce("shift", F.when(~word, value), F.lit(0.0))).alias("shift"),
     )
     base_score = F.col("base") + F.lit(math.log10(ends + 1)) - F.col("n_tokens") * F.lit(math.log10(N + V + 1))
     return all_.select(

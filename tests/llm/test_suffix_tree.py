@@ -136,3 +136,38 @@ def test_counting_and_dealing_are_exact_and_need_no_stable_sort():
         return time.perf_counter() - began
 
     assert took(lambda: suffix_tree._Counter(0).add(key)) < 0.6 * took(lambda: np.unique(key, return_index=True, return_counts=True))
+
+
+def test_what_is_shuffled_for_a_pair_is_small(spark):
+    """400,000 tokens of 2,000 frequent words, nearly all pairs different: rows of hashes and counts took about 14 bytes each."""
+    rng = np.random.default_rng(8)
+    texts = [(" ".join(f"w{x}" for x in rng.integers(0, 2_000, 1_000)),) for _ in range(400)]
+    docs = spark.createDataFrame(texts, "t string").repartition(4).select(F.col("t").cast("binary").alias("t")).cache()
+    docs.count()
+
+    def written():
+        spark.range(10).count()
+        time.sleep(1)
+        return spark.sparkContext._jsc.sc().statusStore().executorList(False).head().totalShuffleWrite()
+
+    before = written()
+    model = suffix_tree.fit(docs, depth=1)
+    took = written() - before
+    docs.unpersist()
+    assert model.tokens == 400_400 and 0 < took < 5 * 400_000, took
+
+
+def test_blocks_of_counts_come_back_whole():
+    rng = np.random.default_rng(9)
+    for high in (1, 1 << 20, 1 << 63):
+        for n in (0, 1, 1000):
+            columns = [np.sort(rng.integers(0, high, n, np.uint64)), rng.integers(0, 1 << 64, n, np.uint64), np.ones(n, np.uint64)]
+            size, block = suffix_tree.pack(columns)
+            assert all((a == b).all() and len(a) == n for a, b in zip(suffix_tree.unpack(size, block, 3), columns))
+    for keys in (1, 2, 3, 1000, 1 << 16):
+        coding = suffix_tree.Coding(rng.integers(0, 1 << 64, keys, np.uint64))
+        parts = next(m for m in (4, 3, 2) if coding.fits(m))
+        assert parts == 4 and (keys < 1 << 16 or not coding.fits(5))
+        of = [coding.lookup.keys[rng.integers(0, keys, 500)] for _ in range(parts)]
+        code = coding.encode([coding.lookup.find(x) for x in of])
+        assert all((a == b).all() for a, b in zip(coding.decode(code, parts), of))
