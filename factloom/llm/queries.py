@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import chat, decontaminate, langid, lines, mixing, pii, quality, simhash, suffix_tree, urls
+from factloom.llm import chat, decontaminate, divergence, langid, lines, mixing, pii, quality, simhash, suffix_tree, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,7 +64,11 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_quality, op4_langid, op5_line_dedup, op6_mixing, op7_suffix_tree, op8_winnowing, op9_chat, op10_urls)}
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_quality, op4_langid, op5_line_dedup, op6_mixing, op7_suffix_tree, op8_winnowing, op9_chat, op10_urls, op11_divergence)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPLIT = r"'[^\x20\x09-\x0D]+'"
@@ -133,4 +137,20 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
 FROM c GROUP BY conv_id
 """
 
-ORACLE = {"op3_quality": _OP3, "op6_mixing": _OP6, "op8_winnowing": _OP8, "op9_chat": _OP9}
+_OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWER.replace("text", "coalesce(text, '')")} AS text FROM documents),
+t AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+o AS (SELECT lang, source, term, count(*) AS c FROM t GROUP BY lang, source, term),
+c AS (SELECT g.lang, g.source, k.term, k.n, coalesce(o.c, 0) AS c FROM g JOIN k ON g.lang = k.lang LEFT JOIN o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+s AS (SELECT *, sum(c) OVER w AS own, count(*) OVER w AS v, sum(n) OVER w AS every FROM c WINDOW w AS (PARTITION BY lang, source)),
+p AS (SELECT lang, source, term, c, (1 + (1000000000::HUGEINT * (c + 1)) // (own + v))::BIGINT AS p, (1 + (1000000000::HUGEINT * (n + 1)) // (every + v))::BIGINT AS q FROM s),
+m AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(m.value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN m ON m.lang = a.lang AND m.source = a.source AND m.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE c > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM u)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLE = {"op3_quality": _OP3, "op6_mixing": _OP6, "op8_winnowing": _OP8, "op9_chat": _OP9, "op11_divergence": _OP11}
