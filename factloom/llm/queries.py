@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import chat, decontaminate, divergence, langid, lines, mixing, pii, quality, simhash, suffix_tree, urls
+from factloom.llm import chat, decontaminate, divergence, langid, lines, mixing, pii, quality, simhash, suffix_tree, urls, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,7 +68,11 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_quality, op4_langid, op5_line_dedup, op6_mixing, op7_suffix_tree, op8_winnowing, op9_chat, op10_urls, op11_divergence)}
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_quality, op4_langid, op5_line_dedup, op6_mixing, op7_suffix_tree, op8_winnowing, op9_chat, op10_urls, op11_divergence, op13_whitening)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPLIT = r"'[^\x20\x09-\x0D]+'"
