@@ -47,7 +47,7 @@ FEW = 4096
 SPREAD = 1024
 #: Parts over which the sources of one language are dealt before they meet.
 PARTS = 32
-_SLICE = 1 << 23
+_SLICE = 1 << 21
 _DIGIT = 16
 
 LETTER = np.zeros(256, np.uint8)
