@@ -482,8 +482,20 @@ def _compared(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed:
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok, pa.bool_())) for i in (0, 1)], names=["a", "b"])
 
     own = cut(wanted.join(rows.mapInArrow(read, "k string, u binary"), "k").dropDuplicates(["id"]).select("id", "u"))
-    left, right = (own.select(F.col("id").alias(c), F.col("u").alias("u" + c)) for c in "ab")
-    return cut(pairs.join(left, "a").join(right, "b").select("a", "b", "ua", "ub").mapInArrow(compare, "a long, b long"))
+    share = max(1, pairs.count() // SPREAD)
+    for side, other in ("ab", "ba"):
+        pairs = _with_set(pairs, own, side, other, share)
+    return cut(pairs.select("a", "b", "ua", "ub").mapInArrow(compare, "a long, b long"))
+
+
+def _with_set(pairs: DataFrame, own: DataFrame, side: str, other: str, share: int) -> DataFrame:
+    """``pairs`` with the bytes of one side; a set in more than ``share`` pairs (there are fewer than SPREAD such) is dealt over parts."""
+    hot = pairs.groupBy(side).agg(F.ceil(F.count("*") / share).cast("int").alias("parts")).where("parts > 1")
+    hot = F.broadcast(cut(hot))
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+    table = own.select(F.col("id").alias(side), F.col("u").alias("u" + side)).join(hot, side, "left").select(side, "u" + side, every)
+    part = F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")), F.lit(0)).cast("int").alias("part")
+    return pairs.join(hot, side, "left").select(*pairs.columns, part).join(table, [side, "part"]).drop("part")
 
 
 def _similar(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed: int, similarity: float) -> DataFrame:
