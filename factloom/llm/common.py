@@ -7,6 +7,7 @@ Words are runs of bytes outside ``[\\x20\\x09-\\x0D]``; ``bytes.split()`` cuts a
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +49,14 @@ def cut(df: DataFrame) -> DataFrame:
         spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``cut`` by a Parquet table in the shared folder. A checkpoint keeps its plan's estimated size, the product of the joins'
+    sides, so in a loop of joins the number of its digits doubles with each round; a table's size is that of its files."""
+    folder = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def quoted(name: str) -> Column:
     """The column of exactly this name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")

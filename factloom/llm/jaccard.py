@@ -38,9 +38,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import cut, quoted, row_key, spread_join
+from factloom.llm.common import mixed, quoted, row_key, spread_join, stored, texts
 from factloom.llm.simhash import _compared, components, shingles
-from factloom.llm.common import mixed, texts
 
 SHINGLE, SIMILARITY, SEED = 5, 0.8, 42
 #: Places of the table of counts, as a power of two, and places in one row of it.
@@ -183,7 +182,7 @@ def _star(members: DataFrame, turn: int, t: float) -> DataFrame:
 
 def _meetings(members: DataFrame, t: float, block: int) -> DataFrame:
     """(a, b): all sets of different components that meet at a shingle and pass the filters."""
-    at = cut(members.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("h", "c"))
+    at = stored(members.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c")).where("lo < hi").select("h", "c"))
     near = (F.col("anode") < F.col("bnode")) & (F.col("aroot") != F.col("broot")) & _possible(t)
     own = members.join(at.where(F.col("c") <= block).select("h"), "h")
     pairs = _side(own, "a", ["h"]).join(_side(own, "b", ["h"]), "h").where(near).select("anode", "bnode")
@@ -224,11 +223,11 @@ def _merged(rooted: DataFrame, edges: DataFrame) -> DataFrame:
     """``rooted`` (node, root) with the components at both ends of an edge as one."""
     for c in "ab":
         edges = edges.join(rooted.select(F.col("node").alias(c), F.col("root").alias("r" + c)), c)
-    edges = cut(edges.where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
+    edges = stored(edges.where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
     if edges.isEmpty():
         return rooted
     to = components(edges).select(F.col("node").alias("root"), F.col("root").alias("to"))
-    return cut(spread_join(rooted, cut(rooted.select("root").distinct().join(to, "root", "left").withColumn("to", F.coalesce("to", "root"))), "root", _large(rooted)).select("node", F.col("to").alias("root")))
+    return stored(spread_join(rooted, stored(rooted.select("root").distinct().join(to, "root", "left").withColumn("to", F.coalesce("to", "root"))), "root", _large(rooted)).select("node", F.col("to").alias("root")))
 
 
 def _large(rooted: DataFrame) -> DataFrame:
@@ -239,26 +238,26 @@ def _large(rooted: DataFrame) -> DataFrame:
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, similarity: float = SIMILARITY, seed: int = SEED, stars: int = STARS, block: int = BLOCK) -> DataFrame:
     """(id_col, n_shingles, component_id) for each row. ``similarity`` is a whole percentage."""
     rows = docs.select(quoted(text_col).cast("binary").alias("t"), quoted(id_col).alias("id"), row_key(id_col, text_col).alias("key"))
-    sets = cut(described(rows, similarity, k, seed))
+    sets = stored(described(rows, similarity, k, seed))
     name = ["s0", "s1", "n"]
     nodes = sets.where("n > 0").groupBy(*name).agg(F.min("id").alias("least"), F.min("key").alias("key"), *[F.first(c).alias(c) for c in (*_bits(), "prefix")])
-    nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()))
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()))
     keyed = rows.select(F.xxhash64("key").alias("h"), F.col("key").alias("k"), "t")
     keys = nodes.select(F.col("node").alias("id"), F.col("key").alias("k"))
     every = nodes.select("node", "n", *_bits(), F.posexplode("prefix").alias("i", "h"))
     met = every.groupBy("h").agg(F.count("*").alias("sets")).where("sets > 1").select("h")
-    members = cut(every.join(met, "h"))
+    members = stored(every.join(met, "h"))
     rooted, tested = nodes.select("node", F.col("node").alias("root")), None
     for turn in range(stars + 1):
-        own = cut(members.join(rooted, "node"))
-        pairs = cut(_star(own, turn, similarity) if turn < stars else _meetings(own, similarity, block))
+        own = stored(members.join(rooted, "node"))
+        pairs = stored(_star(own, turn, similarity) if turn < stars else _meetings(own, similarity, block))
         if tested is not None:
-            pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
+            pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             if turn < stars:
                 continue
             break
-        tested = pairs if tested is None else cut(tested.union(pairs))
+        tested = pairs if tested is None else stored(tested.union(pairs))
         rooted = _merged(rooted, _verified(pairs, keys, keyed, k, seed, similarity))
     of = nodes.select(*name, "node", "least").join(rooted, "node")
     of = spread_join(of, of.groupBy("root").agg(F.min("least").alias("component_id")), "root", _large(rooted)).select(*name, "component_id")

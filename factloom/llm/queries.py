@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.llm import chat, decontaminate, divergence, langid, lines, mixing, pii, quality, simhash, suffix_tree, urls, whitening
+from factloom.llm import chat, decontaminate, divergence, jaccard, langid, lines, mixing, pii, quality, simhash, suffix_tree, urls, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,11 +68,15 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_quality, op4_langid, op5_line_dedup, op6_mixing, op7_suffix_tree, op8_winnowing, op9_chat, op10_urls, op11_divergence, op13_whitening)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_simhash, op3_quality, op4_langid, op5_line_dedup, op6_mixing, op7_suffix_tree, op8_winnowing, op9_chat, op10_urls, op11_divergence, op12_jaccard, op13_whitening)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPLIT = r"'[^\x20\x09-\x0D]+'"
@@ -157,4 +161,15 @@ r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY valu
 SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 200
 """
 
-ORACLE = {"op3_quality": _OP3, "op6_mixing": _OP6, "op8_winnowing": _OP8, "op9_chat": _OP9, "op11_divergence": _OP11}
+_OP12 = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.replace("text", "coalesce(text, '')")}, {_SPLIT}) AS ws FROM documents),
+s AS (SELECT DISTINCT r, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) END) AS g FROM d),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+both AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+l AS (SELECT a, b FROM both JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (SELECT r, r AS o FROM d UNION SELECT reach.r, l.b FROM reach JOIN l ON reach.o = l.a)
+SELECT x.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(y.doc_id) AS component_id
+FROM reach JOIN d x ON x.r = reach.r JOIN d y ON y.r = reach.o LEFT JOIN n ON n.r = reach.r GROUP BY reach.r, x.doc_id, n.n
+"""
+
+ORACLE = {"op3_quality": _OP3, "op6_mixing": _OP6, "op8_winnowing": _OP8, "op9_chat": _OP9, "op11_divergence": _OP11, "op12_jaccard": _OP12}

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factloom.llm.common import Lookup, cut, mixed, packed, row_key, spread_join, texts, unpacked
+from factloom.llm.common import Lookup, cut, mixed, packed, row_key, spread_join, stored, texts, unpacked
 from factloom.llm.suffix_tree import bitmap, passes
 
 RADIUS = 4
@@ -297,7 +297,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round is aggregations and joins on edges; what a hot node gathers is only its minimum.
     """
-    e = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    e = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     seen = None
     while True:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -305,7 +305,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select("b", "m").toDF("a", "b")
-        e = cut(small.union(low.toDF("a", "b")).where("a <> b").distinct())
+        e = stored(small.union(low.toDF("a", "b")).where("a <> b").distinct())
         mark = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if mark == seen:
             return e.toDF("node", "root")
@@ -482,20 +482,23 @@ def _compared(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed:
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok, pa.bool_())) for i in (0, 1)], names=["a", "b"])
 
     own = cut(wanted.join(rows.mapInArrow(read, "k string, u binary"), "k").dropDuplicates(["id"]).select("id", "u"))
-    share = max(1, pairs.count() // SPREAD)
+    dealt, hot = _dealt(pairs)
+    for side in "ab":
+        every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part" + side)
+        table = own.select(F.col("id").alias(side), F.col("u").alias("u" + side)).join(F.broadcast(hot[side]), side, "left").select(side, "u" + side, every)
+        dealt = dealt.join(table, [side, "part" + side])
+    return cut(dealt.select("a", "b", "ua", "ub").mapInArrow(compare, "a long, b long"))
+
+
+def _dealt(pairs: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """``pairs`` with parta and partb, and (side, parts) of the sets that are in over 1 / SPREAD of them (fewer than SPREAD a
+    side): such a set goes to so many parts, so that no task meets it with all its partners."""
+    share, hot, out = max(BLOCK, pairs.count() // SPREAD), {}, pairs
     for side, other in ("ab", "ba"):
-        pairs = _with_set(pairs, own, side, other, share)
-    return cut(pairs.select("a", "b", "ua", "ub").mapInArrow(compare, "a long, b long"))
-
-
-def _with_set(pairs: DataFrame, own: DataFrame, side: str, other: str, share: int) -> DataFrame:
-    """``pairs`` with the bytes of one side; a set in more than ``share`` pairs (there are fewer than SPREAD such) is dealt over parts."""
-    hot = pairs.groupBy(side).agg(F.ceil(F.count("*") / share).cast("int").alias("parts")).where("parts > 1")
-    hot = F.broadcast(cut(hot))
-    every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
-    table = own.select(F.col("id").alias(side), F.col("u").alias("u" + side)).join(hot, side, "left").select(side, "u" + side, every)
-    part = F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")), F.lit(0)).cast("int").alias("part")
-    return pairs.join(hot, side, "left").select(*pairs.columns, part).join(table, [side, "part"]).drop("part")
+        hot[side] = cut(pairs.groupBy(side).agg(F.ceil(F.count("*") / share).cast("int").alias("parts")).where("parts > 1"))
+        part = F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")), F.lit(0)).cast("int").alias("part" + side)
+        out = out.join(F.broadcast(hot[side]), side, "left").select(*out.columns, part)
+    return cut(out), hot
 
 
 def _similar(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed: int, similarity: float) -> DataFrame:
