@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -35,25 +36,30 @@ def shared_dir(spark: SparkSession) -> str:
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once; later reads survive lost executors and do not recompute it.
-
-    Shuffle files of this one run go as soon as it is written, not when the driver's garbage is collected."""
-    spark = df.sparkSession
-    shared_dir(spark)
+@contextmanager
+def _cleaned(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a run made inside go as soon as it ends, not when the driver's garbage is collected."""
     before = spark.conf.get(_CLEAN, None)
     spark.conf.set(_CLEAN, "true")
     try:
-        return df.select("*").checkpoint(eager=True)  # a plan of its own, made under the setting
+        yield
     finally:
         spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder once; later reads survive lost executors and do not recompute it."""
+    shared_dir(df.sparkSession)
+    with _cleaned(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # a plan of its own, made under the setting
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``cut`` by a Parquet table in the shared folder. A checkpoint keeps its plan's estimated size, the product of the joins'
     sides, so in a loop of joins the number of its digits doubles with each round; a table's size is that of its files."""
     folder = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    with _cleaned(df.sparkSession):
+        df.select("*").write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

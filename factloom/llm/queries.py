@@ -30,8 +30,8 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.measured(table(spark, sf_dir, "documents"))
-    words = F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r.words)
-    return out.select(F.col("doc.doc_id").alias("doc_id"), F.coalesce(F.array_size("runs"), F.lit(0)).cast("long").alias("n_chunks"), F.coalesce(words, F.lit(0).cast("long")).alias("n_words_removed"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
+    count = lambda name: F.coalesce(F.col("gone").getField(name), F.lit(0)).cast("long")
+    return out.select(F.col("doc.doc_id").alias("doc_id"), count("n_chunks").alias("n_chunks"), count("words").alias("n_words_removed"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,8 +165,8 @@ _OP12 = rf"""
 WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER.replace("text", "coalesce(text, '')")}, {_SPLIT}) AS ws FROM documents),
 s AS (SELECT DISTINCT r, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) END) AS g FROM d),
 n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
-both AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
-l AS (SELECT a, b FROM both JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+shared AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+l AS (SELECT a, b FROM shared JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
 reach AS (SELECT r, r AS o FROM d UNION SELECT reach.r, l.b FROM reach JOIN l ON reach.o = l.a)
 SELECT x.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(y.doc_id) AS component_id
 FROM reach JOIN d x ON x.r = reach.r JOIN d y ON y.r = reach.o LEFT JOIN n ON n.r = reach.r GROUP BY reach.r, x.doc_id, n.n

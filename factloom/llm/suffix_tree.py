@@ -15,7 +15,7 @@ longest retained state.
 
 That score is a sum: the root's log, plus for each retained suffix of the context the log of its back-off factor, plus for
 each kept (state, symbol) what the symbol gains over that factor. Each term is a row of one table (hash, value). Terms in
-a share of ``local_share`` or more of the training tokens (so at most 1 / local_share a kind) are added where the text is;
+a share of ``local_share`` or more of the training tokens (the ``NEAR`` most frequent ones at most) are added where the text is;
 all others go through one join by hash, behind a bitmap of fixed size that only saves work. Nothing else is sent out.
 
 Counting goes by levels: an n-gram can be frequent only if both its (n-1)-grams are, so bitmaps of those (fixed size,
@@ -50,6 +50,8 @@ SPREAD = 1024
 BITS = 24
 #: Training tokens a deal of n-grams, which one group adds up; there are 16 to 2**16 deals.
 DEAL = 1 << 21
+#: Terms of all kinds that every task holds at most; all others go through the join.
+NEAR = 1 << 20
 #: Kinds of terms: a word's root log, a state's back-off, a kept symbol's gain.
 WORD, BACK, EXTRA = 1, 2, 3
 _SLICE = 1 << 20
@@ -321,11 +323,13 @@ def _level(counted: DataFrame, contexts: DataFrame, above: DataFrame, tokens: in
     """
     often = tokens / SPREAD
     hot = contexts.where(F.col("total") > often)
-    e = spread_join(spread_join(counted, contexts, "ctx", hot), above.drop("n"), "suf", above.where(F.col("n") > often))
+    # Each join is cut: a spread join names its rows and its table twice, so joins of joins would multiply in the plan.
+    e = cut(spread_join(counted, contexts, "ctx", hot))
+    e = cut(spread_join(e, above.drop("n"), "suf", above.where(F.col("n") > often)))
     s = e.groupBy("ctx").agg(F.first("total").alias("total"), F.sum("c").alias("held"), F.sum("up").alias("mass"), F.count("*").alias("symbols"), F.sum(F.col("c") * F.log(F.col("c") / F.col("total") / F.col("up"))).alias("own"))
     rest = F.greatest(F.col("total") - F.col("held"), F.lit(0))
     others = F.when(rest > 0, rest * F.log(rest / F.col("total") / F.greatest(F.lit(1e-12), 1 - F.col("mass")))).otherwise(0.0)
-    states = s.select("ctx", ((rest + strength) / (F.col("total") + strength)).alias("back"), (F.col("own") + others > gain * F.col("symbols")).alias("passed"))
+    states = cut(s.select("ctx", ((rest + strength) / (F.col("total") + strength)).alias("back"), (F.col("own") + others > gain * F.col("symbols")).alias("passed")))
     p = F.col("c") / (F.col("total") + strength) + F.col("back") * F.col("up")
     return cut(spread_join(e, states, "ctx", hot).select("h", "ctx", "suf", "c", p.alias("p"), "up", "total", "back", "passed"))
 
@@ -450,6 +454,18 @@ def _score(depth: int, tables: dict[int, tuple[np.ndarray, np.ndarray]], far_map
     return run
 
 
+def _least_near(terms: DataFrame, least: float, most: int = NEAR) -> float:
+    """The least count of terms that every task holds: ``least``, or more where over ``most`` terms of all kinds have that."""
+    sizes = terms.where(F.col("c") >= least).groupBy(F.floor(F.log2("c") * 16).alias("b")).agg(F.count("*").alias("n"), F.min("c").alias("c"))
+    held, found = 0, math.inf
+    for row in sorted(sizes.collect(), key=lambda r: -r.b):
+        held += row.n
+        if held > most:
+            return found
+        found = row.c
+    return least
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, least: int = LEAST, entry_least: int = ENTRY_LEAST, local_share: float = LOCAL_SHARE, gain: float = GAIN, strength: float = STRENGTH) -> DataFrame:
     """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row."""
     spark = docs.sparkSession
@@ -457,8 +473,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     out = held_out(F.col(id_col))
     model = fit(docs.where(~out).select(text), depth, least, entry_least, gain, strength, local_share)
     N, V, ends, terms = model.tokens, model.size, model.ends, model.terms
-    # Terms above a share of the tokens: no more than its reciprocal of words, of states of a depth and of their symbols.
-    near = F.col("c") >= max(2.0, local_share * N)
+    near = F.col("c") >= _least_near(terms, max(2.0, local_share * N))
     here = terms.where(near).select("h", "kind", "v").toArrow()
     h, which, v = (here[c].to_numpy() for c in ("h", "kind", "v"))
     tables = {k: (h[which == k].view(np.uint64), v[which == k]) for k in (WORD, BACK, EXTRA)}

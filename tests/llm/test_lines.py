@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -15,23 +16,27 @@ def _count(line):
     return len(re.findall(r"[^\x20\x09-\x0D]+", line))
 
 
-def brute(rows):
-    """Texts without the runs of lines that an earlier (id, line) holds; ids are distinct and not null."""
+def brute(rows, min_words=lines.MIN_WORDS, alone=lines.ALONE):
+    """Texts without passages that an earlier place holds; ids are distinct and not null.
+
+    A passage is any stretch of lines of two lines and min_words words or more, or a line of ``alone`` words; lines without
+    words do not count, and go where both neighbours go as parts of passages."""
     seen, out = set(), {}
     for i, text in sorted(rows):
-        ls, again = text.split("\n"), set()
-        for b, line in enumerate(ls):
-            for unit in ([ls[b - 1 : b + 1]] if b and _count(line) + _count(ls[b - 1]) else []) + ([[line]] if _count(line) >= lines.ALONE else []):
-                if tuple(unit) in seen:
-                    again |= set(range(b - len(unit) + 1, b + 1))
-                seen.add(tuple(unit))
-        gone, run = set(), []
-        for b in [*sorted(again), None]:
-            if run and (b is None or b != run[-1] + 1):
-                if sum(_count(ls[x]) for x in run) >= lines.MIN_WORDS:
-                    gone |= set(run)
-                run = []
-            run.append(b)
+        ls = text.split("\n")
+        said = [p for p, line in enumerate(ls) if _count(line)]
+        words, again, own = [_count(ls[p]) for p in said], set(), []
+        for a in range(len(said)):
+            total = 0
+            for z in range(a, len(said)):
+                total += words[z]
+                if (z > a and total >= min_words) or (z == a and total >= alone):
+                    own.append((a, z, tuple(ls[p] for p in said[a : z + 1])))
+        for a, z, passage in sorted(own):  # by place: an earlier place in the same text counts, too
+            if passage in seen:
+                again |= set(range(a, z + 1))
+            seen.add(passage)
+        gone = {said[j] for j in again} | {p for j in again if j + 1 in again for p in range(said[j], said[j + 1])}
         out[i] = "\n".join(x for j, x in enumerate(ls) if j not in gone) if gone else text
     return out
 
@@ -84,6 +89,27 @@ def test_edges(spark):
     assert lines.dedup_lines(df.where("false")).count() == 0
 
 
+def test_pairs_met_in_different_texts_are_no_passage(spark):
+    a, b, c = ("one two three four five six seven", "eight nine ten eleven twelve up down", "left right here there then now ever")
+    rows = [(1, f"{a}\n{b}"), (2, f"{b}\n{c}"), (3, f"{a}\n{b}\n{c}")]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(rows) == brute(rows)
+    rows.append((4, f"x\n{a}\n \n{b}\n\n{c}\n\ny"))  # all three lines again: 21 words
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) and got[4] == "x\n\ny"
+
+
+def test_work_is_linear_in_lines(spark):
+    say = lambda n: "\n".join(f"line {i} of many short ones" for i in range(n))
+    took = []
+    for n in (1_000, 100_000):
+        df = spark.createDataFrame([(1, say(n)), (2, say(n) + "\nend")], "doc_id long, text string")
+        began = time.time()
+        assert {r.doc_id: r.text for r in lines.dedup_lines(df).collect()} == {1: say(n), 2: "end"}
+        took.append(time.time() - began)
+    assert took[1] < took[0] + 30
+
+
 def test_lines_do_not_travel(spark, monkeypatch):
     """Two rows that share a line of a megabyte: what is cut and joined on the way is small."""
     rng, sent, plain = random.Random(8), [], lines.cut
