@@ -38,8 +38,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import mixed, quoted, row_key, spread_join, stored, texts
-from factloom.llm.simhash import _compared, components, shingles
+from factloom.llm.common import NOT_SPACE, Tokens, blocks, mixed, quoted, row_key, spread_join, stored
+from factloom.llm.simhash import _compared, components
+from factloom.llm.suffix_tree import joined
 
 SHINGLE, SIMILARITY, SEED = 5, 0.8, 42
 #: Places of the table of counts, as a power of two, and places in one row of it.
@@ -48,11 +49,13 @@ SLOTS, CHUNK = 22, 1 << 16
 FAN = 64
 #: Longs of parity bits of a set; bytes of them before sets are compared whole.
 BINS, WIDE = 8, 2048
+#: Longs of parity bits that go along with each shingle of a prefix.
+FEW = 2
 STARS = 3
 BLOCK = 2048
 #: A node or component with over 1 / SPREAD of all rows (there are fewer than SPREAD such) is joined by broadcast.
 SPREAD = 1024
-_HELD = 1 << 19
+_SLICE = 1 << 20
 
 
 def prefix_length(n: np.ndarray, t: float) -> np.ndarray:
@@ -63,18 +66,28 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return (mixed(h) >> np.uint64(64 - SLOTS)).astype(np.int64)
 
 
-def _sets(batches, k: int, seed: int):
-    """(batch, first row, end row, sets): slices with about ``_HELD`` shingles; a longer text is one slice."""
+def _sets(batches, k: int):
+    """(batch, first row, end row, hashes, sizes): the sets of slices of about a megabyte, side by side, each sorted."""
     for batch in batches:
-        held, at, size = [], 0, 0
-        for i, t in enumerate(texts(batch.column(0))):
-            held.append(np.unique(shingles(t, k, seed)))
-            size += len(held[-1])
-            if size >= _HELD or len(held) >= 2048:
-                yield batch, at, i + 1, held
-                held, at, size = [], i + 1, 0
-        if held:
-            yield batch, at, at + len(held), held
+        for at, end, data, offsets in blocks(batch.column(0), _SLICE):
+            t = Tokens(data, offsets, NOT_SPACE)
+            words, first = t.counts(), t.first[:-1]
+            many = np.maximum(words - k + 1, 0)
+            row = np.repeat(np.arange(len(words)), many)
+            start = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
+            h = t.hash[start]
+            for j in range(1, k):
+                h = joined(h, t.hash[start + j])
+            few = np.flatnonzero((words > 0) & (words < k))
+            short = t.hash[first[few]]
+            for j in range(1, k - 1):
+                more = words[few] > j
+                short[more] = joined(short[more], t.hash[first[few[more]] + j])
+            h, row = np.concatenate([h, short]), np.concatenate([row, few])
+            order = np.lexsort((h, row))
+            h, row = h[order], row[order]
+            new = np.r_[True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])] if len(h) else np.zeros(0, bool)
+            yield batch, at, end, h[new], np.bincount(row[new], minlength=end - at)
 
 
 def _packed(chunk: np.ndarray) -> bytes:
@@ -95,7 +108,7 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u8" if kind == b"d" else "<u4").astype(np.int64)
 
 
-def frequencies(text: DataFrame, k: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+def frequencies(text: DataFrame, k: int = SHINGLE) -> np.ndarray:
     """Counts by place, over the sets of all texts (one binary column)."""
     schema = "chunk int, part int, counts binary"
 
@@ -106,8 +119,8 @@ def frequencies(text: DataFrame, k: int = SHINGLE, seed: int = SEED) -> np.ndarr
 
     def count(batches):
         table = np.zeros(1 << SLOTS, np.int64)
-        for *_, held in _sets(batches, k, seed):
-            np.add.at(table, _slot(np.concatenate(held)), 1)
+        for *_, u, _ in _sets(batches, k):
+            np.add.at(table, _slot(u), 1)
         yield from out(table, TaskContext.get().partitionId())
 
     def add(batches):
@@ -125,20 +138,19 @@ def frequencies(text: DataFrame, k: int = SHINGLE, seed: int = SEED) -> np.ndarr
     return whole
 
 
-def _bits() -> list[str]:
-    return [f"g{i}" for i in range(BINS)]
+def _bits(n: int = BINS) -> list[str]:
+    return [f"g{i}" for i in range(n)]
 
 
-def described(rows: DataFrame, t: float, k: int, seed: int) -> DataFrame:
+def described(rows: DataFrame, t: float, k: int) -> DataFrame:
     """Of (t, id, key): id, key, 128 bits that name the set, its size, parity bits, and its prefix, rarest first."""
-    table = rows.sparkSession.sparkContext.broadcast(frequencies(rows.select("t"), k, seed).clip(max=(1 << 32) - 1).astype(np.uint32))
+    table = rows.sparkSession.sparkContext.broadcast(frequencies(rows.select("t"), k).clip(max=(1 << 32) - 1).astype(np.uint32))
     names = ["id", "key", "s0", "s1", "n", *_bits(), "prefix"]
     schema = f"id {rows.schema['id'].dataType.simpleString()}, key string, " + ", ".join(f"{c} long" for c in names[2:-1]) + ", prefix array<long>"
 
     def run(batches):
-        for batch, at, end, held in _sets(batches, k, seed):
-            n = np.array([len(u) for u in held], np.int64)
-            u, row = np.concatenate(held), np.repeat(np.arange(len(n)), n)
+        for batch, at, end, u, n in _sets(batches, k):
+            row = np.repeat(np.arange(len(n)), n)
             start = np.cumsum(n) - n
             sums = []
             for salt in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03):
@@ -158,26 +170,47 @@ def described(rows: DataFrame, t: float, k: int, seed: int) -> DataFrame:
     return rows.select("t", "id", "key").mapInArrow(run, schema)
 
 
+def _near(t: float, bits: list[str]) -> Column:
+    """Length and suffix filter of a pair (an, ag0, ...), (bn, bg0, ...)."""
+    differ = sum((F.bit_count(F.col("a" + g).bitwiseXOR(F.col("b" + g))) for g in bits), F.lit(0))
+    return (F.least("an", "bn") >= t * F.greatest("an", "bn") - 1e-9) & (differ <= (1 - t) / (1 + t) * (F.col("an") + F.col("bn")) + 1e-9)
+
+
 def _possible(t: float) -> Column:
-    """Length, positional and suffix filter of a pair (an, ai, ag0, ...), (bn, bi, bg0, ...) that meets at places ai and bi."""
-    both = F.col("an") + F.col("bn")
-    shared = F.least("ai", "bi") + 1 + F.least(F.col("an") - F.col("ai"), F.col("bn") - F.col("bi")) - 1
-    differ = sum((F.bit_count(F.col("a" + g).bitwiseXOR(F.col("b" + g))) for g in _bits()), F.lit(0))
-    return (F.least("an", "bn") >= t * F.greatest("an", "bn") - 1e-9) & (shared >= t / (1 + t) * both - 1e-9) & (differ <= (1 - t) / (1 + t) * both + 1e-9)
+    """All filters of a pair that meets at places ai and bi, the suffix filter by its first bits."""
+    shared = F.least("ai", "bi") + F.least(F.col("an") - F.col("ai"), F.col("bn") - F.col("bi"))
+    return (shared >= t / (1 + t) * (F.col("an") + F.col("bn")) - 1e-9) & _near(t, _bits(FEW))
 
 
 def _side(df: DataFrame, side: str, on: list[str]) -> DataFrame:
     return df.select(*on, *[F.col(c).alias(side + c) for c in df.columns if c not in on])
 
 
+def _shared(batches):
+    """Partition sorted by h: rows of a shingle that more sets than one have in their prefixes. Nothing is held but a row."""
+    last = None
+    for batch in batches:
+        if last is not None:
+            batch = pa.concat_batches([last, batch])
+        h = batch.column(0).to_numpy(zero_copy_only=False)
+        same = h[1:] == h[:-1]
+        keep = np.r_[False, same] | np.r_[same, False]
+        begun = last is not None and last_kept  # the first row went out with the batch before
+        keep[0] &= not begun
+        last_kept = bool(len(same) and same[-1]) or (begun and len(h) == 1)
+        yield batch.filter(pa.array(keep))
+        last = batch.slice(len(h) - 1)
+
+
 def _star(members: DataFrame, turn: int, t: float) -> DataFrame:
     """(a, b): the centre of each shingle with the sets there of other components, one of each."""
-    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node", "root", "n", "i", *_bits())
+    fields = ["node", "n", "i", *_bits(FEW)]
+    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), *fields)
     one = members.groupBy("h", "root").agg(F.min(order).alias("m"))
     centre = one.groupBy("h").agg(F.min("m").alias("c"), F.count("*").alias("sets")).where("sets > 1").select("h", "c")
     met = one.join(centre, "h").where(F.col("m.node") != F.col("c.node"))
-    fields = ["node", "n", "i", *_bits()]
-    return met.select(*[F.col(f"{s}.{c}").alias(x + c) for s, x in (("c", "a"), ("m", "b")) for c in fields]).where(_possible(t)).select(F.least("anode", "bnode").alias("a"), F.greatest("anode", "bnode").alias("b")).distinct()
+    met = met.select(*[F.col(f"{s}.{c}").alias(x + c) for s, x in (("c", "a"), ("m", "b")) for c in fields]).where(_possible(t))
+    return met.select(F.least("anode", "bnode").alias("a"), F.greatest("anode", "bnode").alias("b")).distinct()
 
 
 def _meetings(members: DataFrame, t: float, block: int) -> DataFrame:
@@ -197,6 +230,13 @@ def _meetings(members: DataFrame, t: float, block: int) -> DataFrame:
     return pairs.distinct().toDF("a", "b")
 
 
+def _sifted(pairs: DataFrame, nodes: DataFrame, t: float) -> DataFrame:
+    """Those (a, b) that pass the suffix filter by all parity bits."""
+    for side in "ab":
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), *[F.col(c).alias(side + c) for c in ("n", *_bits())]), side)
+    return pairs.where(_near(t, _bits())).select("a", "b")
+
+
 def _verified(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed: int, t: float) -> DataFrame:
     """Those (a, b) whose sets have the similarity, by more parity bits first, then whole."""
 
@@ -238,19 +278,19 @@ def _large(rooted: DataFrame) -> DataFrame:
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, similarity: float = SIMILARITY, seed: int = SEED, stars: int = STARS, block: int = BLOCK) -> DataFrame:
     """(id_col, n_shingles, component_id) for each row. ``similarity`` is a whole percentage."""
     rows = docs.select(quoted(text_col).cast("binary").alias("t"), quoted(id_col).alias("id"), row_key(id_col, text_col).alias("key"))
-    sets = stored(described(rows, similarity, k, seed))
+    sets = stored(described(rows, similarity, k))
     name = ["s0", "s1", "n"]
     nodes = sets.where("n > 0").groupBy(*name).agg(F.min("id").alias("least"), F.min("key").alias("key"), *[F.first(c).alias(c) for c in (*_bits(), "prefix")])
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()))
     keyed = rows.select(F.xxhash64("key").alias("h"), F.col("key").alias("k"), "t")
     keys = nodes.select(F.col("node").alias("id"), F.col("key").alias("k"))
-    every = nodes.select("node", "n", *_bits(), F.posexplode("prefix").alias("i", "h"))
-    met = every.groupBy("h").agg(F.count("*").alias("sets")).where("sets > 1").select("h")
-    members = stored(every.join(met, "h"))
+    every = nodes.select("node", F.posexplode("prefix").alias("i", "h")).select("h", "node", "i")
+    met = every.repartition("h").sortWithinPartitions("h").mapInArrow(_shared, "h long, node long, i int")
+    members = stored(met.join(nodes.select("node", "n", *_bits(FEW)), "node"))
     rooted, tested = nodes.select("node", F.col("node").alias("root")), None
     for turn in range(stars + 1):
         own = stored(members.join(rooted, "node"))
-        pairs = stored(_star(own, turn, similarity) if turn < stars else _meetings(own, similarity, block))
+        pairs = stored(_sifted(_star(own, turn, similarity) if turn < stars else _meetings(own, similarity, block), nodes, similarity))
         if tested is not None:
             pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"))
         if pairs.isEmpty():

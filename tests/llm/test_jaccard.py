@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from factloom.llm import jaccard
@@ -64,7 +65,7 @@ def frame(spark, rows):
     return spark.createDataFrame([(d, t, "en", "s", 0, "k", 1, 2) for d, t in rows], SCHEMA).repartition(5)
 
 
-@pytest.mark.parametrize("seed, stars, block", [(1, 3, 2048), (2, 0, 2), (3, 1, 3)])
+@pytest.mark.parametrize("seed, stars, block", [(1, 2, 2048), (2, 0, 2)])
 def test_every_link_is_found(spark, seed, stars, block):
     rows = corpus(seed)
     got = jaccard.join(frame(spark, rows), stars=stars, block=block).collect()
@@ -90,7 +91,7 @@ def test_a_group_of_near_copies_in_chains(spark):
     w = [f"w{i}" for i in range(300)]
     rows = [(i, " ".join(w[i * 2 : i * 2 + 60])) for i in range(100)]
     got = jaccard.join(frame(spark, rows)).collect()
-    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows)
     assert {r.component_id for r in got} == {0}
 
 
@@ -105,6 +106,14 @@ def test_counts_cover_every_text(spark):
         assert (jaccard._unpacked(jaccard._packed(chunk % 1000)) == chunk % 1000).all()
 
 
+def test_shared_shingles_across_batches():
+    h = [1, 2, 2, 3, 4, 4, 4, 5, 6, 6]
+    for size in (1, 2, 3, 10):
+        batches = [pa.RecordBatch.from_pydict({"h": h[i : i + size], "node": list(range(i, min(i + size, len(h))))}) for i in range(0, len(h), size)]
+        got = [x for b in jaccard._shared(iter(batches)) for x in b.column(1).to_pylist()]
+        assert got == [1, 2, 4, 5, 6, 8, 9], size
+
+
 def test_long_text_and_empty_table(spark):
     long = " ".join(f"w{i % 9973}x{i % 7}" for i in range(60000))
     rows = [(1, long), (2, long + " end"), (3, "short")]
