@@ -125,6 +125,24 @@ def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
+def ratio_from(least: float):
+    """Matching-block ratio of two strings where it is ``least`` or more, else null; its bounds by letters go first."""
+
+    @pandas_udf(T.DoubleType())
+    def near(a: pd.Series, b: pd.Series) -> pd.Series:
+        out, match, last = [], SequenceMatcher(None), None
+        for x, y in zip(a, b):
+            if y != last:  # a matcher indexes its second text once
+                match.set_seq2(y)
+                last = y
+            match.set_seq1(x)
+            found = match.ratio() if match.quick_ratio() >= least else 0.0
+            out.append(found if found >= least else None)
+        return pd.Series(out, dtype="float64")
+
+    return near
+
+
 def similarity(a: Column, b: Column) -> Column:
     """Matching-block ratio of the folded strings."""
     x, y = fold(a), fold(b)

@@ -21,9 +21,11 @@ _CELLS, _PAIRS = "array<struct<header:string,value:string>>", "array<struct<sect
 
 def table_chunks(grid: DataFrame) -> DataFrame:
     """One chunk per body row with two cells or more; a row with one is a banner."""
-    head = grids.header_paths(grid)
-    heads = head.groupBy("document_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("col", "header"))), lambda x: x.header).alias("header_context"))
-    body = grid.where(~F.col("is_header")).join(heads, ["document_id", "page"], "left")
+    own = ["document_id", "page", "grid_no"]
+    grid = grid if "grid_no" in grid.columns else grid.withColumn("grid_no", F.lit(0))
+    head = grids.header_paths(grid, own)
+    heads = head.groupBy(*own).agg(F.transform(F.array_sort(F.collect_list(F.struct("col", "header"))), lambda x: x.header).alias("header_context"))
+    body = grid.where(~F.col("is_header")).join(heads, own, "left")
     named = F.zip_with("cells", F.coalesce("header_context", F.array().cast("array<string>")), lambda v, h: F.struct(h.alias("header"), v.alias("value")))
     named = F.transform(named, lambda c, i: F.struct(F.coalesce(c.header, F.concat(F.lit("column_"), (i + 1).cast("string"))).alias("header"), c.value.alias("value")))
     some = F.filter(named, lambda c: strip(F.coalesce(c.value, F.lit(""))) != "")

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factloom.operators import boxes
+
 KEY = ["document_id", "page"]
 ROW_CORRIDOR, COLUMN_CORRIDOR, MIN_WORDS, OVERLAP = 2, 5, 12, 0.45
 #: Images of a smaller area, in square points, are decoration.
@@ -123,17 +125,17 @@ def reconstruct(words: DataFrame) -> DataFrame:
     return out.withColumn("row_no", F.row_number().over(Window.partitionBy(*KEY).orderBy("idx")) - 1).select(*KEY, F.col("row_no").cast("int").alias("row_no"), "is_header", "cells")
 
 
-def header_paths(grid: DataFrame) -> DataFrame:
-    """(document_id, page, col, header): header rows filled to the right, joined downwards without repeats, repeats numbered."""
-    cell = grid.where("is_header").select(*KEY, "row_no", F.posexplode("cells").alias("col", "text"))
-    w = Window.partitionBy(*KEY, "row_no").orderBy("col").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def header_paths(grid: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """(keys, col, header): header rows filled to the right, joined downwards without repeats, repeats numbered."""
+    cell = grid.where("is_header").select(*keys, "row_no", F.posexplode("cells").alias("col", "text"))
+    w = Window.partitionBy(*keys, "row_no").orderBy("col").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cell = cell.withColumn("text", F.coalesce(F.last(F.when(F.col("text") != "", F.col("text")), ignorenulls=True).over(w), F.lit("")))
     path = F.array_sort(F.collect_list(F.struct("row_no", "text")))
-    g = cell.groupBy(*KEY, "col").agg(path.alias("p"))
+    g = cell.groupBy(*keys, "col").agg(path.alias("p"))
     join = F.aggregate(F.filter(F.transform("p", lambda x: x.text), lambda x: x != ""), F.array().cast("array<string>"), lambda a, x: F.when((F.size(a) > 0) & (F.element_at(F.concat(a, F.array(F.lit(""))), F.size(a)) == x), a).otherwise(F.concat(a, F.array(x))))
     g = g.withColumn("parts", join).withColumn("name", F.when(F.size("parts") > 0, F.array_join("parts", " / ")).otherwise(F.concat(F.lit("column_"), (F.col("col") + 1).cast("string"))))
-    n = F.row_number().over(Window.partitionBy(*KEY, "name").orderBy("col"))
-    return g.withColumn("n", n).select(*KEY, "col", F.when(F.col("n") == 1, F.col("name")).otherwise(F.concat("name", F.lit(" ("), F.col("n").cast("string"), F.lit(")"))).alias("header"))
+    n = F.row_number().over(Window.partitionBy(*keys, "name").orderBy("col"))
+    return g.withColumn("n", n).select(*keys, "col", F.when(F.col("n") == 1, F.col("name")).otherwise(F.concat("name", F.lit(" ("), F.col("n").cast("string"), F.lit(")"))).alias("header"))
 
 
 def cluster_rows(words: DataFrame) -> DataFrame:
@@ -182,29 +184,48 @@ def lines_of(words: DataFrame) -> DataFrame:
 
 
 def ruled_tables(words: DataFrame, rulings: DataFrame) -> DataFrame:
-    """Grids (as ``reconstruct`` gives them) of pages whose tables have ruled lines.
+    """Grids (as ``reconstruct`` gives them, and grid_no) of tables with ruled lines.
 
-    rulings: (document_id, page, axis, at): the y of horizontal (H) and the x of vertical (V) lines. A cell lies between
-    two lines of each axis; a word belongs to the cell that holds its centre, words outside are left out. The first row
-    is the header, wrapped rows stay apart, a page with fewer than two rows has no grid.
+    rulings: (document_id, page, axis, at): the y of horizontal (H) and the x of vertical (V) lines of one table a page; or,
+    as ``rulings.find`` gives them, (document_id, page, table_no, axis, at, start, stop) of any number of tables. A cell lies
+    between two lines of each axis; a word belongs to the cell that holds its centre, words outside are left out. A word in
+    several tables' boxes goes to the smallest. The first row is the header, wrapped rows stay apart, a table with fewer
+    than two rows is no grid. Rows are numbered through a page.
     """
-    lines = rulings.groupBy(*KEY).agg(*[F.array_sort(F.collect_set(F.when(F.col("axis") == a, F.col("at").cast("double")))).alias(a) for a in ("H", "V")]).where((F.size("H") >= 3) & (F.size("V") >= 2))
+    several = "table_no" in rulings.columns
+    own = [*KEY, "grid_no"]
+    lines = rulings.withColumn("grid_no", F.col("table_no") if several else F.lit(0))
+    lines = lines.groupBy(*own).agg(*[F.array_sort(F.collect_set(F.when(F.col("axis") == a, F.col("at").cast("double")))).alias(a) for a in ("H", "V")]).where((F.size("H") >= 3) & (F.size("V") >= 2))
     before = lambda axis, low, high: F.size(F.filter(axis, lambda at: at <= (F.col(low) + F.col(high)) / 2)) - 1
-    w = words.join(lines, KEY).withColumn("row", before("H", "y0", "y1")).withColumn("col", before("V", "x0", "x1"))
+    if several:  # words meet the boxes of tables by place, not all tables of their page
+        frame = lines.select(*own, F.element_at("V", 1).alias("x0"), F.element_at("H", 1).alias("y0"), F.element_at("V", -1).alias("x1"), F.element_at("H", -1).alias("y1"))
+        x, y = ((F.col(a) + F.col(b)) / 2 for a, b in (("x0", "x1"), ("y0", "y1")))
+        centres = words.select(*KEY, "pos", F.col("text"), x.alias("cx"), y.alias("cy"), *("x0", "y0", "x1", "y1")).withColumn("word", F.monotonically_increasing_id())
+        points = centres.select(*KEY, "word", "pos", "text", *[F.col(c).alias("w" + c) for c in ("x0", "y0", "x1", "y1")], F.col("cx").alias("x0"), F.col("cy").alias("y0"), F.col("cx").alias("x1"), F.col("cy").alias("y1"))
+        inside = boxes.meeting(points, frame, KEY)
+        area = (F.col("bx1") - F.col("bx0")) * (F.col("by1") - F.col("by0"))
+        best = F.min_by(F.struct("apos", "atext", "awx0", "awy0", "awx1", "awy1", "bgrid_no"), F.struct(area, "bgrid_no")).alias("w")
+        placed = inside.groupBy(*KEY, "aword").agg(best)
+        words = placed.select(*KEY, F.col("w.apos").alias("pos"), F.col("w.atext").alias("text"), *[F.col("w.aw" + c).alias(c) for c in ("x0", "y0", "x1", "y1")], F.col("w.bgrid_no").alias("grid_no"))
+        w = words.join(lines, own)
+    else:
+        w = words.join(lines, KEY)
+    w = w.withColumn("row", before("H", "y0", "y1")).withColumn("col", before("V", "x0", "x1"))
     w = w.where((F.col("row") >= 0) & (F.col("row") < F.size("H") - 1) & (F.col("col") >= 0) & (F.col("col") < F.size("V") - 1))
-    cell = w.groupBy(*KEY, "row", "col", (F.size("V") - 1).alias("n")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x.text), " ").alias("text"))
-    row = cell.groupBy(*KEY, "row", "n").agg(F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("m"))
-    row = row.withColumn("row_no", (F.row_number().over(Window.partitionBy(*KEY).orderBy("row")) - 1).cast("int"))
-    full = row.withColumn("rows", F.count("*").over(Window.partitionBy(*KEY))).where("rows >= 2")
-    return full.select(*KEY, "row_no", (F.col("row_no") == 0).alias("is_header"), F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(""))).alias("cells"))
+    cell = w.groupBy(*own, "row", "col", (F.size("V") - 1).alias("n")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x.text), " ").alias("text"))
+    row = cell.groupBy(*own, "row", "n").agg(F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("m"))
+    row = row.withColumn("rows", F.count("*").over(Window.partitionBy(*own))).where("rows >= 2")
+    row = row.withColumn("first", F.row_number().over(Window.partitionBy(*own).orderBy("row")) == 1)
+    row = row.withColumn("row_no", (F.row_number().over(Window.partitionBy(*KEY).orderBy("grid_no", "row")) - 1).cast("int"))
+    return row.select(*own, "row_no", F.col("first").alias("is_header"), F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(""))).alias("cells"))
 
 
 def grids(words: DataFrame, rulings: DataFrame | None = None) -> DataFrame:
     """Ruled grids first; pages without one are rebuilt from where their words stand."""
     if rulings is None:
-        return reconstruct(words)
+        return reconstruct(words).withColumn("grid_no", F.lit(0))
     ruled = ruled_tables(words, rulings)
-    own = reconstruct(words.join(ruled.select(*KEY).distinct(), KEY, "left_anti"))
+    own = reconstruct(words.join(ruled.select(*KEY).distinct(), KEY, "left_anti")).withColumn("grid_no", F.lit(0))
     return ruled.unionByName(own.select(*ruled.columns))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions.text import collapse_whitespace, fold, strip
+from factloom.operators import boxes
 
 # Thresholds of page classes, and the shapes of pairs and of message tags.
 MIN_CHARS, COMBO, IMAGE_SHARE = 24, 0.15, 0.05
@@ -47,7 +48,10 @@ def classify_pages(layers: DataFrame, sizes: DataFrame) -> DataFrame:
     box = F.struct("x0", "y0", "x1", "y1")
     texts = layers.where("kind = 'NATIVE_TEXT'").select("document_id", "page", "char_count", box.alias("b"), F.monotonically_increasing_id().alias("i"))
     images = layers.where("kind = 'IMAGE'").select("document_id", "page", box.alias("m"))
-    on = texts.join(images, ["document_id", "page"]).groupBy("document_id", "page").agg(F.max(overlap_ratio(F.col("b"), F.col("m"))).alias("overlap"))
+    flat = lambda df, b: df.select("document_id", "page", *[F.col(f"{b}.{c}").cast("double").alias(c) for c in boxes.SIDES])
+    met = boxes.meeting(flat(texts, "b"), flat(images, "m"), ["document_id", "page"])
+    side = lambda s: F.struct(*[F.col(s + c).alias(c) for c in boxes.SIDES])
+    on = met.groupBy("document_id", "page").agg(F.max(overlap_ratio(side("a"), side("b"))).alias("overlap"))
     t = texts.groupBy("document_id", "page").agg(F.sum("char_count").alias("native_chars"))
     m = layers.where("kind = 'IMAGE'").groupBy("document_id", "page").agg(*union_box(), F.count("*").alias("images"))
     p = sizes.join(t, ["document_id", "page"], "left").join(m, ["document_id", "page"], "left").join(on, ["document_id", "page"], "left")

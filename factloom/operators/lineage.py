@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A stage that several others read, written once to the folder all executors share; a temporary one in local mode only."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one in local mode only."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         where = spark.conf.get("spark.checkpoint.dir", None)
@@ -18,4 +18,18 @@ def cut(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             where = tempfile.mkdtemp(prefix="factloom-")
         sc.setCheckpointDir(where)
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A stage that several others read, written once to the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``cut`` as a Parquet table, for loops of joins: its estimated size is that of its files, where a checkpoint keeps the
+    product of all sizes joined before it."""
+    folder = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

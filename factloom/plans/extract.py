@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from factloom.functions import privacy
 from factloom.operators import audit, chunk, grid, guard, harvest, layout, validate
 from factloom.operators.lineage import cut
+from factloom.operators.rulings import find as find_rulings
 from factloom.sources import sinks
 
 KEY = ["document_id", "record_index"]
@@ -53,16 +54,19 @@ class Extraction:
         return audit.append(events, ["record_index", "path", "step", "value"], log)
 
 
-def extract(words: DataFrame, pages: DataFrame | None = None, bics: DataFrame | None = None, accounts: dict[str, list[str]] | None = None, filler: Callable[[DataFrame, DataFrame], DataFrame] = chunk.fill, created_at: Column | None = None, rulings: DataFrame | None = None) -> Extraction:
+def extract(words: DataFrame, pages: DataFrame | None = None, bics: DataFrame | None = None, accounts: dict[str, list[str]] | None = None, filler: Callable[[DataFrame, DataFrame], DataFrame] = chunk.fill, created_at: Column | None = None, rulings: DataFrame | None = None, segments: DataFrame | None = None) -> Extraction:
     """Words (document_id, page, pos, text, x0, y0, x1, y1, confidence) to facts.
 
     pages: (document_id, page, page_class) of all pages; without it each page that has words counts as native. rulings:
-    (document_id, page, axis, at) of ruled lines, whose tables go before those that only words show. filler: the
+    (document_id, page, axis, at) of ruled lines, whose tables go before those that only words show; or segments, lines as
+    they are drawn (document_id, page, x0, y0, x1, y1), from which rulings and the tables they make are found. filler: the
     step that gives a chunk's facts; the default copies cells and pairs to the paths of their descriptors.
     """
     words = words.where(F.coalesce(F.trim("text"), F.lit("")) != "")
     lines = cut(grid.lines_of(grid.cluster_rows(words)))
     texts = cut(page_texts(lines))
+    if segments is not None:
+        rulings = cut(find_rulings(segments))
     chunks, skipped = chunk.locate(lines, cut(grid.grids(words, rulings)))
     # What addresses a model is marked in what a model would read; cells and pairs keep their values.
     chunks = cut(privacy.sanitize_injection(chunks, "text").drop("injections"))
