@@ -9,12 +9,12 @@ place share a count, and ties are ordered by hash, so this is one total order, o
 costs candidates, not links: any order finds the same links.
 
 *Prefix filter.* Two sets of similarity t share one of the first |s| - ceil(t |s|) + 1 shingles of each. Only these are
-shuffled. *Length filter*: the smaller size is t times the larger one or more. *Positional filter*: at a shared shingle with
-i and j shingles before it, no more than 1 + min(|a| - i - 1, |b| - j - 1) are shared behind it and min(i, j) before it; the
-sum must reach t / (1 + t) (|a| + |b|). *Suffix filter*: the elements of a set, dealt by hash to ``BINS`` bins, leave parity
+shuffled. *Length filter*: the smaller size is t times the larger one or more. *Positional filter*: the first
+shared shingle, with i and j shingles before it, has all shared ones at it or behind it, so min(|a| - i, |b| - j) must reach
+t / (1 + t) (|a| + |b|); a pair that fails there may meet again further on, and fails there, too. *Suffix filter*: the elements of a set, dealt by hash to ``BINS`` bins, leave parity
 bits; a bit that differs is an element that differs, so their number bounds the Hamming distance of what is left behind the
 prefix from below; a similar pair allows (1 - t) / (1 + t) (|a| + |b|). Pairs that pass are made distinct, and each is
-verified once, by its sets, taken from the texts again: first by more parity bits, then whole.
+verified once, by its whole sets, taken from the texts again.
 
 *Rounds.* In the first rounds a shingle's sets are compared with one of them only (a star, its centre chosen by hash, anew
 in each round), and each component sends one set to a shingle, so a group of near copies is joined without its square of
@@ -30,8 +30,6 @@ read, so others may have any name.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -47,11 +45,11 @@ SHINGLE, SIMILARITY, SEED = 5, 0.8, 42
 SLOTS, CHUNK = 22, 1 << 16
 #: Rows of the table's parts that one task adds up before they meet.
 FAN = 64
-#: Longs of parity bits of a set; bytes of them before sets are compared whole.
-BINS, WIDE = 8, 2048
+#: Longs of parity bits of a set.
+BINS = 8
 #: Longs of parity bits that go along with each shingle of a prefix.
 FEW = 2
-STARS = 3
+STARS = 2
 BLOCK = 2048
 #: A node or component with over 1 / SPREAD of all rows (there are fewer than SPREAD such) is joined by broadcast.
 SPREAD = 1024
@@ -178,8 +176,8 @@ def _near(t: float, bits: list[str]) -> Column:
 
 def _possible(t: float) -> Column:
     """All filters of a pair that meets at places ai and bi, the suffix filter by its first bits."""
-    shared = F.least("ai", "bi") + F.least(F.col("an") - F.col("ai"), F.col("bn") - F.col("bi"))
-    return (shared >= t / (1 + t) * (F.col("an") + F.col("bn")) - 1e-9) & _near(t, _bits(FEW))
+    left = F.least(F.col("an") - F.col("ai"), F.col("bn") - F.col("bi"))
+    return (left >= t / (1 + t) * (F.col("an") + F.col("bn")) - 1e-9) & _near(t, _bits(FEW))
 
 
 def _side(df: DataFrame, side: str, on: list[str]) -> DataFrame:
@@ -238,17 +236,7 @@ def _sifted(pairs: DataFrame, nodes: DataFrame, t: float) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed: int, t: float) -> DataFrame:
-    """Those (a, b) whose sets have the similarity, by more parity bits first, then whole."""
-
-    def odd(u):
-        bits = np.bincount((u % np.uint64(8 * WIDE)).astype(np.int64), minlength=8 * WIDE) & 1
-        return len(u).to_bytes(8, "little") + np.packbits(bits.astype(np.uint8)).tobytes()
-
-    def near(p, q):
-        differ = int(np.bitwise_count(np.frombuffer(p, np.uint64, offset=8) ^ np.frombuffer(q, np.uint64, offset=8)).sum())
-        both = int.from_bytes(p[:8], "little") + int.from_bytes(q[:8], "little")
-        return differ <= both * (1 - t) / (1 + t) + 1e-9
-
+    """Those (a, b) whose sets have the similarity."""
     percent = round(100 * t)
 
     def similar(p, q):
@@ -256,7 +244,7 @@ def _verified(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed:
         both = len(np.intersect1d(p, q, assume_unique=True))
         return 100 * both >= percent * (len(p) + len(q) - both)
 
-    return _compared(_compared(pairs, keys, rows, k, seed, odd, near), keys, rows, k, seed, np.ndarray.tobytes, similar)
+    return _compared(pairs, keys, rows, k, seed, np.ndarray.tobytes, similar)
 
 
 def _merged(rooted: DataFrame, edges: DataFrame) -> DataFrame:

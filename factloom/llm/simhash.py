@@ -484,21 +484,30 @@ def _compared(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed:
     own = cut(wanted.join(rows.mapInArrow(read, "k string, u binary"), "k").dropDuplicates(["id"]).select("id", "u"))
     dealt, hot = _dealt(pairs)
     for side in "ab":
+        table = own.select(F.col("id").alias(side), F.col("u").alias("u" + side))
+        if hot is None:
+            dealt = dealt.join(table, side)
+            continue
+        parts = F.broadcast(hot.where(F.col("side") == side).select(F.col("id").alias(side), "parts"))
         every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part" + side)
-        table = own.select(F.col("id").alias(side), F.col("u").alias("u" + side)).join(F.broadcast(hot[side]), side, "left").select(side, "u" + side, every)
-        dealt = dealt.join(table, [side, "part" + side])
+        dealt = dealt.join(table.join(parts, side, "left").select(side, "u" + side, every), [side, "part" + side])
     return cut(dealt.select("a", "b", "ua", "ub").mapInArrow(compare, "a long, b long"))
 
 
-def _dealt(pairs: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """``pairs`` with parta and partb, and (side, parts) of the sets that are in over 1 / SPREAD of them (fewer than SPREAD a
-    side): such a set goes to so many parts, so that no task meets it with all its partners."""
-    share, hot, out = max(BLOCK, pairs.count() // SPREAD), {}, pairs
+def _dealt(pairs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``pairs`` with parta and partb, and (side, id, parts) of the sets that are in over 1 / SPREAD of them (fewer than SPREAD a
+    side): such a set goes to so many parts, so that no task meets it with all its partners. None: no set is in so many."""
+    n = pairs.count()
+    share, out = max(BLOCK, n // SPREAD), pairs
+    if n <= share:
+        return pairs, None
+    often = lambda side: pairs.groupBy(F.col(side).alias("id")).agg(F.ceil(F.count("*") / share).cast("int").alias("parts")).where("parts > 1").select(F.lit(side).alias("side"), "id", "parts")
+    hot = cut(often("a").union(often("b")))
     for side, other in ("ab", "ba"):
-        hot[side] = cut(pairs.groupBy(side).agg(F.ceil(F.count("*") / share).cast("int").alias("parts")).where("parts > 1"))
+        parts = F.broadcast(hot.where(F.col("side") == side).select(F.col("id").alias(side), "parts"))
         part = F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")), F.lit(0)).cast("int").alias("part" + side)
-        out = out.join(F.broadcast(hot[side]), side, "left").select(*out.columns, part)
-    return cut(out), hot
+        out = out.join(parts, side, "left").select(*out.columns, part)
+    return out, hot
 
 
 def _similar(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed: int, similarity: float) -> DataFrame:
