@@ -11,20 +11,22 @@ A line above the limit is a hot key by nature. Those that hold over 1 / ``SPREAD
 than ``SPREAD``, so they are found by broadcast; only the others are shuffled.
 
 Null text: no words. Null hosts are one host. Repeated rows get the same verdict each. Empty table: empty result. Texts of
-any length are read whole; what a text holds in memory is its words and a hash per line. Ties cannot arise: verdicts are
+any length are read whole; what a text holds in memory is its words and a hash per line;
+work is linear in its lines. Ties cannot arise: verdicts are
 counts. Other columns pass through ``clean`` whatever their names.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factloom.llm.common import cut, lower_ascii, mixed, packed, row_key, texts, unpacked
+from factloom.llm.common import cut, mixed, packed, row_key, texts, unpacked
 
 SYMBOLS = b"#*$%&|<>"
 REPEAT = 8
@@ -69,7 +71,7 @@ def _measure(names: list[str]):
             for text in texts(batch.column(0)):
                 seen: set[bytes] = set()
                 words: list[bytes] = []
-                hashes, sizes, dup = [], [], 0
+                sizes, dup = {}, 0
                 for line in text.split(b"\n"):
                     own = line.split()
                     if not own:
@@ -79,26 +81,32 @@ def _measure(names: list[str]):
                     seen.add(line)
                     words += own
                     plain = b" ".join(own).lower()
-                    hashes.append(xxhash.xxh64_intdigest(plain, 42))
-                    sizes.append(len(own))
+                    h = xxhash.xxh64_intdigest(plain, 42)
+                    sizes[h] = sizes.get(h, 0) + len(own)
                 rows["n_words"].append(len(words))
                 rows["word_chars"].append(len(b"".join(words).decode("utf-8", "replace")))
                 rows["n_symbols"].append(sum(text.count(c) for c in (SYMBOLS[i : i + 1] for i in range(len(SYMBOLS)))))
                 rows["n_dup_lines"].append(dup)
                 rows["n_repeat_words"].append(repeated_words(words))
-                lines = np.array(hashes, np.uint64)
+                lines = np.fromiter(sizes, np.uint64, len(sizes))
                 rows["lines"].append(lines.view(np.int64))
-                rows["line_words"].append(np.array(sizes, np.int64))
-                rows["sign"].append(xxhash.xxh128_digest(np.unique(lines).tobytes()))
+                rows["line_words"].append(np.fromiter(sizes.values(), np.int64, len(sizes)))
+                rows["sign"].append(xxhash.xxh128_digest(np.sort(lines).tobytes()))
             kinds = {"lines": pa.list_(pa.int64()), "line_words": pa.list_(pa.int64()), "sign": pa.binary()}
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(1, batch.num_columns)), *(pa.array(v, kinds.get(k, pa.int64())) for k, v in rows.items())], names=[*names, *rows])
 
     return run
 
 
-def normalised(line: Column) -> Column:
-    """The form of a line that is hashed."""
-    return F.regexp_replace(F.regexp_replace(lower_ascii(line), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""), r"[\x20\x09-\x0D]+", " ")
+@F.pandas_udf(T.StringType())
+def _without(text: pd.Series, over: pd.Series) -> pd.Series:
+    """Texts without the lines of these hashes; null hashes: as they are."""
+
+    def one(t: str, gone: set[int]) -> str:
+        signed = lambda line: int(np.uint64(xxhash.xxh64_intdigest(b" ".join(line.encode().split()).lower(), 42)).view(np.int64))
+        return "\n".join(line for line in t.split("\n") if signed(line) not in gone)
+
+    return pd.Series([t if t is None or hashes is None else one(t, set(hashes.tolist())) for t, hashes in zip(text, over)], dtype=object)
 
 
 def _judged(read: DataFrame, names: list[str], schema: T.StructType, min_docs: int, share: float, keep_share: float) -> DataFrame:
@@ -106,7 +114,8 @@ def _judged(read: DataFrame, names: list[str], schema: T.StructType, min_docs: i
     fields = T._parse_datatype_string("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<long>, line_words array<long>, sign binary").fields
     base = cut(read.mapInArrow(_measure(names), T.StructType([*schema.fields, *fields])).withColumn("row", F.monotonically_increasing_id()))
     host = F.xxhash64(F.col("host").isNull(), "host").alias("host")
-    lines = base.select(host, "row", "sign", F.explode(F.array_distinct("lines")).alias("line"))
+    pairs = F.explode(F.arrays_zip("lines", "line_words")).alias("l")  # each line once, with the words of all its places
+    lines = base.select(host, "row", "sign", pairs).select("host", "row", "sign", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
     # Rows bound documents from above, so only lines with enough of them need their documents.
     rows = lines.groupBy("host", "line").agg(F.count("*").alias("n"))
     many = cut(rows.where(F.col("n") > min_docs))
@@ -120,10 +129,8 @@ def _judged(read: DataFrame, names: list[str], schema: T.StructType, min_docs: i
     counts = met(lines.select("host", "line", "sign"), hot, warm).distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
     total = base.where("n_words > 0").select(host, "sign").distinct().groupBy("host").agg(F.count("*").alias("docs"))
     over = cut(counts.where(F.col("n") > min_docs).join(total, "host").where(F.col("n") > F.col("docs") * F.lit(float(share))).select("host", "line"))
-    gone = met(lines.select("host", "line", "row"), F.broadcast(over.join(hot, ["host", "line"], "left_semi")), over.join(hot, ["host", "line"], "left_anti")).groupBy("row").agg(F.collect_set("line").alias("over"))
-    out = base.join(gone, "row", "left")
-    removed = F.aggregate(F.zip_with("lines", "line_words", lambda h, n: F.when(F.array_contains(F.col("over"), h), n).otherwise(0)), F.lit(0).cast("long"), lambda a, n: a + n)
-    out = out.withColumn("removed_words", F.when(F.col("over").isNull(), F.lit(0).cast("long")).otherwise(removed))
+    gone = met(lines.select("host", "line", "row", "words"), F.broadcast(over.join(hot, ["host", "line"], "left_semi")), over.join(hot, ["host", "line"], "left_anti")).groupBy("row").agg(F.collect_list("line").alias("over"), F.sum("words").alias("removed_words"))
+    out = base.join(gone, "row", "left").withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
     out = out.withColumn("base_failed", (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30))
     return out.withColumn("kept", ~F.col("base_failed") & ((F.col("n_words") - F.col("removed_words")) >= F.col("n_words") * F.lit(float(keep_share))))
 
@@ -144,5 +151,5 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     verdict = _judged(read, ["host", "key"], schema, min_docs, share, keep_share)
     verdict = verdict.where("kept").groupBy("key").agg(F.first("over").alias("over"))
     rows = packed(docs, key).join(verdict, "key")
-    left = F.array_join(F.filter(F.split(F.col("doc").getField(text_col), "\n", -1), lambda x: ~F.array_contains(F.col("over"), F.xxhash64(normalised(x)))), "\n")
+    left = _without(F.col("doc").getField(text_col), F.col("over"))
     return rows.select(unpacked(rows, docs, F.col("over").isNotNull(), text_col, left))

@@ -1,6 +1,7 @@
 """Distinct documents per line where lines travel together."""
 
 import random
+import time
 
 import pytest
 
@@ -46,6 +47,19 @@ def test_hot_lines_by_broadcast_or_shuffle_change_nothing(spark, monkeypatch, sp
     assert sorted(r.removed_words for r in quality.assess(spark.createDataFrame(rows, SCHEMA)).collect()) == want and want[-1] > 20
 
 
+def test_many_lines_are_linear_and_clean_takes_them_out(spark):
+    """Texts of 30,000 shared lines each, 25 of them."""
+    own = lambda i, j: " ".join(f"{i}x{j}y{k}" for k in range(7))
+    say = "\n".join(f"Shared  line {i} of all" for i in range(30_000))
+    rows = [(i, f"{say}\nshared line {i % 7} OF all\n\n" + "\n".join(own(i, j) for j in range(30_000)), "s") for i in range(25)]
+    began = time.time()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    assert {(r.removed_words, r.kept) for r in quality.assess(df).collect()} == {(150_005, True)}
+    for r in quality.clean(df).collect():
+        assert r.text == "\n" + "\n".join(own(r.doc_id, j) for j in range(30_000))
+    assert time.time() - began < 90
+
+
 def test_edges(spark):
     rng = random.Random(3)
     rows = [(None, None, None, 1, "a"), (1, "", "h", 2, "b"), (1, " \n\t", "h", 2, "b"), (2, "word " * 300_000, "h", 3, None), (3, "\n".join(_say(rng, 3) for _ in range(9)), None, 4, "d")]
