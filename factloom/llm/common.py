@@ -96,6 +96,20 @@ def spread_join(rows: DataFrame, table: DataFrame, on: str, hot: DataFrame) -> D
     return found.unionByName(rows.join(hot, on, "left_anti").join(table.join(hot, on, "left_anti"), on))
 
 
+def dealt_join(rows: DataFrame, table: DataFrame, on: str, by: Column, least: int = 1024) -> DataFrame:
+    """Inner join; a key with over 1 / 1024 of all ``rows`` (and ``least`` of them) is dealt over parts by the hash of ``by``, and
+    its rows of ``table`` go to each part. Such keys are fewer than 1024; only they and their parts are broadcast."""
+    n = rows.count()
+    share = max(least, n // 1024)
+    if n <= share:
+        return rows.join(table, on)
+    hot = F.broadcast(cut(rows.groupBy(on).agg(F.ceil(F.count("*") / share).cast("int").alias("__parts")).where("__parts > 1")))
+    mine = rows.join(hot, on, "left").withColumn("__part", F.coalesce(F.pmod(F.xxhash64(by), F.col("__parts")), F.lit(0)).cast("int")).drop("__parts")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))
+    theirs = table.join(hot, on, "left").withColumn("__part", every).drop("__parts")
+    return mine.join(theirs, [on, "__part"]).drop("__part")
+
+
 def lower_ascii(c: Column) -> Column:
     """Lower A-Z only, as ``bytes.lower`` does."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import Tokens, blocks, cut, mixed, packed, row_key, unpacked
+from factloom.llm.common import Tokens, blocks, cut, dealt_join, mixed, packed, row_key, unpacked
 
 #: Bytes of words: all but [\x00-\x2F\x3A-\x60\x7B-\x7F], after lowering.
 WORD_BYTES = np.ones(256, np.uint8)
@@ -145,13 +145,15 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     read = docs.select(F.col(text_col).cast("binary").alias("t"), F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"))
     base = cut(read.mapInArrow(run, f"id {kind}, key string, n_words long, grams array<{_GRAM_SQL}>"))
     own = base.where(F.size("grams") > 0).select("id", "key", F.explode("grams").alias("g")).select("id", "key", "g.*").distinct()
-    x, y = own.alias("x"), tests.alias("y")
-    met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.n") == F.col("y.n")) & (F.col("x.whole") == F.col("y.whole")) & (F.col("x.gram") == F.col("y.gram")))
+    same = F.struct("h", "n", "whole", "gram").alias("same")
+    x = cut(own.select(same, F.struct("id", "key", "at", "before", "after").alias("x")))
+    y = tests.select(same, F.struct("item", "before", "after").alias("y"))
+    met = dealt_join(x, y, "same", F.struct("x.key", "x.at"))  # a gram that very many documents share is dealt out
     words = lambda c: F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.split(c, " ", -1))
     run_of = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: p.eqNullSafe(q) & p.isNotNull()), F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda s, ok: F.struct((s.n + F.when(s.on & ok, 1).otherwise(0)).alias("n"), (s.on & ok).alias("on")), lambda s: s.n)
     left = run_of(F.reverse(words("x.before")), F.reverse(words("y.before")))
     right = run_of(words("x.after"), words("y.after"))
-    met = met.select("x.id", "x.key", "x.at", "x.n", "y.item", "x.whole", left.alias("l"), right.alias("r"))
+    met = met.select("x.id", "x.key", "x.at", "same.n", "y.item", "same.whole", left.alias("l"), right.alias("r"))
     met = met.where(F.col("whole") | (F.col("l") + F.col("n") + F.col("r") >= window))
     spans = met.select("id", "key", "item", F.struct((F.col("at") - F.col("l")).alias("s"), (F.col("at") + F.col("n") + F.col("r")).alias("e")).alias("span"))
     per = spans.groupBy("key").agg(F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.collect_set("item")).alias("item_ids"))

@@ -64,15 +64,21 @@ def grams(text: str) -> np.ndarray:
     return (every >> np.uint64(64 - SLOTS)).astype(np.int64)
 
 
+def _places(text: str | np.ndarray) -> np.ndarray:
+    return text if isinstance(text, np.ndarray) else grams(text)
+
+
 class KernelRidge:
-    def __init__(self, texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE):
+    """``texts``: texts, or the places of their n-grams."""
+
+    def __init__(self, texts: list[str | np.ndarray], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE):
         self.labels = sorted(set(labels))
         pick: list[int] = []  # landmarks: the languages in turn
         by = {l: [i for i, x in enumerate(labels) if x == l] for l in self.labels}
         for rank in range(max(map(len, by.values()))):
             pick += [by[l][rank] for l in self.labels if rank < len(by[l])]
         pick = pick[: max(landmarks, len(self.labels))]
-        vocabulary = np.unique(np.concatenate([grams(texts[i]) for i in pick]))
+        vocabulary = np.unique(np.concatenate([_places(texts[i]) for i in pick]))
         self.width = len(vocabulary)
         self.column = np.full(1 << SLOTS, self.width, np.int32)
         self.column[vocabulary] = np.arange(self.width)
@@ -90,7 +96,7 @@ class KernelRidge:
     def presence(self, texts: list[str]) -> np.ndarray:
         p = np.zeros((len(texts), self.width + 1), np.float32)
         for i, t in enumerate(texts):
-            p[i, self.column[grams(t)]] = 1
+            p[i, self.column[_places(t)]] = 1
         return p[:, :-1]
 
     def kernel(self, texts: list[str]) -> np.ndarray:
@@ -101,8 +107,8 @@ class KernelRidge:
         return self.kernel(texts) @ self.coefficients + self.bias
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, per_language: int) -> list[tuple[str, str]]:
-    """(text, label) of the bounded sample. Only hashes compete for a place; texts are read for those that won."""
+def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, per_language: int) -> DataFrame:
+    """(label, k, text) of the bounded sample. Only hashes compete for a place; texts are read for those that won."""
     rows = docs.where(~held_out(F.col(id_col)) & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(label_col).cast("string").alias("label"), F.struct(F.xxhash64(F.lit(4), F.col(id_col)).alias("a"), F.xxhash64(F.lit(5), F.col(text_col)).alias("b")).alias("k"), F.col(text_col).alias("text"))
     # A few buckets per label first, so that a label with most of the rows is not one task's.
@@ -110,14 +116,28 @@ def sample(docs: DataFrame, id_col: str, text_col: str, label_col: str, per_lang
     few = keyed.withColumn("r", F.dense_rank().over(Window.partitionBy("label", "bucket").orderBy("k"))).where(F.col("r") <= per_language).select("label", "k").distinct()
     few = few.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("k"))).where(F.col("r") <= per_language)
     most = few.groupBy("label").agg(F.max("k").alias("top"))
-    won = rows.join(F.broadcast(most), "label").where(F.col("k") <= F.col("top")).groupBy("label", "k").agg(F.first("text").alias("text"))
-    return [(r["text"], r["label"]) for r in sorted(won.collect(), key=lambda r: (tuple(r["k"]), r["label"], r["text"]))]
+    return rows.join(F.broadcast(most), "label").where(F.col("k") <= F.col("top")).groupBy("label", "k").agg(F.first("text").alias("text"))
+
+
+def learned(won: DataFrame) -> list[tuple[np.ndarray, str]]:
+    """(places of n-grams, label) of the sample's texts with a letter. Executors read the texts; the driver gets distinct places,
+    ``2 ** SLOTS`` of a text at most, however long it is."""
+
+    def run(batches):
+        for batch in batches:
+            for i, t in enumerate(batch.column(3).to_pylist()):
+                if has_letter(t):
+                    places = np.unique(grams(t)).astype(np.int32).tobytes()
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, 1) for c in range(3)), pa.array([places], pa.binary())], names=["label", "a", "b", "places"])
+
+    rows = won.select("label", "k.a", "k.b", "text").mapInArrow(run, "label string, a long, b long, places binary").collect()
+    return [(np.frombuffer(r.places, np.int32), r.label) for r in sorted(rows, key=lambda r: (r.a, r.b, r.label))]
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> DataFrame:
     """(id_col, held_out, lang_pred, score) for each row."""
     spark = docs.sparkSession
-    got = [(t, l) for t, l in sample(docs, id_col, text_col, label_col, per_language) if has_letter(t)]
+    got = learned(sample(docs, id_col, text_col, label_col, per_language))
     model = spark.sparkContext.broadcast(KernelRidge([t for t, _ in got], [l for _, l in got], landmarks) if got else None)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
