@@ -9,6 +9,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from factloom.operators.lineage import cut
 from factloom.plans import extract
 from factloom.sources import files
 
@@ -23,6 +24,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--bics", help="CSV bic,institution,country")
     p.add_argument("--accounts", help="YAML of market: patterns")
     p.add_argument("--masked-export", action="store_true")
+    p.add_argument("--packed", action="store_true", help="documents in few files with an index; documents that a former run finished are left out")
     p.add_argument("--no-llm", action="store_true", help="deterministic parts only; this is so without a model port, too")
     p.add_argument("--no-ocr", action="store_true", help="leave out words whose source is OCR")
     p.add_argument("--log-level", default="ERROR", choices=("DEBUG", "INFO", "WARN", "ERROR"))
@@ -36,6 +38,7 @@ def main(argv: list[str] | None = None) -> int:
         return 2
     spark = SparkSession.builder.appName("factloom").getOrCreate()
     spark.sparkContext.setLogLevel(args.log_level)
+    accepted = None
     if args.words:
         words = spark.read.parquet(args.words)
     else:
@@ -44,14 +47,22 @@ def main(argv: list[str] | None = None) -> int:
         read = spark.read.format("binaryFile").load(args.paths) if args.paths else files.scan(spark, args.input_dir)
         accepted = files.gate(read, port if hasattr(port, "inspect") else None)
         accepted.select("path", "document_id", "outcome", "sha256", "size", "page_count").write.mode("overwrite").json(f"{args.output_dir}/gate")
-        words = files.words(read.join(accepted.where("outcome = 'ACCEPTED'").select("path", "document_id"), "path"), port)
+        accepted = cut(accepted.where("outcome = 'ACCEPTED'"))
+        if args.packed:  # outputs of a run stay beside those of others, so what is finished needs no work
+            accepted = files.pending(accepted, files.finished(spark, args.output_dir))
+            if accepted.isEmpty():
+                print("nothing new", file=sys.stderr)
+                return 0
+        words = files.words(read.join(accepted.select("path", "document_id"), "path"), port)
     if args.no_ocr and "source" in words.columns:
         words = words.where(F.coalesce(F.upper("source"), F.lit("")) != "OCR")
     result = extract.extract(words.withColumn("confidence", F.coalesce("confidence", F.lit(1.0))), bics=files.bic_directory(spark, args.bics) if args.bics else None, accounts=files.account_patterns(spark, args.accounts) if args.accounts else None)
     if result.chunks.isEmpty():
         print("no instructions found", file=sys.stderr)
         return 1
-    extract.write(result, args.output_dir, args.masked_export)
+    run = extract.write(result, args.output_dir, args.masked_export, args.packed)
+    if args.packed and accepted is not None:
+        files.commit(accepted, args.output_dir, run)
     return 0
 
 

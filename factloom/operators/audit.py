@@ -49,14 +49,17 @@ def tails(log: DataFrame) -> DataFrame:
     return log.groupBy("document_id").agg(F.max("sequence").alias("sequence"), F.max_by("entry_hash", "sequence").alias("entry_hash"))
 
 
-def append(events: DataFrame, order: list[str], log: DataFrame | None = None) -> DataFrame:
+def append(events: DataFrame, order: list[str], log: DataFrame | None = None, ends: DataFrame | None = None) -> DataFrame:
     """New log entries for ``events`` of (document_id, event, ...), ordered by ``order`` within a document.
 
+    They go on from where ``log`` ends, or from ``ends``, its tails, where these are kept.
+
     Each entry's own part is rendered to JSON first. A document's entries stand in order in one partition and a running
     hash passes over them: linear in entries, in constant memory, whatever the document's size.
     """
     e = prepared(events).withColumn("__rank", F.row_number().over(Window.partitionBy("document_id").orderBy(*order)))
-    last = tails(log).select("document_id", F.col("sequence").alias("__seq"), F.col("entry_hash").alias("__tail")) if log is not None else None
+    ends = tails(log) if ends is None and log is not None else ends
+    last = ends.select("document_id", F.col("sequence").alias("__seq"), F.col("entry_hash").alias("__tail")) if ends is not None else None
     e = e.join(last, "document_id", "left") if last is not None else e.withColumn("__seq", F.lit(None).cast("long")).withColumn("__tail", F.lit(None).cast("string"))
     e = e.withColumn("sequence", F.coalesce(F.col("__seq").cast("long"), F.lit(-1).cast("long")) + F.col("__rank"))
     own = [c for c in FIELDS if c != "prev_hash"]
@@ -85,11 +88,25 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(before, pa.string()), pa.array(own, pa.string())], names=[*batch.schema.names[:-3], "prev_hash", "entry_hash"])
 
 
-def verify(log: DataFrame) -> DataFrame:
-    """Per document: intact, the first failing sequence and why; ``gap`` is where a sequence number is missing."""
+def joined(ends: DataFrame) -> DataFrame:
+    """The last of several tails of a document, as tails."""
+    last = ends.groupBy("document_id").agg(F.max(F.struct("sequence", "entry_hash")).alias("t"))
+    return last.select("document_id", "t.sequence", "t.entry_hash")
+
+
+def verify(log: DataFrame, since: DataFrame | None = None) -> DataFrame:
+    """Per document: intact, the first failing sequence and why; ``gap`` is where a sequence number is missing.
+
+    since: tails up to which a log was found intact; only what comes after them is looked at. Entries before a tail are left
+    out; a document without new entries has no row.
+    """
+    if since is not None:
+        log = log.join(since.select("document_id", F.col("sequence").alias("__at"), F.col("entry_hash").alias("__hash")), "document_id", "left").where(F.col("sequence") > F.coalesce("__at", F.lit(-1)))
+    else:
+        log = log.withColumn("__at", F.lit(None).cast("long")).withColumn("__hash", F.lit(None).cast("string"))
     digest = F.sha2(canonical({c: F.col(c) for c in FIELDS}).cast("binary"), 256)
     w = Window.partitionBy("document_id").orderBy("sequence")
-    checked = log.select("document_id", "sequence", "prev_hash", (digest != F.col("entry_hash")).alias("modified"), F.coalesce(F.lag("entry_hash").over(w), F.lit(GENESIS)).alias("expected"), F.coalesce(F.lag("sequence").over(w) + 1, F.lit(0)).alias("due"))
+    checked = log.select("document_id", "sequence", "prev_hash", (digest != F.col("entry_hash")).alias("modified"), F.coalesce(F.lag("entry_hash").over(w), "__hash", F.lit(GENESIS)).alias("expected"), F.coalesce(F.lag("sequence").over(w) + 1, F.col("__at") + 1, F.lit(0)).alias("due"))
     fault = F.when(F.col("modified"), "hash_differs").when(F.col("prev_hash") != F.col("expected"), "link_differs")
     first = F.min(F.when(fault.isNotNull(), F.struct("sequence", fault.alias("why"))))
     return checked.groupBy("document_id").agg(F.count("*").alias("entries"), first.alias("f"), F.min(F.when(F.col("sequence") != F.col("due"), F.col("due"))).alias("gap")).select("document_id", "entries", F.col("f").isNull().alias("intact"), F.col("f.sequence").alias("failed_sequence"), F.col("f.why").alias("reason"), "gap")

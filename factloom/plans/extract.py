@@ -12,7 +12,7 @@ from factloom.functions import privacy
 from factloom.operators import audit, chunk, grid, guard, harvest, layout, validate
 from factloom.operators.lineage import cut
 from factloom.operators.rulings import find as find_rulings
-from factloom.sources import sinks
+from factloom.sources import files, sinks
 
 KEY = ["document_id", "record_index"]
 
@@ -44,14 +44,14 @@ class Extraction:
     def sidecars(self) -> DataFrame:
         return sinks.sidecar(self.descriptors)
 
-    def audit_log(self, timestamp: Column | None = None, log: DataFrame | None = None) -> DataFrame:
+    def audit_log(self, timestamp: Column | None = None, log: DataFrame | None = None, ends: DataFrame | None = None) -> DataFrame:
         """Entries of the run: one per chunk, per extracted field and per queued field, chained per document; values as hashes only."""
         when = (timestamp if timestamp is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("timestamp")
         made = self.chunks.select(*KEY, F.lit("").alias("path"), F.lit(0).alias("step"), when, F.lit("CHUNK_CREATED").alias("event"), F.lit("locate").alias("stage"), F.col("layout").alias("outcome"), F.lit(None).cast("string").alias("value"), F.lit(None).cast("double").alias("confidence"))
         field = lambda df, step, event, stage: df.select(*KEY, "path", F.lit(step).alias("step"), when, F.lit(event).alias("event"), F.lit(stage).alias("stage"), F.col("status").alias("outcome"), "value", F.col("blended").alias("confidence"))
         seen = field(self.scored, 1, "FIELD_VALIDATED", "validate").unionByName(field(self.scored.where("needs_review"), 2, "REVIEW_ENQUEUED", "review"))
         events = made.unionByName(seen).withColumn("field_path", F.col("path"))
-        return audit.append(events, ["record_index", "path", "step", "value"], log)
+        return audit.append(events, ["record_index", "path", "step", "value"], log, ends)
 
 
 def extract(words: DataFrame, pages: DataFrame | None = None, bics: DataFrame | None = None, accounts: dict[str, list[str]] | None = None, filler: Callable[[DataFrame, DataFrame], DataFrame] = chunk.fill, created_at: Column | None = None, rulings: DataFrame | None = None, segments: DataFrame | None = None) -> Extraction:
@@ -100,27 +100,65 @@ def _run_of(result: Extraction) -> str:
     return "%x" % (abs(int(facts.agg(F.coalesce(F.sum("h"), F.lit(0))).first()[0])) % (1 << 64))
 
 
-def write(result: Extraction, folder: str, masked: bool = False) -> None:
-    """All outputs below ``folder``. Documents, schemas and skipped regions are those of the last run. Review entries and
-    the audit log are appended, a folder per run, named by what the run found: a run that was cut off may be repeated and
-    then replaces its own entries, and the log goes on from where the other runs' entries end."""
+def write(result: Extraction, folder: str, masked: bool = False, packed: bool = False) -> str:
+    """All outputs below ``folder``; returns the run's name, which is made of what it found.
+
+    Documents, schemas and skipped regions are those of the last run; ``packed`` puts documents and schemas of each run into
+    few files with an index, side by side with those of other runs. Review entries and the audit log are appended, a folder
+    per run. The log goes on from the tails that earlier runs left, a row per document; a run whose entries are there
+    already adds nothing, and one that was cut off before its tails were written is completed from its own entries.
+    """
     spark = result.scored.sparkSession
-    sinks.write_documents(result.documents(), f"{folder}/documents")
-    sinks.write_documents(result.sidecars(), f"{folder}/schemas")
-    if masked:
-        sinks.write_documents(result.documents(masked=True), f"{folder}/masked")
     run = _run_of(result)
+    if packed:
+        sinks.write_packed(result.documents(), f"{folder}/documents/run={run}")
+        sinks.write_packed(result.sidecars(), f"{folder}/schemas/run={run}")
+        if masked:
+            sinks.write_packed(result.documents(masked=True), f"{folder}/masked/run={run}")
+    else:
+        sinks.write_documents(result.documents(), f"{folder}/documents")
+        sinks.write_documents(result.sidecars(), f"{folder}/schemas")
+        if masked:
+            sinks.write_documents(result.documents(masked=True), f"{folder}/masked")
     result.queue.write.mode("overwrite").json(f"{folder}/review/run={run}")
-    before = earlier(spark, folder, run)
-    result.audit_log(log=before).write.mode("overwrite").json(f"{folder}/audit/run={run}", ignoreNullFields=False)
+    ends = tails_of(spark, folder)
+    if not files.exists(spark, f"{folder}/tails/run={run}/_SUCCESS"):
+        result.audit_log(ends=ends).write.mode("overwrite").json(f"{folder}/audit/run={run}", ignoreNullFields=False)
+        _keep_tails(spark, folder, run)
     result.injections.write.mode("overwrite").json(f"{folder}/injections")
     result.skipped.write.mode("overwrite").json(f"{folder}/skipped")
+    return run
+
+
+_TAILS = "document_id string, sequence long, entry_hash string"
+
+
+def _runs(spark, path: str) -> list[str]:
+    """Names of complete runs below a folder."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath().getName() for s in store.listStatus(where)] if store.exists(where) else []
+    return sorted(n.partition("=")[2] for n in found if n.startswith("run=") and files.exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def _keep_tails(spark, folder: str, run: str) -> None:
+    audit.tails(audit.read(spark, f"{folder}/audit/run={run}")).write.mode("overwrite").json(f"{folder}/tails/run={run}")
+
+
+def tails_of(spark, folder: str) -> DataFrame | None:
+    """(document_id, sequence, entry_hash): where the log of all runs ends; None: there is none. Entries are read only of runs
+    that have no tails yet, since they were cut off in between."""
+    have = _runs(spark, f"{folder}/tails")
+    for run in sorted(set(_runs(spark, f"{folder}/audit")) - set(have)):
+        _keep_tails(spark, folder, run)
+        have.append(run)
+    if not have:
+        return None
+    ends = audit.joined(spark.read.schema(_TAILS).json([f"{folder}/tails/run={n}" for n in have]))
+    return cut(ends)
 
 
 def earlier(spark, folder: str, run: str = "") -> DataFrame | None:
     """The audit log of all runs below ``folder`` but one; None: there is none yet."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/audit")
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    own = [str(s.getPath()) for s in files.listStatus(path)] if files.exists(path) else []
-    own = [p for p in own if "/run=" in p and not p.endswith(f"/run={run}")]
+    own = [f"{folder}/audit/run={n}" for n in _runs(spark, f"{folder}/audit") if n != run]
     return audit.read(spark, own) if own else None

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_BYTES, MAX_PAGES, MAGIC = 200 * 1024 * 1024, 1000, "%PDF-"
+MAX_PATTERN_LINES = 10_000
 
 
 class DecodePort(Protocol):
@@ -87,6 +88,25 @@ def pending(files: DataFrame, done: DataFrame) -> DataFrame:
     return files.join(done.select("document_id").distinct(), "document_id", "left_anti")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+_MANIFEST = "document_id string, sha256 string, run string"
+
+
+def finished(spark: SparkSession, folder: str) -> DataFrame:
+    """(document_id, sha256, run) of all documents whose outputs below ``folder`` are complete."""
+    path = f"{folder}/manifest"
+    return spark.read.schema(_MANIFEST).json(path) if exists(spark, path) else spark.createDataFrame([], _MANIFEST)
+
+
+def commit(accepted: DataFrame, folder: str, run: str) -> None:
+    """Marks documents as finished, after their outputs; a file of the manifest appears whole or not at all."""
+    accepted.select("document_id", "sha256", F.lit(run).alias("run")).distinct().write.mode("append").json(f"{folder}/manifest")
+
+
 def bic_directory(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema="bic string, institution string, country string").select(*[F.upper(F.trim(F.regexp_replace(c, "^﻿", ""))).alias(c) for c in ("bic", "institution", "country")])
 
@@ -96,10 +116,14 @@ def depositories(spark: SparkSession, path: str) -> DataFrame:
 
 
 def account_patterns(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Market to patterns, from a small YAML file of lists; read through Spark, so that any store will do."""
+    """Market to patterns, from a small YAML file of lists; read through Spark, so that any store will do. A file of over
+    ``MAX_PATTERN_LINES`` lines is refused: patterns are driver-side configuration."""
     out: dict[str, list[str]] = {}
     market = None
-    for (line,) in spark.read.text(path).limit(10_000).collect():
+    lines = spark.read.text(path).limit(MAX_PATTERN_LINES + 1).collect()
+    if len(lines) > MAX_PATTERN_LINES:
+        raise ValueError(f"{path} has more than {MAX_PATTERN_LINES} lines")
+    for (line,) in lines:
         text = line.split("#")[0].rstrip() if not line.lstrip().startswith("-") else line.rstrip()
         if text and not text.startswith((" ", "-")) and text.endswith(":"):
             market = text[:-1].strip().upper()

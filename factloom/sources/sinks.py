@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from factloom.operators.lineage import cut, stored
+
+#: Bytes of a file of packed documents.
+TARGET = 128 * 1024 * 1024
+
 
 def row_analysis(index: Column, total: Column, layout: Column, pages: Column, populated: Column, stitched: Column) -> Column:
     """Parts that do not apply are left out."""
@@ -79,6 +85,38 @@ def write_documents(documents: DataFrame, path: str) -> None:
     documents.withColumnRenamed("json", "value").write.mode("overwrite").partitionBy("document_id").text(path)
 
 
+def write_packed(documents: DataFrame, path: str, target: int = TARGET) -> None:
+    """Documents in few files: one JSON text a line, sorted by id, about ``target`` bytes a file, below ``path``/data; below
+    ``path``/index a row (document_id, part, start, bytes) for each: part is the number in the file's name.
+
+    Files hold ranges of ids, so a job writes and commits as many files as the data fill, however many documents there are.
+    The sorted rows are written once before, so that index and files describe the same ranges.
+    """
+    line = documents.select("document_id", F.regexp_replace("json", r"[\r\n]+ *", " ").alias("json"))  # line breaks in values are escaped
+    line = stored(line)
+    size = line.agg(F.coalesce(F.sum(F.octet_length("json") + 1), F.lit(0))).first()[0]
+    files = max(1, math.ceil(size / target))
+    dealt = line.repartitionByRange(files, "document_id").sortWithinPartitions("document_id", "json")
+    dealt = cut(dealt.withColumn("part", F.spark_partition_id()))
+    before = Window.partitionBy("part").orderBy("document_id", "json").rowsBetween(Window.unboundedPreceding, -1)
+    index = dealt.select("document_id", "part", F.coalesce(F.sum(F.octet_length("json") + 1).over(before), F.lit(0)).cast("long").alias("start"), F.octet_length("json").alias("bytes"))
+    dealt.select(F.col("json").alias("value")).write.mode("overwrite").text(f"{path}/data")
+    index.write.mode("overwrite").parquet(f"{path}/index")
+
+
+def read_packed(spark: SparkSession, path: str, ids: list[str]) -> DataFrame:
+    """(document_id, json) of a few documents, by the index: only files that hold one of them are opened."""
+    found = spark.read.parquet(f"{path}/index").where(F.col("document_id").isin(ids))
+    parts = sorted(r.part for r in found.select("part").distinct().collect())
+    if not parts:
+        return found.select("document_id", F.lit(None).cast("string").alias("json"))
+    names = "{" + ",".join(f"part-{p:05d}*" for p in parts) + "}"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(f"{path}/data")
+    number = F.regexp_extract("path", r"part-([0-9]+)[^/]*$", 1).cast("int")
+    text = F.substring(F.col("content"), (F.col("start") + 1).cast("int"), F.col("bytes")).cast("string")
+    return files.select(number.alias("part"), "content").join(F.broadcast(found), "part").select("document_id", text.alias("json"))
+
+
 def catalogue(descriptors: DataFrame) -> DataFrame:
     """(document_id, text): the fields as a model's prompt lists them."""
     line = F.concat(F.lit("- "), F.col("path"), F.lit(" ("), F.col("label"), F.lit("): "), F.col("kind"), F.when(F.col("cardinality") == "MULTI", ", several values").otherwise(""), F.coalesce(F.concat(F.lit(", exactly "), F.col("exact_length").cast("string"), F.lit(" characters")), F.lit("")))
