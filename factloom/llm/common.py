@@ -145,6 +145,29 @@ def blocks(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, np
         at = end
 
 
+def shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a partition sorted by its columns: rows, each once, whose first column a different row shares. One row is held."""
+    held, begun = None, False  # the last row so far, and whether a row before it has its key
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = batch if held is None else pa.concat_batches([held, batch])
+        columns = [c.to_numpy(zero_copy_only=False) for c in rows.columns]
+        new = np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns])]
+        rows, key = rows.filter(pa.array(new)), columns[0][new]
+        same = key[1:] == key[:-1]
+        before, after = np.r_[begun, same], np.r_[same, False]
+        keep = before | after
+        if held is not None:
+            keep[0] = after[0] and not begun  # if its key was shared before, it went out then
+        last = len(key) - 1
+        if held is not None or last:
+            begun = bool(before[last])
+        if not (held is None and last == 0):
+            yield rows.filter(pa.array(keep))
+        held = rows.slice(last)
+
+
 def byte_set(*members: int) -> np.ndarray:
     lut = np.zeros(256, np.uint8)
     lut[list(members)] = 1

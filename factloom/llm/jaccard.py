@@ -16,9 +16,9 @@ bits; a bit that differs is an element that differs, so their number bounds the
 prefix from below; a similar pair allows (1 - t) / (1 + t) (|a| + |b|). Pairs that pass are made distinct, and each is
 verified once, by its whole sets, taken from the texts again.
 
-*Rounds.* In the first rounds a shingle's sets are compared with one of them only (a star, its centre chosen by hash, anew
-in each round), and each component sends one set to a shingle, so a group of near copies is joined without its square of
-pairs. The last round compares all sets of different components that meet at a shingle, but for pairs already tested. So
+*Rounds.* In the first ``stars`` rounds a shingle's sets are compared with one of them only (a star, its centre chosen by
+hash, anew in each round), and each component sends one set to a shingle, so a group of near copies is joined without its
+square of pairs. The last round compares all sets of different components that meet at a shingle, but for pairs already tested. So
 no link between different components is lost; links inside a component are not needed for its name. A shingle with more
 than ``block`` sets in the last round is dealt to pairs of blocks.
 
@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factloom.llm.common import NOT_SPACE, Tokens, blocks, mixed, quoted, row_key, spread_join, stored
+from factloom.llm.common import NOT_SPACE, Tokens, blocks, mixed, quoted, row_key, shared_rows, spread_join, stored
 from factloom.llm.simhash import _compared, components
 from factloom.llm.suffix_tree import joined
 
@@ -49,7 +49,7 @@ FAN = 64
 BINS = 8
 #: Longs of parity bits that go along with each shingle of a prefix.
 FEW = 2
-STARS = 2
+STARS = 1
 BLOCK = 2048
 #: A node or component with over 1 / SPREAD of all rows (there are fewer than SPREAD such) is joined by broadcast.
 SPREAD = 1024
@@ -184,22 +184,6 @@ def _side(df: DataFrame, side: str, on: list[str]) -> DataFrame:
     return df.select(*on, *[F.col(c).alias(side + c) for c in df.columns if c not in on])
 
 
-def _shared(batches):
-    """Partition sorted by h: rows of a shingle that more sets than one have in their prefixes. Nothing is held but a row."""
-    last = None
-    for batch in batches:
-        if last is not None:
-            batch = pa.concat_batches([last, batch])
-        h = batch.column(0).to_numpy(zero_copy_only=False)
-        same = h[1:] == h[:-1]
-        keep = np.r_[False, same] | np.r_[same, False]
-        begun = last is not None and last_kept  # the first row went out with the batch before
-        keep[0] &= not begun
-        last_kept = bool(len(same) and same[-1]) or (begun and len(h) == 1)
-        yield batch.filter(pa.array(keep))
-        last = batch.slice(len(h) - 1)
-
-
 def _star(members: DataFrame, turn: int, t: float) -> DataFrame:
     """(a, b): the centre of each shingle with the sets there of other components, one of each."""
     fields = ["node", "n", "i", *_bits(FEW)]
@@ -273,7 +257,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     keyed = rows.select(F.xxhash64("key").alias("h"), F.col("key").alias("k"), "t")
     keys = nodes.select(F.col("node").alias("id"), F.col("key").alias("k"))
     every = nodes.select("node", F.posexplode("prefix").alias("i", "h")).select("h", "node", "i")
-    met = every.repartition("h").sortWithinPartitions("h").mapInArrow(_shared, "h long, node long, i int")
+    met = every.repartition("h").sortWithinPartitions("h", "node").mapInArrow(shared_rows, "h long, node long, i int")
     members = stored(met.join(nodes.select("node", "n", *_bits(FEW)), "node"))
     rooted, tested = nodes.select("node", F.col("node").alias("root")), None
     for turn in range(stars + 1):

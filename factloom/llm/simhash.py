@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from factloom.llm.common import Lookup, cut, mixed, packed, row_key, spread_join, stored, texts, unpacked
+from factloom.llm.common import Lookup, cut, mixed, packed, row_key, shared_rows, spread_join, stored, texts, unpacked
 from factloom.llm.suffix_tree import bitmap, passes
 
 RADIUS = 4
@@ -408,29 +408,6 @@ def _prints_and_sets(rows: DataFrame, k: int, seed: int, lanes: int, similarity:
     return rows.mapInArrow(run, schema)
 
 
-def _shared(batches):
-    """Partition sorted by (h, s): each pair of these once, if the shingle h is in the prefixes of more sets than one."""
-
-    def whole(h, s):
-        if len(h):
-            cuts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-            sizes = np.diff(np.r_[cuts, len(h)])
-            keep = np.repeat(sizes > 1, sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(s[keep])], names=["h", "s0"])
-
-    held_h = held_s = np.zeros(0, np.int64)
-    for batch in batches:
-        h, s = (np.concatenate([x, batch.column(i).to_numpy(zero_copy_only=False)]) for i, x in ((0, held_h), (1, held_s)))
-        if not len(h):
-            continue
-        new = np.r_[True, (h[1:] != h[:-1]) | (s[1:] != s[:-1])]
-        h, s = h[new], s[new]
-        last = int(np.searchsorted(h, h[-1], "left"))
-        yield from whole(h[:last], s[:last])
-        held_h, held_s = h[last:], s[last:]
-    yield from whole(held_h, held_s)
-
-
 def _may_be_similar(similarity: float, parity: list[str]):
     """By sizes and parity bits: the union less the intersection is at most this share of both sizes."""
     share = (1 - similarity) / (1 + similarity)
@@ -466,7 +443,7 @@ def _meetings(members: DataFrame, sets: DataFrame, similarity: float, block: int
 
 def _compared(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed: int, made, test) -> DataFrame:
     """Those (a, b) whose sets pass ``test``, by the bytes ``made`` of each set. keys: (id, k), a row of each set; rows: (h, k, t)."""
-    wanted = cut(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(keys, "id"))
+    wanted = stored(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct().join(keys, "id"))
     place = rows.sparkSession.sparkContext.broadcast(bitmap(wanted.select(F.xxhash64("k").alias("h"))))
 
     def read(batches):
@@ -481,7 +458,7 @@ def _compared(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed:
             ok = [test(p, q) for p, q in zip(*(c.to_pylist() for c in batch.columns[2:]))]
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok, pa.bool_())) for i in (0, 1)], names=["a", "b"])
 
-    own = cut(wanted.join(rows.mapInArrow(read, "k string, u binary"), "k").dropDuplicates(["id"]).select("id", "u"))
+    own = stored(wanted.join(rows.mapInArrow(read, "k string, u binary"), "k").dropDuplicates(["id"]).select("id", "u"))
     dealt, hot = _dealt(pairs)
     for side in "ab":
         table = own.select(F.col("id").alias(side), F.col("u").alias("u" + side))
@@ -491,7 +468,7 @@ def _compared(pairs: DataFrame, keys: DataFrame, rows: DataFrame, k: int, seed:
         parts = F.broadcast(hot.where(F.col("side") == side).select(F.col("id").alias(side), "parts"))
         every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part" + side)
         dealt = dealt.join(table.join(parts, side, "left").select(side, "u" + side, every), [side, "part" + side])
-    return cut(dealt.select("a", "b", "ua", "ub").mapInArrow(compare, "a long, b long"))
+    return stored(dealt.select("a", "b", "ua", "ub").mapInArrow(compare, "a long, b long"))
 
 
 def _dealt(pairs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
@@ -502,7 +479,7 @@ def _dealt(pairs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     if n <= share:
         return pairs, None
     often = lambda side: pairs.groupBy(F.col(side).alias("id")).agg(F.ceil(F.count("*") / share).cast("int").alias("parts")).where("parts > 1").select(F.lit(side).alias("side"), "id", "parts")
-    hot = cut(often("a").union(often("b")))
+    hot = stored(often("a").union(often("b")))
     for side, other in ("ab", "ba"):
         parts = F.broadcast(hot.where(F.col("side") == side).select(F.col("id").alias(side), "parts"))
         part = F.coalesce(F.pmod(F.xxhash64(other), F.col("parts")), F.lit(0)).cast("int").alias("part" + side)
@@ -537,7 +514,7 @@ def _joined(rooted: DataFrame, prints: DataFrame, rows: DataFrame, k: int, seed:
     sets = cut(of.groupBy("s0", "s1").agg(F.min(F.struct("node", "k")).alias("o"), *[F.first(c).alias(c) for c in ("n", *_parity())]).select("s0", "s1", "o.node", "o.k", "n", *_parity()).withColumn("id", F.monotonically_increasing_id()))
     rooted = _merged(rooted.select("node", "least", "root"), of.select("s0", "s1", F.col("node").alias("a")).join(sets.select("s0", "s1", F.col("node").alias("b")), ["s0", "s1"]).where("a <> b").select("a", "b"))
     # A set goes by 64 bits here: should two share them, both meet all that either meets.
-    shared = prints.select(F.explode("prefix").alias("h"), "s0").repartition("h").sortWithinPartitions("h", "s0").mapInArrow(_shared, "h long, s0 long")
+    shared = prints.select(F.explode("prefix").alias("h"), "s0").repartition("h").sortWithinPartitions("h", "s0").mapInArrow(shared_rows, "h long, s0 long")
     few = _parity()[:FEW]
     members = cut(shared.join(sets.where("n > 0").select("s0", "id", "node", "n", *few), "s0").drop("s0"))
     for every in (False, True):

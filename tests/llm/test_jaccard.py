@@ -2,7 +2,6 @@ import random
 import re
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 from factloom.llm import jaccard
@@ -106,14 +105,6 @@ def test_counts_cover_every_text(spark):
         assert (jaccard._unpacked(jaccard._packed(chunk % 1000)) == chunk % 1000).all()
 
 
-def test_shared_shingles_across_batches():
-    h = [1, 2, 2, 3, 4, 4, 4, 5, 6, 6]
-    for size in (1, 2, 3, 10):
-        batches = [pa.RecordBatch.from_pydict({"h": h[i : i + size], "node": list(range(i, min(i + size, len(h))))}) for i in range(0, len(h), size)]
-        got = [x for b in jaccard._shared(iter(batches)) for x in b.column(1).to_pylist()]
-        assert got == [1, 2, 4, 5, 6, 8, 9], size
-
-
 def test_long_text_and_empty_table(spark):
     long = " ".join(f"w{i % 9973}x{i % 7}" for i in range(60000))
     rows = [(1, long), (2, long + " end"), (3, "short")]
