@@ -33,11 +33,13 @@ def rulings(segments: DataFrame, snap: float = SNAP, join: float = JOIN, length:
     across = Window.partitionBy(*KEY, "axis").orderBy("at")
     upto = Window.unboundedPreceding, Window.currentRow
     lines = flat.unionByName(tall).withColumn("new", F.coalesce(F.col("at") - F.lag("at").over(across) > snap, F.lit(True)).cast("int"))
-    lines = lines.withColumn("line", F.sum("new").over(across.rowsBetween(*upto)))
+    flagged = Window.partitionBy(*KEY, "axis").orderBy("at", F.desc("new"))  # of equal positions the one that begins a line comes first
+    lines = lines.withColumn("line", F.sum("new").over(flagged.rowsBetween(*upto)))
     along = Window.partitionBy(*KEY, "axis", "line").orderBy("start", "stop")
     before = F.max("stop").over(along.rowsBetween(Window.unboundedPreceding, -1))
     pieces = lines.withColumn("new", F.coalesce(F.col("start") - before > join, F.lit(True)).cast("int"))
-    pieces = pieces.withColumn("piece", F.sum("new").over(along.rowsBetween(*upto)))
+    flagged = Window.partitionBy(*KEY, "axis", "line").orderBy("start", F.desc("new"))
+    pieces = pieces.withColumn("piece", F.sum("new").over(flagged.rowsBetween(*upto)))
     whole = pieces.groupBy(*KEY, "axis", "line", "piece").agg(F.min("at").alias("at"), F.min("start").alias("start"), F.max("stop").alias("stop"))
     return whole.where(F.col("stop") - F.col("start") >= length).select(*KEY, "axis", "at", "start", "stop")
 

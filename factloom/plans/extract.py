@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions import privacy
-from factloom.operators import audit, chunk, grid, guard, harvest, layout, validate
+from factloom.functions.dims import KINDS
+from factloom.operators import audit, chunk, grid, guard, harvest, layout, proposals, validate
 from factloom.operators.lineage import cut
 from factloom.operators.rulings import find as find_rulings
 from factloom.sources import files, sinks
@@ -31,6 +32,7 @@ class Extraction:
     drift: DataFrame
     composition: DataFrame
     injections: DataFrame
+    prompts: DataFrame | None = None
 
     def documents(self, masked: bool = False) -> DataFrame:
         """(document_id, json); masked: personal values are replaced by stable tokens."""
@@ -54,12 +56,13 @@ class Extraction:
         return audit.append(events, ["record_index", "path", "step", "value"], log, ends)
 
 
-def extract(words: DataFrame, pages: DataFrame | None = None, bics: DataFrame | None = None, accounts: dict[str, list[str]] | None = None, filler: Callable[[DataFrame, DataFrame], DataFrame] = chunk.fill, created_at: Column | None = None, rulings: DataFrame | None = None, segments: DataFrame | None = None) -> Extraction:
+def extract(words: DataFrame, pages: DataFrame | None = None, bics: DataFrame | None = None, accounts: dict[str, list[str]] | None = None, filler: Callable[[DataFrame, DataFrame], DataFrame] = chunk.fill, created_at: Column | None = None, rulings: DataFrame | None = None, segments: DataFrame | None = None, answers: DataFrame | None = None) -> Extraction:
     """Words (document_id, page, pos, text, x0, y0, x1, y1, confidence) to facts.
 
     pages: (document_id, page, page_class) of all pages; without it each page that has words counts as native. rulings:
     (document_id, page, axis, at) of ruled lines, whose tables go before those that only words show; or segments, lines as
-    they are drawn (document_id, page, x0, y0, x1, y1), from which rulings and the tables they make are found. filler: the
+    they are drawn (document_id, page, x0, y0, x1, y1), from which rulings and the tables they make are found. answers: what
+    a model proposed, by prompt hash (``operators.proposals``); ``prompts`` of the result are those without one. filler: the
     step that gives a chunk's facts; the default copies cells and pairs to the paths of their descriptors.
     """
     words = words.where(F.coalesce(F.trim("text"), F.lit("")) != "")
@@ -71,6 +74,11 @@ def extract(words: DataFrame, pages: DataFrame | None = None, bics: DataFrame |
     # What addresses a model is marked in what a model would read; cells and pairs keep their values.
     chunks = cut(privacy.sanitize_injection(chunks, "text").drop("injections"))
     descriptors = cut(harvest.describe(cut(harvest.harvest(chunks))))
+    asked = None
+    if answers is not None:
+        asked = cut(proposals.prompts(sinks.catalogue(descriptors), sinks.excerpts(chunks)))
+        descriptors = cut(proposals.merged(descriptors, cut(proposals.proposals(asked, answers)), list(KINDS)))
+        asked = proposals.unanswered(asked, answers)
     facts = filler(chunks, descriptors).join(chunks.select(*KEY, F.col("pages").alias("chunk_pages")), KEY, "left")
     facts = cut(guard.resolve_pages(facts, texts).drop("chunk_pages"))
     kinds = descriptors.select("document_id", "path", "kind")
@@ -80,7 +88,7 @@ def extract(words: DataFrame, pages: DataFrame | None = None, bics: DataFrame |
     required = harvest.repeating_unit(descriptors).select("document_id", "required_kinds")
     if pages is None:
         pages = words.select("document_id", "page").distinct().withColumn("page_class", F.lit("NATIVE"))
-    return Extraction(chunks, skipped, descriptors, findings, scored, validate.record_completeness(scored, required, chunks), validate.review_queue(scored, created_at), guard.drift(scored), layout.composition(pages), injections(texts))
+    return Extraction(chunks, skipped, descriptors, findings, scored, validate.record_completeness(scored, required, chunks), validate.review_queue(scored, created_at), guard.drift(scored), layout.composition(pages), injections(texts), asked)
 
 
 def page_texts(lines: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from factloom.operators import boxes, compare, rulings, schemas
+from factloom.operators import boxes, compare, proposals, rulings, schemas
 from factloom.plans.queries import table
 
 
@@ -87,10 +87,31 @@ def near_miss_join(spark, sf_dir):
     return compare.near_misses(facts(F.col("code")), facts(other), []).select("kind", "value", "other", "similarity")
 
 
-QUERIES = {f.__name__: f for f in (box_meetings, found_tables, merged_versions, merged_units, near_miss_join)}
+def applied_proposals(spark, sf_dir):
+    """Nations as harvested fields of their regions; a model's answers to the regions' prompts, one of them unusable, one missing."""
+    n = table(spark, sf_dir, "nation").select(F.col("n_regionkey").cast("string").alias("document_id"), F.col("n_nationkey").alias("k"), F.concat(F.lit("Nation "), F.col("n_nationkey").cast("string")).alias("label"))
+    kind = lambda c: F.element_at(F.array(F.lit("BIC"), F.lit("UNKNOWN"), F.lit("IBAN"), F.lit("MADE_UP")), (c % 4 + 1).cast("int"))
+    d = n.select("document_id", F.concat(F.lit("nation_"), F.col("k").cast("string")).alias("path"), F.concat(F.lit("nation_"), F.col("k").cast("string")).alias("name"), "label", F.array().cast("array<string>").alias("group_path"), kind(F.col("k") % 3).alias("kind"), ((F.col("k") % 10) / 10).alias("kind_confidence"), F.lit("SINGLE").alias("cardinality"), F.col("k").alias("max_length"))
+    text = lambda c: n.select("document_id").distinct().select("document_id", F.concat(F.lit(c), "document_id").alias("text"))
+    asked = proposals.prompts(text("fields "), text("excerpt "))
+    own = F.struct(F.upper("label").alias("label"), F.when(F.col("k") % 3 == 0, " G / H ").otherwise("").alias("group"), kind(F.col("k") + 1).alias("kind"), F.when(F.col("k") % 5 == 0, "multi").otherwise("SINGLE").alias("cardinality"))
+    new = F.struct(F.when(F.col("document_id") == "3", " ").otherwise(F.concat(F.lit("New "), "document_id")).alias("label"), F.lit("").alias("group"), F.lit("DATE").alias("kind"), F.lit("SINGLE").alias("cardinality"))
+    said = n.where("document_id <> '4'").groupBy("document_id").agg(F.concat(F.array_sort(F.collect_list(F.when(F.col("k") % 2 == 0, own))), F.array(F.first(new))).alias("fields"))
+    answers = said.join(asked, "document_id").select("prompt_hash", "fields")
+    m = proposals.merged(d, proposals.proposals(asked, answers), ["BIC", "IBAN", "DATE", "UNKNOWN"])
+    return m.select("document_id", "path", "label", "kind", "kind_confidence", "cardinality", "max_length")
+
+
+QUERIES = {f.__name__: f for f in (applied_proposals, box_meetings, found_tables, merged_versions, merged_units, near_miss_join)}
 
 _VERSIONS = "p AS (SELECT *, p_size % 7 AS version FROM part)"
 ORACLE = {
+    "applied_proposals": """WITH n AS (SELECT n_regionkey::VARCHAR AS d, n_nationkey AS k FROM nation),
+        h AS (SELECT d, k, 'nation_' || k AS name, 'Nation ' || k AS label, ['BIC', 'UNKNOWN', 'IBAN'][k % 3 + 1] AS kind, (k % 10) / 10.0::DOUBLE AS sure FROM n),
+        p AS (SELECT d, k, CASE WHEN k % 3 = 0 THEN 'g.h.' ELSE '' END || 'nation_' || k AS path, 'NATION ' || k AS label, ['BIC', 'UNKNOWN', 'IBAN', 'MADE_UP'][(k + 1) % 4 + 1] AS kind FROM n WHERE k % 2 = 0 AND d NOT IN ('3', '4'))
+        SELECT p.d AS document_id, p.path, p.label, CASE WHEN sure >= 0.8 AND h.kind <> 'UNKNOWN' THEN h.kind WHEN p.kind <> 'MADE_UP' THEN p.kind ELSE h.kind END AS kind, greatest(sure, 0.4::DOUBLE) AS kind_confidence, CASE WHEN p.k % 5 = 0 THEN 'MULTI' ELSE 'SINGLE' END AS cardinality, p.k AS max_length FROM p JOIN h USING (k)
+        UNION ALL SELECT DISTINCT d, 'new_' || d, 'New ' || d, 'DATE', 0.4::DOUBLE, 'SINGLE', NULL FROM n WHERE d NOT IN ('3', '4')
+        UNION ALL SELECT d, name, label, kind, sure, 'SINGLE', k FROM h WHERE k % 2 = 1 OR d IN ('3', '4')""",
     "box_meetings": """WITH b AS (SELECT l_orderkey % 61 AS page, l_orderkey, l_linenumber, l_partkey % 2 AS odd, (l_partkey * 7 % 600)::DOUBLE AS x0, (l_suppkey * 13 % 800 + l_linenumber)::DOUBLE AS y0,
           CASE WHEN l_quantity % 10 = 0 THEN l_quantity * 9.0::DOUBLE ELSE l_quantity % 7 + 1 END AS w, l_linenumber * 2.0::DOUBLE AS h FROM lineitem),
         c AS (SELECT *, x0 + w AS x1, y0 + h AS y1 FROM b)
@@ -99,8 +120,8 @@ ORACLE = {
     "found_tables": """WITH RECURSIVE i AS (SELECT (l_orderkey % 499)::VARCHAR AS d, l_linenumber AS p, (l_partkey % 3) * 0.5::DOUBLE AS o, l_partkey, l_suppkey, l_orderkey, l_quantity FROM lineitem),
         s AS (SELECT d, p, 'H' AS axis, (l_partkey % 9) * 30.0::DOUBLE + o AS pos, (l_orderkey * 3 % 6) * 40.0::DOUBLE AS a, (l_orderkey * 3 % 6) * 40.0::DOUBLE + (l_quantity % 3 + 1) * 40 + 1 AS z FROM i
           UNION ALL SELECT d, p, 'V', (l_suppkey % 7) * 40.0::DOUBLE + o, (l_partkey * 5 % 7) * 30.0::DOUBLE, (l_partkey * 5 % 7) * 30.0::DOUBLE + (l_quantity % 4 + 1) * 30 + 1 FROM i),
-        l AS (SELECT *, sum(n) OVER (PARTITION BY d, p, axis ORDER BY pos ROWS UNBOUNDED PRECEDING) AS line FROM (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY d, p, axis ORDER BY pos) <= 2 THEN 0 ELSE 1 END AS n FROM s)),
-        q AS (SELECT *, sum(m) OVER (PARTITION BY d, p, axis, line ORDER BY a, z ROWS UNBOUNDED PRECEDING) AS piece FROM (SELECT *, CASE WHEN a - max(z) OVER (PARTITION BY d, p, axis, line ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 3 THEN 0 ELSE 1 END AS m FROM l)),
+        l AS (SELECT *, sum(n) OVER (PARTITION BY d, p, axis ORDER BY pos, n DESC ROWS UNBOUNDED PRECEDING) AS line FROM (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY d, p, axis ORDER BY pos) <= 2 THEN 0 ELSE 1 END AS n FROM s)),
+        q AS (SELECT *, sum(m) OVER (PARTITION BY d, p, axis, line ORDER BY a, m DESC ROWS UNBOUNDED PRECEDING) AS piece FROM (SELECT *, CASE WHEN a - max(z) OVER (PARTITION BY d, p, axis, line ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 3 THEN 0 ELSE 1 END AS m FROM l)),
         r AS (SELECT d, p, axis, min(pos) AS pos, min(a) AS a, max(z) AS z, row_number() OVER (ORDER BY d, p, axis, line, piece) AS id FROM q GROUP BY d, p, axis, line, piece HAVING max(z) - min(a) >= 8),
         e AS (SELECT h.id AS x, v.id AS y FROM r h JOIN r v ON h.d = v.d AND h.p = v.p AND h.axis = 'H' AND v.axis = 'V' AND v.pos BETWEEN h.a - 2 AND h.z + 2 AND h.pos BETWEEN v.a - 2 AND v.z + 2),
         f AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),

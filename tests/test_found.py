@@ -9,7 +9,7 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
-from factloom.operators import boxes, compare, grid, links, rulings, schemas
+from factloom.operators import boxes, compare, grid, links, proposals, rulings, schemas
 from factloom.plans import extract
 
 
@@ -181,3 +181,28 @@ def test_fields_of_every_version_survive(spark):
     a = got["a"]
     assert (a.label, a.kind, a.kind_confidence, a.cardinality, a.exact_length, a.min_length, a.max_length, a.regex, a.charset, a.enum_values, a.aliases, a.pages, a.versions) == ("A", "BIC", 0.5, "MULTI", 4, 2, 9, "x", "any", ["q"], ["A b", "a", "old"], [0, 1, 2], 3)
     assert got["b"].kind == "UNKNOWN" and got["b"].versions == 1
+
+
+def test_answers_are_taken_whole_or_not_at_all(spark):
+    f = lambda label, group="", kind="BIC", card="SINGLE": (label, group, kind, card)
+    rows = [("ok", [f("A b"), f("A b", "g")]), ("none", []), ("null", None), ("many", [f(f"x{i}") for i in range(81)]), ("blank", [f("a"), f(" \t")]), ("nolabel", [f(None)]), ("twice", [f("A b", " G "), f("a-B", "g")])]
+    df = spark.createDataFrame(rows, "prompt_hash string, fields array<struct<label: string, group: string, kind: string, cardinality: string>>")
+    got = {r.prompt_hash: r.reason for r in proposals.judged(df).collect()}
+    assert got == {"ok": None, "none": "no_fields", "null": "no_fields", "many": "too_many_fields", "blank": "blank_label", "nolabel": "blank_label", "twice": "field_twice"}
+
+
+def test_the_run_with_answers_and_without(spark):
+    head, body = ["Market", "Currency", "Agent BIC", "Account"], [["France", "EUR", "BNPAFRPP", "0012345678"], ["Germany", "EUR", "DEUTDEFF", "0087654321"], ["Japan", "JPY", "BOTKJPJT", "0055512345"], ["Canada", "CAD", "ROYCCAT2", "0099911122"]]
+    rows = [("d", 1, r * 4 + c, t, c * 150.0, r * 20.0, c * 150.0 + 60, r * 20.0 + 10, 1.0) for r, row in enumerate([head, *body]) for c, t in enumerate(row)]
+    words = spark.createDataFrame(rows, "document_id string, page int, pos int, text string, x0 double, y0 double, x1 double, y1 double, confidence double")
+    empty = spark.createDataFrame([], "prompt_hash string, fields array<struct<label: string, group: string, kind: string, cardinality: string>>")
+    first = extract.extract(words, answers=empty)
+    (asked,) = first.prompts.collect()
+    assert "France" in asked.prompt and {r.path for r in first.descriptors.collect()} == {"market", "currency", "agent_bic", "account"}
+    answer = spark.createDataFrame([(asked.prompt_hash, [("Account", "", "IBAN", "MULTI"), ("Settlement Date", "Trade", "DATE", "SINGLE")])], empty.schema)
+    second = extract.extract(words, answers=answer)
+    got = {r.path: (r.kind, r.cardinality) for r in second.descriptors.collect()}
+    assert set(got) == {"market", "currency", "agent_bic", "account", "trade.settlement_date"} and got["trade.settlement_date"] == ("DATE", "SINGLE") and got["account"][1] == "MULTI"
+    assert second.prompts.count() == 0
+    values = {(r.path, r.value) for r in second.scored.collect()}
+    assert ("account", "0012345678") in values and {s for p, s in ((r.path, r.status) for r in second.scored.collect()) if p == "trade.settlement_date"} == {"NOT_APPLICABLE"}
