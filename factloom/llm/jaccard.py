@@ -17,7 +17,7 @@ prefix from below; a similar pair allows (1 - t) / (1 + t) (|a| + |b|). Pairs th
 verified once, by its whole sets, taken from the texts again.
 
 *Rounds.* In the first ``stars`` rounds a shingle's sets are compared with one of them only (a star, its centre chosen by
-hash, anew in each round), and each component sends one set to a shingle, so a group of near copies is joined without its
+hash, by one of ``CENTRES`` orders, anew in each round), and each component sends one set to a shingle, so a group of near copies is joined without its
 square of pairs. The last round compares all sets of different components that meet at a shingle, but for pairs already tested. So
 no link between different components is lost; links inside a component are not needed for its name. A shingle with more
 than ``block`` sets in the last round is dealt to pairs of blocks.
@@ -50,6 +50,8 @@ BINS = 8
 #: Longs of parity bits that go along with each shingle of a prefix.
 FEW = 2
 STARS = 1
+#: Orders of a round by which shingles choose their centres, so that a set is compared with several sets of its group.
+CENTRES = 4
 BLOCK = 2048
 #: A node or component with over 1 / SPREAD of all rows (there are fewer than SPREAD such) is joined by broadcast.
 SPREAD = 1024
@@ -187,7 +189,7 @@ def _side(df: DataFrame, side: str, on: list[str]) -> DataFrame:
 def _star(members: DataFrame, turn: int, t: float) -> DataFrame:
     """(a, b): the centre of each shingle with the sets there of other components, one of each."""
     fields = ["node", "n", "i", *_bits(FEW)]
-    order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), *fields)
+    order = F.struct(F.xxhash64("node", F.pmod("h", F.lit(CENTRES)), F.lit(turn)).alias("o"), *fields)
     one = members.groupBy("h", "root").agg(F.min(order).alias("m"))
     centre = one.groupBy("h").agg(F.min("m").alias("c"), F.count("*").alias("sets")).where("sets > 1").select("h", "c")
     met = one.join(centre, "h").where(F.col("m.node") != F.col("c.node"))
