@@ -19,12 +19,18 @@ _OWN = set(logging.makeLogRecord({}).__dict__) | {"message", "asctime"}
 
 def redacted(text: str, secrets: tuple[str, ...] = (), length: int = 12) -> str:
     """The text as ``privacy.redact`` gives it for a column."""
-    token = lambda kind, value: f"<{kind}:{hashlib.sha256((SALT_LOG + value).encode()).hexdigest()[:length]}>"
-    for secret in sorted({s for s in secrets if len(s) >= 8}, key=lambda s: (-len(s), s)):
-        text = text.replace(secret, token("SECRET", secret))
-    for kind, pattern in _PATTERNS:
-        text = pattern.sub(lambda m, k=kind: token(k, m.group()), text)
-    return text
+    named = [("SECRET", re.compile(re.escape(s))) for s in sorted({s for s in secrets if len(s) >= 8}, key=lambda s: (-len(s), s))]
+    pieces = [(text, False)]
+    for kind, pattern in (*named, *_PATTERNS):  # what is a token already is not read again
+        out = []
+        for piece, done in pieces:
+            at = 0
+            for m in () if done else pattern.finditer(piece):
+                out += [(piece[at : m.start()], False), (f"<{kind}:{hashlib.sha256((SALT_LOG + m.group()).encode()).hexdigest()[:length]}>", True)]
+                at = m.end()
+            out.append((piece[at:], done))
+        pieces = out
+    return "".join(piece for piece, _ in pieces)
 
 
 class Redacting(logging.Filter):

@@ -1,8 +1,7 @@
 """Redaction of texts, masking of values, and the scan for embedded instructions. JVM expressions only.
 
 A pattern's matches are replaced by what is computed from each match: ``split`` gives the gaps, ``regexp_extract_all``
-the matches, and both are put together again. Patterns are chained by one ``withColumn`` each, so no input is evaluated
-twice.
+the matches, and both are put together again.
 """
 
 from __future__ import annotations
@@ -37,38 +36,38 @@ FORMAT_KINDS = ("BIC", "IBAN", "ACCOUNT_NUMBER", "SORT_CODE", "PARTICIPANT_ID",
 TOKEN_KINDS = ("PERSON_NAME", "ORG_NAME", "ADDRESS", "EMAIL")
 
 
-def _replaced(c: Column, pattern: str, token) -> Column:
-    """Each match replaced by token(match); a text without a match is left as it is, unsplit."""
-    def pieces(v):
-        gaps, hits = F.split(v, pattern, -1), F.regexp_extract_all(v, F.lit(pattern), F.lit(0))
-        return F.array_join(F.zip_with(gaps, hits, lambda g, h: F.concat(g, F.when(h.isNull(), "").otherwise(token(h)))), "")
+def _redacted(c: Column, secrets: list[str] | None, length: int, salt: str) -> Column:
+    """Registered secrets, then one pattern after the other, as tokens. A text is kept in pieces (text, token), so that no
+    pattern reads a token: a hash of digits alone would pass for an account."""
+    named = [("SECRET", r"\Q" + x.replace(r"\E", r"\E\\E\Q") + r"\E") for x in sorted({x for x in secrets or () if len(x) >= 8}, key=lambda x: (-len(x), x))]
+    piece = lambda text, token: F.struct(text.alias("text"), F.lit(token).alias("token"))
+    out = F.array(piece(c, False))
 
-    return F.when(c.rlike(pattern), let(c, pieces)).otherwise(c)
+    def cutter(k, x):
+        def cut(p):
+            gaps, hits = F.split(p.text, x, -1), F.regexp_extract_all(p.text, F.lit(x), F.lit(0))
+            token = lambda h: F.concat(F.lit(f"<{k}:"), hash_value(h, salt, length), F.lit(">"))
+            both = F.zip_with(gaps, hits, lambda g, h: F.when(h.isNull(), F.array(piece(g, False))).otherwise(F.array(piece(g, False), piece(token(h), True))))
+            return F.when(~p.token & p.text.rlike(x), F.flatten(both)).otherwise(F.array(p))
+
+        return cut
+
+    for kind, pattern in (*named, *PATTERNS):
+        out = F.flatten(F.transform(out, cutter(kind, pattern)))
+    return F.when(c.isNotNull(), F.array_join(F.transform(out, lambda p: p.text), ""))
 
 
 def redact(df: DataFrame, column: str, secrets: list[str] | None = None, length: int = 12, salt: str = SALT_LOG) -> DataFrame:
     """``column`` with registered secrets (of eight characters or more, longest first) and shapes of personal data as tokens."""
-    out = df
-    for secret in sorted({s for s in secrets or () if len(s) >= 8}, key=lambda s: (-len(s), s)):
-        out = out.withColumn(column, F.replace(F.col(column), F.lit(secret), F.concat(F.lit("<SECRET:"), hash_value(F.lit(secret), salt, length), F.lit(">"))))
-    for kind, pattern in PATTERNS:
-        out = out.withColumn(column, _replaced(F.col(column), pattern, lambda h, k=kind: F.concat(F.lit(f"<{k}:"), hash_value(h, salt, length), F.lit(">"))))
-    return out
+    return df.withColumn(column, _redacted(F.col(column), secrets, length, salt))
 
 
 def redact_all(df: DataFrame, secrets: list[str] | None = None) -> DataFrame:
     """Every string, in arrays, maps and structs, too."""
 
-    def one(c: Column) -> Column:
-        for secret in sorted({s for s in secrets or () if len(s) >= 8}, key=lambda s: (-len(s), s)):
-            c = F.replace(c, F.lit(secret), F.concat(F.lit("<SECRET:"), hash_value(F.lit(secret)), F.lit(">")))
-        for kind, pattern in PATTERNS:
-            c = let(c, lambda v, k=kind, p=pattern: _replaced(v, p, lambda h: F.concat(F.lit(f"<{k}:"), hash_value(h), F.lit(">"))))
-        return c
-
     def deep(c: Column, kind: T.DataType) -> Column:
         if isinstance(kind, T.StringType):
-            return one(c)
+            return _redacted(c, secrets, 12, SALT_LOG)
         if isinstance(kind, T.ArrayType):
             return F.transform(c, lambda x: deep(x, kind.elementType))
         if isinstance(kind, T.MapType):

@@ -1,6 +1,8 @@
+import hashlib
 import io
 import json
 import logging
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +44,18 @@ def test_log_redaction_is_the_columns_redaction(spark):
     logging.getLogger("factloom.test").handlers.clear()
 
 
+def test_tokens_are_not_redacted_again(spark):
+    digits = [m for m in (f"a{i}@example.org" for i in range(3000)) if hashlib.sha256(("factloom-log-1" + m).encode()).hexdigest()[:12].isdigit()]
+    texts = [f"to {m}, account 123 456 789, <EMAIL:123456789012>" for m in digits]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.t for r in privacy.redact(df, "t", [r"123 \E$1 Q"]).orderBy("i").collect()]
+    assert len(digits) > 3 and got == [logs.redacted(t, (r"123 \E$1 Q",)) for t in texts]
+    assert all(re.fullmatch(r"to <EMAIL:\d{12}>, account <ACCOUNT:[0-9a-f]{12}>, <EMAIL:<ACCOUNT:[0-9a-f]{12}>>", t) for t in got)
+    assert [r.t for r in privacy.redact_all(df).orderBy("i").collect()] == got
+    odd = spark.createDataFrame([(r"key 12x \E$1 Q!",)], "t string")
+    assert privacy.redact(odd, "t", [r"12x \E$1 Q"]).first().t == logs.redacted(r"key 12x \E$1 Q!", (r"12x \E$1 Q",)) != r"key 12x \E$1 Q!"
+
+
 def test_retries_quote_the_last_error_and_budgets_hold(spark):
     class Port:
         """Wrong twice per prompt, then right; a prompt with the word down cannot be reached."""
