@@ -1,4 +1,5 @@
-"""Redaction of texts, masking of values, and the scan for embedded instructions. JVM expressions only.
+"""Redaction of texts, masking of values, and the scan for embedded instructions. JVM expressions, but for
+values masked in their own form, which are one pass over a value's characters in an Arrow UDF.
 
 A pattern's matches are replaced by what is computed from each match: ``split`` gives the gaps, ``regexp_extract_all``
 the matches, and both are put together again.
@@ -6,9 +7,16 @@ the matches, and both are put together again.
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import itertools
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 from factloom.functions.text import SALT_LOG, hash_value, let
 
@@ -93,33 +101,36 @@ def tokenised(kind: Column, value: Column, salt: str = SALT_MASK) -> Column:
     return F.concat(F.lit("<"), kind, F.lit("_"), F.substring(F.sha2(F.concat(F.lit(salt), value).cast("binary"), 256), 1, 10), F.lit(">"))
 
 
-def format_preserving(value: Column, salt: str = SALT_MASK) -> Column:
-    """Digits become digits and letters letters of the same case, drawn in turn from hashes of the value."""
+@functools.cache
+def _class(x: str) -> str:
+    """d for a decimal digit, u for an upper-case letter, l for another letter, else nothing."""
+    c = unicodedata.category(x)
+    return "d" if c == "Nd" else "u" if c == "Lu" else "l" if c[0] == "L" else ""
+
 
-    def mask(v):
-        chars = F.filter(F.split(v, ""), lambda x: x != "")
-        hexes = F.filter(F.split(F.sha2(F.concat(F.lit(salt), v).cast("binary"), 256), ""), lambda x: x != "")
-        digits = F.transform(hexes, lambda h: F.pmod(F.instr(F.lit("0123456789abcdef"), h) - 1, F.lit(10)).cast("string"))
-        alpha = F.sha2(F.concat(F.lit(salt + "alpha"), v).cast("binary"), 256)
-        letters = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.char(F.lit(65) + F.pmod(F.conv(F.substr(alpha, i * 2 + 1, F.lit(2)), 16, 10).cast("int"), F.lit(26))))
-        # How many digits or letters stand before each character is a running count, kept as the fold's state.
-        start = F.struct(F.lit("").alias("out"), F.lit(0).alias("d"), F.lit(0).alias("a"), F.size(F.filter(chars, lambda x: x.rlike(r"\p{Nd}"))).alias("nd"), F.size(F.filter(chars, lambda x: x.rlike(r"\p{L}"))).alias("na"))
+def _form_kept(v: str, salt: str) -> str:
+    classes = [_class(x) for x in v]
+    drawn = [str(int(h, 16) % 10) for h in hashlib.sha256((salt + v).encode()).hexdigest()]
+    letters = [chr(65 + b % 26) for b in hashlib.sha256((salt + "alpha" + v).encode()).digest()]
+    nd = classes.count("d")
+    digit, letter = itertools.cycle(drawn[: max(nd, 1)]), itertools.cycle(letters[: max(len(v) - nd - classes.count(""), 1)])
+    return "".join(next(digit) if c == "d" else next(letter) if c == "u" else next(letter).lower() if c else x for x, c in zip(v, classes))
 
-        def step(s, x):
-            digit, letter = x.rlike(r"\p{Nd}"), x.rlike(r"\p{L}")
-            new_letter = F.get(letters, F.pmod(s.a, F.least(F.greatest(s.na, F.lit(1)), F.lit(32))))
-            new = F.when(digit, F.get(digits, F.pmod(s.d, F.least(F.greatest(s.nd, F.lit(1)), F.lit(64))))).when(letter, F.when(x.rlike(r"\p{Lu}"), new_letter).otherwise(F.lower(new_letter))).otherwise(x)
-            return F.struct(F.concat(s.out, new).alias("out"), (s.d + digit.cast("int")).alias("d"), (s.a + letter.cast("int")).alias("a"), s.nd.alias("nd"), s.na.alias("na"))
 
-        return F.aggregate(chars, start, step, lambda s: s.out)
+def format_preserving(value: Column, salt: str = SALT_MASK) -> Column:
+    """Digits become digits and letters letters of the same case, drawn in turn from hashes of the value: one pass over it."""
+
+    @pandas_udf(T.StringType())
+    def mask(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: None if v is None else _form_kept(v, salt))
 
-    return let(value, mask)
+    return mask(value.cast("string"))
 
 
 def mask_value(kind: Column, value: Column, is_pii: Column, ner=None) -> Column:
     """Values of kinds without personal data stay; ner: an optional function for free text, else a token."""
     free = ner(value) if ner is not None else tokenised(kind, value)
-    return F.when(~is_pii | (F.coalesce(value, F.lit("")) == ""), value).when(kind.isin(*FORMAT_KINDS), format_preserving(value)).when(kind.isin(*TOKEN_KINDS), tokenised(kind, value)).otherwise(free)
+    return F.when(~is_pii | (F.coalesce(value, F.lit("")) == ""), value).when(kind.isin(*FORMAT_KINDS), format_preserving(F.when(is_pii & kind.isin(*FORMAT_KINDS), value))).when(kind.isin(*TOKEN_KINDS), tokenised(kind, value)).otherwise(free)
 
 
 def mask_facts(facts: DataFrame, kinds: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
 """Lines by their first word, pages of several layers, near misses, reports, model choice, names of countries."""
 
+import hashlib
 import random
+import time
 from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
 
-from factloom.functions import dims
+from factloom.functions import dims, privacy
 from factloom.operators import compare, grid, harvest
 from factloom.sources import models
 
@@ -64,3 +66,19 @@ def test_a_path_stated_twice_fails(spark):
     assert harvest.unique_paths(df).count() == 3
     with pytest.raises(Exception, match="stated twice"):
         harvest.unique_paths(df.union(df.limit(1))).collect()
+
+
+def test_masking_is_linear_in_a_value(spark):
+    """A value's hashes are taken once, not once for each of its characters."""
+    odd = ["", None, "AbC-12", "Ünï 7٣x", "x" * 40 + "1" * 70, "123 € ǅ"]
+    long = "Customer 0123456789/x-" * 5000
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([*odd, long])], "i int, v string")
+    start = time.monotonic()
+    got = [r.m for r in df.withColumn("m", privacy.format_preserving(F.col("v"))).orderBy("i").collect()]
+    assert time.monotonic() - start < 20 and got[:2] == ["", None]
+    for v, m in zip([*odd, long][2:], got[2:]):
+        assert len(v) == len(m) and all((x.isdecimal(), x.isalpha()) == (y.isdecimal(), y.isalpha()) and (x.isalpha() or x.isdecimal() or x == y) for x, y in zip(v, m))
+    assert got[4][32:40] == got[4][:8] and got[4][104:] == got[4][40:46]
+    d, a = (hashlib.sha256(("factloom-mask-1" + x + "AbC-12").encode()) for x in ("", "alpha"))
+    letters = [chr(65 + b % 26) for b in a.digest()[:3]]
+    assert got[2] == letters[0] + letters[1].lower() + letters[2] + "-" + "".join(str(int(h, 16) % 10) for h in d.hexdigest()[:2])
