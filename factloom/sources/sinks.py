@@ -126,7 +126,11 @@ def catalogue(descriptors: DataFrame) -> DataFrame:
 def excerpts(chunks: DataFrame, most: int = 3, budget: int = 2600) -> DataFrame:
     """(document_id, text): the first chunks of a document, cut to a budget of characters in all, as a model's prompt shows them."""
     w = Window.partitionBy("document_id").orderBy("record_index")
-    first = chunks.select("document_id", "record_index", "pages", "text").withColumn("n", F.row_number().over(w)).where(F.col("n") <= most)
+    rank = F.row_number().over(w)
+    # Which records come first is found without their texts, so that only the texts shown are sorted.
+    upto = chunks.select("document_id", "record_index").withColumn("n", rank).where(F.col("n") <= most).groupBy(F.col("document_id").alias("of")).agg(F.max("record_index").alias("upto"))
+    near = chunks.select("document_id", "record_index", "pages", "text").join(upto, F.col("document_id").eqNullSafe(F.col("of"))).where("record_index is null or record_index <= upto").drop("of", "upto")
+    first = near.withColumn("n", rank).where(F.col("n") <= most)
     first = first.withColumn("left", F.lit(budget) - F.coalesce(F.sum(F.length("text")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where("left > 0")
     part = F.concat(F.lit("[chunk "), F.col("n").cast("string"), F.lit(", page "), page_label(F.col("pages")), F.lit("]\n"), F.substr("text", F.lit(1), F.col("left").cast("int")))
     return first.groupBy("document_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", part.alias("part")))), lambda x: x.part), "\n\n").alias("text"))
