@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.operators import boxes
+from factloom.operators.lineage import spread
 
 KEY = ["document_id", "page"]
 ROW_CORRIDOR, COLUMN_CORRIDOR, MIN_WORDS, OVERLAP = 2, 5, 12, 0.45
@@ -39,7 +40,7 @@ def _extent(df: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
 def ink_bands(df: DataFrame, keys: list[str], a: str, b: str, corridor: int) -> DataFrame:
     """Bands along one axis of intervals [a, b]: gaps and islands on the intervals themselves, by one shuffle."""
     own = Window.partitionBy(*keys)
-    e = df.select(*keys, a, b, F.min(a).over(own).alias("low"), F.max(b).over(own).alias("high")).where("high > low").withColumn("n", (F.col("high") - F.col("low")).cast("int") + 2)
+    e = spread(df.select(*keys, a, b), keys).select(*keys, a, b, F.min(a).over(own).alias("low"), F.max(b).over(own).alias("high")).where("high > low").withColumn("n", (F.col("high") - F.col("low")).cast("int") + 2)
     e = e.select(*keys, "low", "high", "n", (F.col(a) - F.col("low")).cast("int").alias("s"), F.least((F.col(b) - F.col("low")).cast("int"), F.col("n") - 1).alias("e"))
     w = own.orderBy("s", "e")
     before = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))

@@ -33,3 +33,13 @@ def stored(df: DataFrame) -> DataFrame:
     folder = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+#: Parts of a large shuffle at least.
+PARTS = 200
+
+
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows dealt by keys over all shuffle partitions. A shuffle that Spark plans itself is merged into about as many parts as
+    there are cores, each of which then holds its share of the whole table for the sorts behind it."""
+    return df.repartition(max(PARTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *keys)
