@@ -184,6 +184,15 @@ def lines_of(words: DataFrame) -> DataFrame:
     return whole.join(parts, [*KEY, "line_no"])
 
 
+def _before(words: DataFrame, lines: DataFrame, own: list[str], low: str, high: str, name: str) -> DataFrame:
+    """words with ``name``: how many lines (own, at) of their table lie at or before their centre, less one. Lines and centres
+    pass once, in order, so no word is held against all lines of its table."""
+    centres = words.withColumn("__at", (F.col(low) + F.col(high)) / 2).withColumn("__line", F.lit(0))
+    both = centres.unionByName(lines.select(*own, F.col("at").alias("__at"), F.lit(1).alias("__line")), allowMissingColumns=True)
+    run = Window.partitionBy(*own).orderBy("__at", F.desc("__line")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return both.withColumn(name, F.sum("__line").over(run).cast("int") - 1).where("__line = 0").drop("__at", "__line")
+
+
 def ruled_tables(words: DataFrame, rulings: DataFrame) -> DataFrame:
     """Grids (as ``reconstruct`` gives them, and grid_no) of tables with ruled lines.
 
@@ -195,11 +204,11 @@ def ruled_tables(words: DataFrame, rulings: DataFrame) -> DataFrame:
     """
     several = "table_no" in rulings.columns
     own = [*KEY, "grid_no"]
-    lines = rulings.withColumn("grid_no", F.col("table_no") if several else F.lit(0))
-    lines = lines.groupBy(*own).agg(*[F.array_sort(F.collect_set(F.when(F.col("axis") == a, F.col("at").cast("double")))).alias(a) for a in ("H", "V")]).where((F.size("H") >= 3) & (F.size("V") >= 2))
-    before = lambda axis, low, high: F.size(F.filter(axis, lambda at: at <= (F.col(low) + F.col(high)) / 2)) - 1
+    at = rulings.select(*KEY, (F.col("table_no") if several else F.lit(0)).alias("grid_no"), "axis", F.col("at").cast("double").alias("at")).where("at is not null").distinct()
+    of = lambda axis: F.when(F.col("axis") == axis, F.col("at"))
+    lines = at.groupBy(*own).agg(F.count(of("H")).alias("h"), F.count(of("V")).alias("v"), F.min(of("V")).alias("x0"), F.min(of("H")).alias("y0"), F.max(of("V")).alias("x1"), F.max(of("H")).alias("y1")).where("h >= 3 and v >= 2")
     if several:  # words meet the boxes of tables by place, not all tables of their page
-        frame = lines.select(*own, F.element_at("V", 1).alias("x0"), F.element_at("H", 1).alias("y0"), F.element_at("V", -1).alias("x1"), F.element_at("H", -1).alias("y1"))
+        frame = lines.select(*own, "x0", "y0", "x1", "y1")
         x, y = ((F.col(a) + F.col(b)) / 2 for a, b in (("x0", "x1"), ("y0", "y1")))
         centres = words.select(*KEY, "pos", F.col("text"), x.alias("cx"), y.alias("cy"), *("x0", "y0", "x1", "y1")).withColumn("word", F.monotonically_increasing_id())
         points = centres.select(*KEY, "word", "pos", "text", *[F.col(c).alias("w" + c) for c in ("x0", "y0", "x1", "y1")], F.col("cx").alias("x0"), F.col("cy").alias("y0"), F.col("cx").alias("x1"), F.col("cy").alias("y1"))
@@ -208,12 +217,12 @@ def ruled_tables(words: DataFrame, rulings: DataFrame) -> DataFrame:
         best = F.min_by(F.struct("apos", "atext", "awx0", "awy0", "awx1", "awy1", "bgrid_no"), F.struct(area, "bgrid_no")).alias("w")
         placed = inside.groupBy(*KEY, "aword").agg(best)
         words = placed.select(*KEY, F.col("w.apos").alias("pos"), F.col("w.atext").alias("text"), *[F.col("w.aw" + c).alias(c) for c in ("x0", "y0", "x1", "y1")], F.col("w.bgrid_no").alias("grid_no"))
-        w = words.join(lines, own)
     else:
-        w = words.join(lines, KEY)
-    w = w.withColumn("row", before("H", "y0", "y1")).withColumn("col", before("V", "x0", "x1"))
-    w = w.where((F.col("row") >= 0) & (F.col("row") < F.size("H") - 1) & (F.col("col") >= 0) & (F.col("col") < F.size("V") - 1))
-    cell = w.groupBy(*own, "row", "col", (F.size("V") - 1).alias("n")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x.text), " ").alias("text"))
+        words = words.select(*KEY, F.lit(0).alias("grid_no"), "pos", "text", "x0", "y0", "x1", "y1")
+    w = words.join(lines.select(*own, "h", "v"), own)
+    w = _before(_before(w, at.where("axis = 'H'"), own, "y0", "y1", "row"), at.where("axis = 'V'"), own, "x0", "x1", "col")
+    w = w.where("row >= 0 and row < h - 1 and col >= 0 and col < v - 1")
+    cell = w.groupBy(*own, "row", "col", (F.col("v") - 1).cast("int").alias("n")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x.text), " ").alias("text"))
     row = cell.groupBy(*own, "row", "n").agg(F.map_from_entries(F.collect_list(F.struct("col", "text"))).alias("m"))
     row = row.withColumn("rows", F.count("*").over(Window.partitionBy(*own))).where("rows >= 2")
     row = row.withColumn("first", F.row_number().over(Window.partitionBy(*own).orderBy("row")) == 1)
