@@ -32,7 +32,8 @@ def rulings(segments: DataFrame, snap: float = SNAP, join: float = JOIN, length:
     tall = s.where((w <= snap) & (h > w)).select(*KEY, F.lit("V").alias("axis"), ((F.col("x0") + F.col("x1")) / 2).alias("at"), F.col("y0").alias("start"), F.col("y1").alias("stop"))
     across = Window.partitionBy(*KEY, "axis").orderBy("at")
     upto = Window.unboundedPreceding, Window.currentRow
-    lines = flat.unionByName(tall).withColumn("new", F.coalesce(F.col("at") - F.lag("at").over(across) > snap, F.lit(True)).cast("int"))
+    drawn = flat.unionByName(tall).distinct()  # what is drawn again changes no line: a page's work grows with its distinct segments
+    lines = drawn.withColumn("new", F.coalesce(F.col("at") - F.lag("at").over(across) > snap, F.lit(True)).cast("int"))
     flagged = Window.partitionBy(*KEY, "axis").orderBy("at", F.desc("new"))  # of equal positions the one that begins a line comes first
     lines = lines.withColumn("line", F.sum("new").over(flagged.rowsBetween(*upto)))
     along = Window.partitionBy(*KEY, "axis", "line").orderBy("start", "stop")
