@@ -6,6 +6,8 @@ which Spark has no function; those are Arrow UDFs, and rows that are ASCII or de
 
 from __future__ import annotations
 
+import functools
+import re
 import unicodedata
 from difflib import SequenceMatcher
 
@@ -46,9 +48,18 @@ def split_lines(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]", -1), collapse_whitespace), lambda x: x != "")
 
 
+@functools.lru_cache(1 << 16)
+def _plain(x: str) -> str:
+    """A character's decomposition. Marks only move among marks, which are dropped, so a text's is that of its characters."""
+    return "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
+
+
+_NOT_ASCII = re.compile(r"[^\x00-\x7f]")
+
+
 @pandas_udf(T.StringType())
 def _decomposed(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: None if v is None else "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)))
+    return s.map(lambda v: None if v is None else _NOT_ASCII.sub(lambda m: _plain(m.group()), v))
 
 
 # Latin letters with a mark and the letters that they decompose to.
@@ -59,7 +70,8 @@ _PLAIN = "AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOoooooUUUUuuuuYyySsZz"
 def strip_accents(c: Column) -> Column:
     """Compatibility decomposition without combining marks. Usual Latin letters are mapped in the JVM."""
     mapped = F.translate(c, _MARKED, _PLAIN)
-    return F.when(F.coalesce(mapped.rlike(r"[^\x00-\x7F]"), F.lit(False)), _decomposed(mapped)).otherwise(mapped)
+    odd = F.coalesce(mapped.rlike(r"[^\x00-\x7F]"), F.lit(False))
+    return F.coalesce(_decomposed(F.when(odd, mapped)), mapped)  # a Python function is evaluated for all rows: others are null there
 
 
 def fold(c: Column) -> Column:
