@@ -95,6 +95,32 @@ def test_meeting_boxes_equal_all_pairs(spark):
     assert boxes.meeting(df(a).where("false"), df(b), ["page"]).count() == 0
 
 
+def test_sums_of_meetings_equal_all_pairs(spark):
+    a, b = _boxes(1, 150), _boxes(2, 150)
+    a = [*a, *[(3, 500 + i, float(i % 7 * 8), float(i % 5 * 8), float(i % 7 * 8 + i % 3 * 8), float(i % 5 * 8 + i % 4 * 8)) for i in range(60)], a[0]]
+    b = [*b, *[(3, i, float(i % 6 * 8), float(i % 5 * 8 - 8), float(i % 6 * 8 + i % 4 * 8), float(i % 5 * 8)) for i in range(70)]]
+    bad = [(1, -1, None, 0.0, 1.0, 1.0), (1, -2, float("nan"), 0.0, 1.0, 1.0), (1, -3, 5.0, 0.0, 1.0, 1.0)]
+    df = lambda rows: spark.createDataFrame([*rows, *bad], "page int, id int, x0 double, y0 double, x1 double, y1 double")
+    want = defaultdict(lambda: [0, 0.0])
+    for p, i, *s in a:
+        for q, _, *t in b:
+            if p == q and s[0] <= t[2] and t[0] <= s[2] and s[1] <= t[3] and t[1] <= s[3]:
+                want[p, i][0] += 1
+                want[p, i][1] += (min(s[2], t[2]) - max(s[0], t[0])) * (min(s[3], t[3]) - max(s[1], t[1]))
+    for tile in (8.0, 1024.0):
+        sums = boxes.meeting_sums(df(a), df(b), ["page"], tile).groupBy("page", "id").agg(F.sum("meets").alias("n"), F.sum("area").alias("area")).where("n > 0").collect()
+        assert {(r.page, r.id): r.n for r in sums} == {k: n for k, (n, _) in want.items()}
+        assert all(r.area == pytest.approx(want[r.page, r.id][1], rel=1e-9, abs=1e-6) for r in sums)
+    assert boxes.meeting_sums(df(a).where("false"), df(b), ["page"]).count() == 0
+
+
+def test_sums_of_meetings_make_no_pairs(spark):
+    """150,000 boxes that all meet each other: 22.5 billion pairs in one tile."""
+    one = spark.range(150_000).select(F.lit(1).alias("page"), "id", *[F.lit(v).alias(c) for c, v in (("x0", 1.0), ("y0", 2.0), ("x1", 5.0), ("y1", 4.0))])
+    got = boxes.meeting_sums(one, one, ["page"]).agg(F.min("meets"), F.sum("meets"), F.sum("area")).first()
+    assert tuple(got) == (150_000, 150_000**2, 8.0 * 150_000**2)
+
+
 def test_a_page_of_many_boxes_is_not_compared_in_pairs(spark):
     one = spark.range(10_000).select(F.lit(1).alias("page"), "id", ((F.col("id") % 100) * 12.0).alias("x0"), (F.floor(F.col("id") / 100) * 12.0).alias("y0")).withColumn("x1", F.col("x0") + 10).withColumn("y1", F.col("y0") + 10)
     large = spark.createDataFrame([(1, -1, 0.0, 0.0, 1200.0, 1200.0)], one.schema)
