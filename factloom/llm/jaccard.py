@@ -30,6 +30,8 @@ read, so others may have any name.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -47,8 +49,8 @@ SLOTS, CHUNK = 22, 1 << 16
 FAN = 64
 #: Longs of parity bits of a set.
 BINS = 8
-#: Longs of parity bits that go along with each shingle of a prefix.
-FEW = 2
+#: Longs of parity bits that go along with each shingle of a prefix: all of a set's, folded, so that they tell of all its elements.
+FEW = 4
 STARS = 1
 #: Orders of a round by which shingles choose their centres, so that a set is compared with several sets of its group.
 CENTRES = 4
@@ -109,7 +111,7 @@ def _unpacked(raw: bytes) -> np.ndarray:
 
 
 def frequencies(text: DataFrame, k: int = SHINGLE) -> np.ndarray:
-    """Counts by place, over the sets of all texts (one binary column)."""
+    """Counts by place, over the sets of all texts (one binary column); 32 bits each, larger ones as the largest."""
     schema = "chunk int, part int, counts binary"
 
     def out(table: np.ndarray, part: int):
@@ -132,19 +134,28 @@ def frequencies(text: DataFrame, k: int = SHINGLE) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([0], pa.int32()), pa.array([_packed(chunk)], pa.binary())], names=["chunk", "part", "counts"])
 
     parts = text.mapInArrow(count, schema).repartition("chunk", "part").mapInArrow(add, schema).repartition("chunk").mapInArrow(add, schema)
-    whole = np.zeros(1 << SLOTS, np.int64)
+    whole = np.zeros(1 << SLOTS, np.uint32)
     for row in parts.select("chunk", "counts").collect():  # the table's own size, 32 MB at most
-        whole[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = _unpacked(bytes(row.counts))
+        whole[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.minimum(_unpacked(bytes(row.counts)), (1 << 32) - 1)
     return whole
 
 
-def _bits(n: int = BINS) -> list[str]:
-    return [f"g{i}" for i in range(n)]
+def _bits() -> list[str]:
+    return [f"g{i}" for i in range(BINS)]
+
+
+def _few() -> list[str]:
+    return [f"f{i}" for i in range(FEW)]
+
+
+def _folded() -> list[Column]:
+    """The parity bits dealt to FEW longs, those of one long added up: bits of fewer bins, over the whole set."""
+    return [reduce(Column.bitwiseXOR, (F.col(g) for g in _bits()[i::FEW])).alias(f) for i, f in enumerate(_few())]
 
 
 def described(rows: DataFrame, t: float, k: int) -> DataFrame:
     """Of (t, id, key): id, key, 128 bits that name the set, its size, parity bits, and its prefix, rarest first."""
-    table = rows.sparkSession.sparkContext.broadcast(frequencies(rows.select("t"), k).clip(max=(1 << 32) - 1).astype(np.uint32))
+    table = rows.sparkSession.sparkContext.broadcast(frequencies(rows.select("t"), k))
     names = ["id", "key", "s0", "s1", "n", *_bits(), "prefix"]
     schema = f"id {rows.schema['id'].dataType.simpleString()}, key string, " + ", ".join(f"{c} long" for c in names[2:-1]) + ", prefix array<long>"
 
@@ -177,9 +188,9 @@ def _near(t: float, bits: list[str]) -> Column:
 
 
 def _possible(t: float) -> Column:
-    """All filters of a pair that meets at places ai and bi, the suffix filter by its first bits."""
+    """All filters of a pair that meets at places ai and bi, the suffix filter by its folded bits."""
     left = F.least(F.col("an") - F.col("ai"), F.col("bn") - F.col("bi"))
-    return (left >= t / (1 + t) * (F.col("an") + F.col("bn")) - 1e-9) & _near(t, _bits(FEW))
+    return (left >= t / (1 + t) * (F.col("an") + F.col("bn")) - 1e-9) & _near(t, _few())
 
 
 def _side(df: DataFrame, side: str, on: list[str]) -> DataFrame:
@@ -188,7 +199,7 @@ def _side(df: DataFrame, side: str, on: list[str]) -> DataFrame:
 
 def _star(members: DataFrame, turn: int, t: float) -> DataFrame:
     """(a, b): the centre of each shingle with the sets there of other components, one of each."""
-    fields = ["node", "n", "i", *_bits(FEW)]
+    fields = ["node", "n", "i", *_few()]
     order = F.struct(F.xxhash64("node", F.pmod("h", F.lit(CENTRES)), F.lit(turn)).alias("o"), *fields)
     one = members.groupBy("h", "root").agg(F.min(order).alias("m"))
     centre = one.groupBy("h").agg(F.min("m").alias("c"), F.count("*").alias("sets")).where("sets > 1").select("h", "c")
@@ -260,7 +271,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     keys = nodes.select(F.col("node").alias("id"), F.col("key").alias("k"))
     every = nodes.select("node", F.posexplode("prefix").alias("i", "h")).select("h", "node", "i")
     met = every.repartition("h").sortWithinPartitions("h", "node").mapInArrow(shared_rows, "h long, node long, i int")
-    members = stored(met.join(nodes.select("node", "n", *_bits(FEW)), "node"))
+    members = stored(met.join(nodes.select("node", "n", *_folded()), "node"))
     rooted, tested = nodes.select("node", F.col("node").alias("root")), None
     for turn in range(stars + 1):
         own = stored(members.join(rooted, "node"))

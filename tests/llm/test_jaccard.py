@@ -94,6 +94,25 @@ def test_a_group_of_near_copies_in_chains(spark):
     assert {r.component_id for r in got} == {0}
 
 
+def test_near_copies_below_the_limit_do_not_meet_in_pairs(spark, monkeypatch):
+    """Texts with three edits each share most shingles, but two of them differ in six places: 60 of 146 shingles a side and more."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(100):
+        w = list(base)
+        for at in rng.sample(range(5, 145, 10), 3):
+            w[at + rng.randrange(3)] = f"e{i}x{at}"
+        rows.append((i, " ".join(w)))
+    met, meetings = [], jaccard._meetings
+    monkeypatch.setattr(jaccard, "_meetings", lambda *a: met.append(meetings(*a)) or met[0])
+    got = jaccard.join(frame(spark, rows), stars=0).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows)
+    sets = [shingles(t) for _, t in rows]
+    similar = sum(100 * len(a & b) >= 80 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert met[0].count() < similar + 1000  # of 4950
+
+
 def test_counts_cover_every_text(spark):
     rows = corpus(4)
     table = jaccard.frequencies(frame(spark, rows).selectExpr("cast(text as binary) t"))
