@@ -16,9 +16,10 @@ bits; a bit that differs is an element that differs, so their number bounds the
 prefix from below; a similar pair allows (1 - t) / (1 + t) (|a| + |b|). Pairs that pass are made distinct, and each is
 verified once, by its whole sets, taken from the texts again.
 
-*Rounds.* In the first ``stars`` rounds a shingle's sets are compared with one of them only (a star, its centre chosen by
-hash, by one of ``CENTRES`` orders, anew in each round), and each component sends one set to a shingle, so a group of near copies is joined without its
-square of pairs. The last round compares all sets of different components that meet at a shingle, but for pairs already tested. So
+*Rounds.* In the first ``stars`` rounds a shingle's sets are compared with two of them only (stars). One centre has the fewest
+shingles before this one: a text that others were made from has none of the rare shingles of their changes, so it lies
+nearest to all of them. The other is chosen by hash, by one of ``CENTRES`` orders, anew in each round, for groups without
+such a text. Each component sends one set to a shingle, so a group of near copies is joined without its square of pairs. The last round compares all sets of different components that meet at a shingle, but for pairs already tested. So
 no link between different components is lost; links inside a component are not needed for its name. A shingle with more
 than ``block`` sets in the last round is dealt to pairs of blocks.
 
@@ -52,7 +53,7 @@ BINS = 8
 #: Longs of parity bits that go along with each shingle of a prefix: all of a set's, folded, so that they tell of all its elements.
 FEW = 4
 STARS = 1
-#: Orders of a round by which shingles choose their centres, so that a set is compared with several sets of its group.
+#: Orders of a round by which shingles choose their second centres, so that a set is compared with several sets of its group.
 CENTRES = 4
 BLOCK = 2048
 #: A node or component with over 1 / SPREAD of all rows (there are fewer than SPREAD such) is joined by broadcast.
@@ -198,12 +199,13 @@ def _side(df: DataFrame, side: str, on: list[str]) -> DataFrame:
 
 
 def _star(members: DataFrame, turn: int, t: float) -> DataFrame:
-    """(a, b): the centre of each shingle with the sets there of other components, one of each."""
+    """(a, b): the two centres of each shingle with the sets there of other components, one of each."""
     fields = ["node", "n", "i", *_few()]
-    order = F.struct(F.xxhash64("node", F.pmod("h", F.lit(CENTRES)), F.lit(turn)).alias("o"), *fields)
+    order = F.struct(F.col("i").alias("before"), F.xxhash64("node", F.pmod("h", F.lit(CENTRES)), F.lit(turn)).alias("o"), *fields)
     one = members.groupBy("h", "root").agg(F.min(order).alias("m"))
-    centre = one.groupBy("h").agg(F.min("m").alias("c"), F.count("*").alias("sets")).where("sets > 1").select("h", "c")
-    met = one.join(centre, "h").where(F.col("m.node") != F.col("c.node"))
+    both = F.array_distinct(F.array(F.min("m"), F.min_by("m", F.struct("m.o", "m.node"))))
+    centres = one.groupBy("h").agg(both.alias("c"), F.count("*").alias("sets")).where("sets > 1").select("h", "c")
+    met = one.join(centres, "h").select("m", F.explode("c").alias("c")).where(F.col("m.node") != F.col("c.node"))
     met = met.select(*[F.col(f"{s}.{c}").alias(x + c) for s, x in (("c", "a"), ("m", "b")) for c in fields]).where(_possible(t))
     return met.select(F.least("anode", "bnode").alias("a"), F.greatest("anode", "bnode").alias("b")).distinct()
 

@@ -113,6 +113,23 @@ def test_near_copies_below_the_limit_do_not_meet_in_pairs(spark, monkeypatch):
     assert met[0].count() < similar + 1000  # of 4950
 
 
+def test_a_text_with_its_near_copies_is_joined_in_a_star(spark, monkeypatch):
+    """Copies with up to five edits of one text: those with three lie just within the limit of it and beyond that of most others."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(1000, " ".join(base)), (1001, "w70 w71 w72 w73 w74 w75 w76")]
+    for i in range(150):
+        w = list(base)
+        for at in rng.sample(range(5, 145, 10), rng.randint(1, 5)):
+            w[at + rng.randrange(3)] = f"e{i}x{at}"
+        rows.append((i, " ".join(w)))
+    met, meetings = [], jaccard._meetings
+    monkeypatch.setattr(jaccard, "_meetings", lambda *a: met.append(meetings(*a)) or met[0])
+    got = jaccard.join(frame(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows)
+    assert met[0].count() < 50
+
+
 def test_counts_cover_every_text(spark):
     rows = corpus(4)
     table = jaccard.frequencies(frame(spark, rows).selectExpr("cast(text as binary) t"))
